@@ -35,6 +35,7 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.llm.common import WordHashes, mix64, written
 from quillspark.llm.components import components
@@ -387,9 +388,9 @@ def _with_rid(text_col: str, rid_col: str):
 
 def one_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose ids name their classes, one row for each class; a class that has no id keeps a row without."""
-    schema = docs.schema
+    schema = T.StructType([*docs.schema.fields, T.StructField("~rid", T.LongType())])
     found = near_duplicates(docs, threshold, id_col, text_col)
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("none"))
     kept = found.filter(F.col(id_col).eqNullSafe(F.col("class_id"))).select(key.alias("~key"), F.col("rid").alias("~rid"))
-    named = docs.mapInArrow(_with_rid(text_col, "~rid"), schema.add("~rid", "long")).withColumn("~key", key)
+    named = docs.mapInArrow(_with_rid(text_col, "~rid"), schema).withColumn("~key", key)
     return named.join(kept.distinct(), ["~key", "~rid"], "left_semi").dropDuplicates(["~key", "~rid"]).select(*docs.columns)

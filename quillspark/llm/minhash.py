@@ -17,13 +17,13 @@ time only until the slots of the document are filled.
 Bands. Texts with the same words are one from here on. Four slots are a band, and
 the 32 bands find a pair of similarity 0.8 but for 1 in 2*10**7. In a bucket of
 up to ALL texts each pair is a candidate; a larger one is dealt out by salt and
-gives candidates with the least text and with the two before, which keeps its
-size linear. Candidates whose signatures agree too little are left (5 standard
+gives candidates with the least text and with the one before, which keeps their
+number linear. Candidates whose signatures agree too little are left (5 standard
 deviations under the threshold), for others the runs are counted: first for each
 text's best candidates, then for all whose texts aren't connected yet. Last, in
-larger buckets whose texts are still of several components, all pairs across
-components are estimated and verified too. So each class is what all pairs of
-all buckets would give.
+larger buckets whose texts are still of several components, those that aren't of
+the most frequent one are compared with all others, in blocks, and verified
+too. So each class is what all pairs of all buckets would give.
 
 Null and blank texts have no runs and are of one class. Rows with null ids take
 part but never name a class. Repeated rows are copies.
@@ -43,7 +43,7 @@ from quillspark.llm.components import components
 SLOTS, BAND = 128, 4
 RUN = 5
 #: Texts in a bucket up to which all pairs are candidates, and to which a larger one is dealt out.
-ALL, DEALT = 24, 4096
+ALL, DEALT = 4, 4096
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -167,7 +167,7 @@ def _paired(batches):
         keep = a != b
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[keep]), pa.array(np.maximum(a, b)[keep])], names=["a", "b"])
 
-    left = None  # of the bucket that the last batch ended in: its key, its first rows, its last two, its size
+    left = None  # of the bucket that the last batch ended in: its key, its first rows, its last row, its size
     for batch in batches:
         bucket, salt, rid = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("bucket", "salt", "rid"))
         if not len(bucket):
@@ -188,13 +188,12 @@ def _paired(batches):
                 head = old
             rest = new[len(room) :]
             if len(rest):
-                line = np.concatenate([last, room, rest])[-(len(rest) + 2) :]
-                for back in (1, 2):
-                    out_a.append(line[2 - back : len(line) - back])
-                    out_b.append(line[2:])
+                line = np.concatenate([last, room, rest])[-(len(rest) + 1) :]
+                out_a.append(line[:-1])
+                out_b.append(line[1:])
                 out_a.append(np.full(len(rest), head[0]))
                 out_b.append(rest)
-            return head, np.concatenate([last, new])[-2:], size + len(new)
+            return head, np.concatenate([last, new])[-1:], size + len(new)
 
         first = 0
         empty = np.zeros(0, dtype=np.int64)
@@ -238,43 +237,39 @@ def _agreeing(least: float):
 
 
 def _across(least: float):
-    """The pairs (a, b, agree) across components of rows (bucket, rid, component, sig) sorted by bucket."""
+    """The pairs (a, b) of rows (bucket, i, j, away, rid, component, sig), sorted by these: in a block those marked away come first and are compared with the others that follow."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        def pairs(rid, component, sig):
-            home, n = np.unique(component, return_counts=True)
-            away = np.flatnonzero(component != home[np.argmax(n)])
-            for i in away:
-                agree = (sig == sig[i]).mean(axis=1)
-                # Of two that are both away, the later one gives the pair.
-                other = (agree >= least) & (component != component[i]) & ~(np.isin(np.arange(len(rid)), away) & (np.arange(len(rid)) > i))
-                if other.any():
-                    j = np.flatnonzero(other)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rid[j], rid[i])), pa.array(np.maximum(rid[j], rid[i])), pa.array(agree[j])], names=["a", "b", "agree"])
-
-        at, rows = None, []
+        at, parts = None, []
         for batch in batches:
-            for key, rid, component, sig in zip(*(batch.column(n).to_pylist() for n in ("bucket", "rid", "component", "sig")), strict=True):
-                if key != at and rows:
-                    yield from pairs(*_columns(rows))
-                    rows = []
-                at = key
-                rows.append((rid, component, sig))
-        if rows:
-            yield from pairs(*_columns(rows))
+            keys = list(zip(*(batch.column(n).to_pylist() for n in ("bucket", "i", "j")), strict=True))
+            away = np.array(batch.column("away").to_pylist(), dtype=bool)
+            rid, component = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("rid", "component"))
+            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint16).reshape(-1, SLOTS)
+            first = 0
+            while first < len(keys):
+                last = first
+                while last < len(keys) and keys[last] == keys[first] and away[last] == away[first]:
+                    last += 1
+                rows = rid[first:last], component[first:last], sig[first:last]
+                if keys[first] != at:
+                    at, parts = keys[first], []
+                if away[first]:
+                    parts.append(rows)
+                else:
+                    for r, c, s in parts:
+                        for k in range(len(r)):
+                            hit = np.flatnonzero((rows[1] != c[k]) & ((rows[2] == s[k]).mean(axis=1) >= least))
+                            if len(hit):
+                                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rows[0][hit], r[k])), pa.array(np.maximum(rows[0][hit], r[k]))], names=["a", "b"])
+                first = last
 
     return run
 
 
-def _columns(rows):
-    import numpy as np
-
-    return np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.frombuffer(b"".join(r[2] for r in rows), dtype=np.uint16).reshape(-1, SLOTS)
-
-
 def overlap(x, y) -> tuple[int, int]:
     """Sizes of the intersection and the union of two multisets as runs_of gives them."""
     import numpy as np
@@ -362,9 +357,17 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
         found = written(components(links), "components")
     if not crowded.isEmpty():
         placed = crowded.join(found.withColumnRenamed("node", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
-        split = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-        mixed = placed.join(split, "bucket").join(texts.select("rid", "sig"), "rid").select("bucket", "rid", "component", "sig")
-        rest = mixed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_across(least), "a long, b long, agree double")
+        sizes = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.mode("component").alias("home"), F.count(F.lit(1)).alias("n")).filter("x <> y")
+        mixed = placed.join(sizes.select("bucket", "home", "n"), "bucket").withColumn("away", F.col("component") != F.col("home"))
+        aways = mixed.groupBy("bucket").agg(F.count_if("away").alias("m"))
+        blocks = lambda c: F.ceil(F.col(c) / DEALT).cast("int")
+        mixed = written(mixed.join(aways, "bucket").select("bucket", "rid", "component", "away", blocks("n").alias("ni"), blocks("m").alias("nj")).join(texts.select("rid", "sig"), "rid"), "mixed")
+        row, column = (F.pmod(F.xxhash64("rid"), F.col(n)).cast("int") for n in ("ni", "nj"))
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        asks = mixed.filter("away").select("bucket", every("ni").alias("i"), column.alias("j"), F.lit(True).alias("away"), "rid", "component", "sig")
+        held = mixed.select("bucket", row.alias("i"), every("nj").alias("j"), F.lit(False).alias("away"), "rid", "component", "sig")
+        dealt = asks.unionByName(held).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", F.desc("away"), "rid")
+        rest = dealt.mapInArrow(_across(least), "a long, b long")
         rest = rest.select("a", "b").distinct().join(candidates.select("a", "b"), ["a", "b"], "left_anti")
         more = written(verified(rest), "verified")
         if not more.isEmpty():

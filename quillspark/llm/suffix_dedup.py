@@ -17,9 +17,10 @@ smallest hash of their runs of 48 bytes (a quarter of `length` if that is less),
    that is `length` or more, the window and its source are repeats;
 4. ranges go back to the texts they are of, which are rewritten once.
 
-An anchor with more than MOST different segments is split by the part of 16
-windows, then of single windows, that all have in common; in the last step
-equal windows are one row, so no group is too large for a task. Texts are
+An anchor with more than MOST different segments is split into parts of fewer
+windows, grouped by the bytes that all windows of a part have in common. Parts
+are split again while their groups are too large; in the last step, where equal
+windows are one row, none is. Texts are
 shuffled compressed, and those of any length are worked on in pieces.
 
 Null texts are empty. Texts shorter than `length` stay. Repeated rows are texts
@@ -36,9 +37,11 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import mix64, written
 
 #: Bytes that are hashed at once, and positions of a piece of a long text.
-BUFFER = 1 << 20
+BUFFER = 1 << 19
 #: Different segments of an anchor in one block; bytes of text in a block, but for one group.
-MOST, BLOCK = 4096, 1 << 20
+MOST, BLOCK = 1024, 1 << 18
+#: Windows in the parts that the segments of an anchor with more kinds are split into, step by step.
+PARTS = (64, 16, 4, 1)
 #: Windows that share an anchor fit in so many bits beside their place.
 BITS = 9
 _ROOT = 0x5851F42D4C957F2D
@@ -172,7 +175,7 @@ def suffix_ranks(text, length: int):
         word = word << np.uint64(8) | padded[i : n + i].astype(np.uint64)
 
     def ranked(key):
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
         out = np.empty(n, dtype=np.int64)
         out[order] = new
@@ -220,7 +223,7 @@ def longest_previous_factors(text, starts, length: int):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     ranks, top = suffix_ranks(text, length)
     # A prefix of `length` bytes is the first `top` and the last `top` of it.
-    order = np.lexsort((ranks[top][starts + length - top], ranks[top][starts]))
+    order = np.argsort(ranks[top][starts] * (len(text) + 1) + ranks[top][starts + length - top])
     previous, following = nearest_smaller(order)
     place = starts[order]
 
@@ -331,7 +334,7 @@ def _split(length: int, part: int):
 
 
 def _cut_out(length: int):
-    """(h, s, lead, seg) of rows (z, list of (h, s, at))."""
+    """(h, s, seg) of rows (z, list of (h, s, at))."""
 
     def run(batches):
         import pyarrow as pa
@@ -419,30 +422,29 @@ def repeated(found: DataFrame, docs_z: DataFrame, length: int, keep_first: bool)
     """(dk, a, b): byte ranges of repeats, from the anchors (h, s, dk, at) whose h occurs more than once; `same` where all segments of an h are."""
     place, windows = F.shiftright("at", BITS), F.col("at").bitwiseAND((1 << BITS) - 1)
 
-    def whole(rows):
-        return rows.select("dk", place.alias("a"), (place + windows + length - 1).alias("b"))
-
-    same = whole(found.filter("same and not first" if keep_first else "same"))
     mixed = found.filter("not same")
     rank = F.struct("order", "dk", "at") if keep_first else F.struct("dk", "at")
     one = written(mixed.groupBy("h", "s").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("rank")), "suffix-kinds")
     wanted = one.select(F.col("rank.dk").alias("dk"), F.struct("h", "s", F.col("rank.at").alias("at")).alias("w")).groupBy("dk").agg(F.collect_list("w").alias("wanted"))
     segs = docs_z.select("dk", "z").join(wanted, "dk").select("z", "wanted").mapInArrow(_cut_out(length), "h long, s long, seg binary").dropDuplicates(["h", "s"])
-    kinds = one.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
-    segs = written(segs.join(kinds, "h").join(one.select("h", "s", "rank"), ["h", "s"]), "suffix-segments")
+    segs = written(segs.join(one.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")), "h"), "suffix-segments")
+
+    def ranked(rows):
+        """With the earliest place of each segment, which only keep_first needs."""
+        return rows.join(one.select("h", "s", "rank"), ["h", "s"]) if keep_first else rows.withColumn("rank", F.lit(0))
 
     def solved(rows):
         """(g, x, a, b) of rows (g, x, seg, rank), each g in one block, the earliest rows first."""
         return rows.repartition("g").sortWithinPartitions("g", "rank", "x").select("g", "x", "seg").mapInArrow(_repeats(length, keep_first), "g long, x long, a long, b long")
 
-    few = segs.filter(F.col("kinds") <= MOST).select(F.col("h").alias("g"), F.col("s").alias("x"), "seg", "rank")
+    few = ranked(segs.filter(F.col("kinds") <= MOST)).select(F.col("h").alias("g"), F.col("s").alias("x"), "seg", "rank")
     hits = solved(few).select(F.col("g").alias("h"), F.col("x").alias("s"), "a", "b")
     large = segs.filter(F.col("kinds") > MOST).select("h", "s", "seg")
     if not large.isEmpty():
         large = large.mapInArrow(_leads(length), "h long, s long, lead long, seg binary").withColumn("off", F.lit(0).cast("long"))
-        for part in (16, 1):
+        for part in PARTS:
             cut = large.mapInArrow(_split(length, part), "h long, s long, g long, off long, lead long, seg binary").withColumn("x", F.xxhash64("seg"))
-            cut = written(cut.join(segs.select("h", "s", "rank"), ["h", "s"]), "suffix-parts")
+            cut = written(ranked(cut), "suffix-parts")
             kinds = cut.groupBy("g", "x").agg(F.count(F.lit(1)).alias("n"), F.first("seg").alias("seg"), F.min("rank").alias("rank"))
             groups = kinds.groupBy("g").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("rows")).filter("rows > 1")
             kinds = written(kinds.join(groups, "g"), "suffix-parts")
@@ -451,19 +453,22 @@ def repeated(found: DataFrame, docs_z: DataFrame, length: int, keep_first: bool)
             copies = cut.join(ready.filter("n > 1").select("g", "x", F.col("rank").alias("least")), ["g", "x"])
             copies = copies.filter(F.col("rank") > F.col("least")) if keep_first else copies
             hits = hits.unionByName(copies.select("h", "s", F.col("off").alias("a"), (F.col("off") + F.length("seg") - length + 1).alias("b")))
-            inside = cut.join(solved(ready), ["g", "x"])
+            inside = cut.join(solved(ready.filter("kinds > 1" if not keep_first else "true")), ["g", "x"])
             hits = hits.unionByName(inside.select("h", "s", (F.col("off") + F.col("a")).alias("a"), (F.col("off") + F.col("b")).alias("b")))
             rest = kinds.filter(F.col("kinds") > MOST).select("g").distinct()
             if part == 1 or rest.isEmpty():
                 break
             large = cut.join(rest, "g").select("h", "s", "off", "lead", "seg")
-    tagged = mixed.join(one.withColumnRenamed("rank", "least"), ["h", "s"])
+    within = hits.groupBy("h", "s").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    known = one.join(within, ["h", "s"], "left").withColumnRenamed("rank", "least")
+    tagged = found.join(known, ["h", "s"], "left")
     if keep_first:
-        copies, single = tagged.filter(rank > F.col("least")), tagged.filter(rank == F.col("least"))
+        entire = F.when(F.col("same"), ~F.col("first")).otherwise(rank > F.col("least"))
     else:
-        copies, single = tagged.filter("n > 1"), tagged.filter("n = 1")
-    within = single.select("h", "s", "dk", place.alias("base")).join(hits, ["h", "s"])
-    return same.unionByName(whole(copies)).unionByName(within.select("dk", (F.col("base") + F.col("a")).alias("a"), (F.col("base") + F.col("b") + length - 1).alias("b")))
+        entire = F.col("same") | (F.col("n") > 1)
+    every = F.array(F.struct(F.lit(0).cast("long").alias("a"), windows.alias("b")))
+    runs = tagged.select("dk", place.alias("base"), F.inline(F.when(entire, every).otherwise(F.col("runs"))))
+    return runs.select("dk", (F.col("base") + F.col("a")).alias("a"), (F.col("base") + F.col("b") + length - 1).alias("b"))
 
 
 def deduplicate(docs: DataFrame, length: int = 200, keep_first: bool = True, with_text: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

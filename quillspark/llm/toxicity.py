@@ -36,7 +36,7 @@ LETTERS = 49
 #: Code that stands before and after a word, so that a word differs from one that goes on.
 EDGE = 48
 SPAN = 5
-DECAY = 0.6
+DECAY = 0.7
 WIDTH = 24
 #: Decision value of a word that has no three letters.
 LOWEST = -3.0
@@ -64,7 +64,7 @@ def words_of(text: str) -> set[str]:
     return words
 
 
-def encoded(words: list[str], codes: Codes):
+def encoded(words: list[str], codes: Codes, gapped: bool = True):
     """(rows, owner): code rows of WIDTH letters at most, longer words as overlapping rows; grouped by width."""
     import numpy as np
 
@@ -73,8 +73,13 @@ def encoded(words: list[str], codes: Codes):
         b = w.translate(codes).encode("latin-1")
         if len(b) > WIDTH and not w.isalpha():  # digits of a number or a key are no letters
             b = bytes(x for x, c in zip(b, w, strict=True) if x and not c.isdigit())
-        b = bytes([EDGE]) + b.strip(b"\0") + bytes([EDGE])
-        pieces = [b] if len(b) <= WIDTH else [b[k : k + WIDTH] for k in range(0, len(b) - WIDTH // 2, WIDTH // 2)]
+        b = b.strip(b"\0")
+        # Letters with marks between them are also read without the marks.
+        shapes = [b, b.replace(b"\0", b"")] if gapped and b"\0" in b else [b]
+        pieces = []
+        for b in shapes:
+            b = bytes([EDGE]) + b + bytes([EDGE])
+            pieces += [b] if len(b) <= WIDTH else [b[k : k + WIDTH] for k in range(0, len(b) - WIDTH // 2, WIDTH // 2)]
         for p in pieces:
             if len(p) > 4:
                 rows, owner = by_width.setdefault(8 if len(p) <= 8 else 12 if len(p) <= 12 else 16 if len(p) <= 16 else WIDTH, ([], []))
@@ -120,19 +125,21 @@ def features(words: list[str], codes: Codes):
     import numpy as np
 
     rows, cols, values = [], [], []
-    for m, owner in encoded(words, codes):
+    for m, owner in encoded(words, codes, gapped=False):
         for code, weight in triples(m):
             r, c = np.nonzero(code)
             rows.append(owner[r])
             cols.append(code[r, c])
             values.append(np.full(len(r), weight))
     if not rows:
-        return np.zeros((len(words), 1)), np.zeros(1, dtype=np.int64)
+        none = np.zeros(0, dtype=np.int64)
+        return (none, none, np.zeros(0), len(words)), none
     rows, cols, values = map(np.concatenate, (rows, cols, values))
     used, at = np.unique(cols, return_inverse=True)
-    norm = np.sqrt(np.maximum(np.bincount(rows, values**2, len(words)), 1e-9))
     keys, where = np.unique(rows.astype(np.int64) * len(used) + at, return_inverse=True)
-    return (keys // len(used), keys % len(used), np.bincount(where, values) / norm[keys // len(used)], len(words)), used
+    row, sums = keys // len(used), np.bincount(where, values)
+    norm = np.sqrt(np.maximum(np.bincount(row, sums**2, len(words)), 1e-9))
+    return (row, keys % len(used), sums / norm[row], len(words)), used
 
 
 def dense(sparse, used, columns):
@@ -152,7 +159,7 @@ def wilson(positive, n, z: float = 1.96):
     return (p + z * z / (2 * n) - z * ((p * (1 - p) + z * z / (4 * n)) / n) ** 0.5) / (1 + z * z / n)
 
 
-def fit_svm(z, y, weight, ridge: float = 1e-2, steps: int = 20):
+def fit_svm(z, y, weight, ridge: float = 3e-3, steps: int = 20):
     """Squared-hinge SVM by Newton steps; z has a column of ones."""
     import numpy as np
 
@@ -169,7 +176,7 @@ def fit_svm(z, y, weight, ridge: float = 1e-2, steps: int = 20):
     return w
 
 
-def fit_words(counts: list[tuple[str, int, int]], landmarks: int = 320, rounds: int = 3):
+def fit_words(counts: list[tuple[str, int, int]], landmarks: int = 480, rounds: int = 3):
     """(table, bias) from (word, toxic documents, clean documents); None without witnesses."""
     import numpy as np
 
@@ -182,6 +189,9 @@ def fit_words(counts: list[tuple[str, int, int]], landmarks: int = 320, rounds:
     if not witness or not clean:
         return None
     pick = np.random.default_rng(7)
+    # Witnesses also stand with a letter put in, as insults do that hide.
+    hidden = [w[:k] + chr(97 + int(c)) + w[k:] for w in witness[:400] if len(w) > 3 for k, c in zip(pick.integers(1, len(w), 3), pick.integers(0, 26, 3), strict=True)]
+    hidden = sorted(set(hidden) - set(clean))
     chosen = sorted(set(pick.permutation(len(clean))[:4000].tolist()))
     for _ in range(rounds):
         negative = [clean[i] for i in chosen]
@@ -192,10 +202,11 @@ def fit_words(counts: list[tuple[str, int, int]], landmarks: int = 320, rounds:
         values, vectors = np.linalg.eigh(lm @ lm.T)
         kept = values > 1e-6 * values.max()
         root = vectors[:, kept] / np.sqrt(values[kept])
-        x = dense(*features(witness + negative, codes), columns)
-        z = np.hstack([(x @ lm.T) @ root, np.ones((len(x), 1))])
-        y = np.array([1.0] * len(witness) + [-1.0] * len(negative))
-        weight = np.log1p(np.array([seen[w] for w in witness + negative], dtype=float))
+        every = witness + hidden + negative
+        kernel = np.concatenate([dense(*features(every[i : i + 500], codes), columns) @ lm.T for i in range(0, len(every), 500)])
+        z = np.hstack([kernel @ root, np.ones((len(every), 1))])
+        y = np.array([1.0] * (len(witness) + len(hidden)) + [-1.0] * len(negative))
+        weight = np.log1p(np.array([seen.get(w, 1) for w in every], dtype=float))
         weight[y > 0] *= max(1.0, weight[y < 0].sum() / weight[y > 0].sum() / 4)
         w = fit_svm(z, y, weight)
         table = np.zeros(LETTERS**3, dtype=np.float32)

@@ -97,7 +97,7 @@ def grounded(rows: DataFrame) -> DataFrame:
 def answers(questions: DataFrame, fused: DataFrame, docs: DataFrame, generator: Callable[[str], str] = extractive, question: str = "question", text: str = "text", doc: str = "chunk_id") -> DataFrame:
     """(question, status, answer, citations, limitations, hits) for each question; one without hits isn't sent to the generator."""
     own = docs.select(F.col(doc).alias("doc"), "document_id", F.col(text).alias("~text"), "document_kind", F.coalesce("record_limitations", F.array().cast("array<string>")).alias("record_limitations"))
-    hit = F.struct("rank", F.col("doc").alias("chunk_id"), "document_id", "score", tx.excerpt("~text").alias("excerpt"), F.col("~text").alias("text"), "document_kind", "record_limitations")
+    hit = F.struct("rank", F.col("doc").cast("string").alias("chunk_id"), "document_id", "score", tx.excerpt("~text").alias("excerpt"), F.col("~text").alias("text"), "document_kind", "record_limitations")
     by_question = fused.join(own, "doc").groupBy(question).agg(F.sort_array(F.collect_list(hit)).alias("fused"))
     rows = questions.select(question, F.col(text).alias("~q")).join(by_question, question, "left")
     prompt = F.when(F.size("fused") > 0, rs.answer_prompt(F.col("~q"), F.transform("fused", lambda h: F.struct(h["chunk_id"].alias("chunk_id"), h["text"].alias("text")))))

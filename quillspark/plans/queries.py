@@ -222,9 +222,9 @@ def split_paragraphs(spark, sf):
 
 @query(
     r"""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), n AS (SELECT doc_id, i, ls[i] AS line FROM l, unnest(generate_series(1, len(ls))) AS t(i)),
-    o AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at, contains(line, '|') AS boxed FROM n),
+    o AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos, contains(line, '|') AS boxed FROM n),
     g AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, boxed ORDER BY i) AS g FROM o)
-    SELECT doc_id, CAST(min(at) AS INTEGER) AS a, CAST(max(at + length(line)) AS INTEGER) AS b FROM g WHERE boxed GROUP BY doc_id, g"""
+    SELECT doc_id, CAST(min(pos) AS INTEGER) AS a, CAST(max(pos + length(line)) AS INTEGER) AS b FROM g WHERE boxed GROUP BY doc_id, g"""
 )
 def table_spans(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.inline(tx.table_spans("text", "|")))
@@ -337,11 +337,11 @@ def knn_exact_topk(spark, sf):
     return retrieval.knn(_prototypes(spark, sf), e, "label")
 
 
-_SHORT = """sh AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY n_chars, doc_id) AS rank FROM bm JOIN documents USING (doc_id) QUALIFY rank <= 20)"""
+_SHORT = """sh AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY n_chars, doc_id) AS short FROM bm JOIN documents USING (doc_id) QUALIFY short <= 20)"""
 
 
 def _fused_sql(w1: str, w2: str) -> str:
-    return f"""WITH {_BM25}, {_SHORT}, u AS (SELECT item_id, doc_id, 0 AS l, rank, {w1} / (60 + rank) AS part FROM bm UNION ALL SELECT item_id, doc_id, 1, rank, {w2} / (60 + rank) FROM sh),
+    return f"""WITH {_BM25}, {_SHORT}, u AS (SELECT item_id, doc_id, 0 AS l, rank, {w1} / (60 + rank) AS part FROM bm UNION ALL SELECT item_id, doc_id, 1, short, {w2} / (60 + short) FROM sh),
     f AS (SELECT item_id, doc_id, round(sum(part), 9) AS score, min(l * 1000 + rank) AS seen FROM u GROUP BY item_id, doc_id)
     SELECT item_id, doc_id AS doc, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, seen) AS INTEGER) AS rank FROM f QUALIFY rank <= 10"""
 

@@ -97,7 +97,7 @@ def law_appendices(responses: DataFrame, xml: str = "xml") -> DataFrame:
 
 def resolve_law(found: DataFrame, name: str, kind: str, strict: bool = True, partition: str = "query") -> DataFrame:
     """Of each query's results (법령명, 법령구분, pos) the one with name and kind, else with the name, else, if not strict, the first."""
-    rank = F.when((F.col("법령명") == F.col(name)) & (F.col("법령구분") == F.col(kind)), 0).when(F.col("법령명") == F.col(name), 1).otherwise(2)
+    rank = F.when((F.col("법령명") == name) & (F.col("법령구분") == kind), 0).when(F.col("법령명") == name, 1).otherwise(2)
     best = found.withColumn("~rank", rank).filter(F.col("~rank") < (2 if strict else 3))
     return best.withColumn("~n", F.row_number().over(Window.partitionBy(partition).orderBy("~rank", "pos"))).filter("`~n` = 1").drop("~rank", "~n")
 

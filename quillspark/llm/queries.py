@@ -21,7 +21,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = urls.derived_captures(read(spark, sf_dir, "pages"))
     decided = urls.decide(captures, urls.derived_entries(captures))
-    return decided.select("page_id", "fetched", "host", "blocked", "pattern", "since", "until")
+    seconds = lambda c, none: F.coalesce(F.unix_seconds(c), F.lit(none)).cast("long")
+    return decided.select(
+        "page_id", seconds(F.col("fetched"), 0).alias("fetched"), "host", "blocked", F.coalesce("pattern", F.lit("")).alias("pattern"), seconds(F.col("since"), -1).alias("since"), seconds(F.col("until"), -1).alias("until")
+    )
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,101 @@
-"""SQL for DuckDB whose rows are those of the queries, where SQL can express them."""
+"""SQL for DuckDB whose rows are those of the queries, where SQL can express them.
 
-ORACLE_SQL: dict[str, str] = {}
+op1's decoded layers, op2's byte ranges, op5's and op6's models and op9's
+connected classes are held against brute force in the tests instead.
+"""
+
+from __future__ import annotations
+
+from quillspark.llm import urls
+
+_HEX = lambda text, at, n: f"CAST('0x' || substr({text}, {at}, {n}) AS BIGINT)"
+
+_HOST = r"lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]*[^/?#:@.])', 1))"
+_SEGMENT = r"regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1)"
+
+URLS = f"""
+WITH c AS (
+    SELECT page_id, {_HOST} AS host, {_SEGMENT} AS segment, epoch(TIMESTAMP '{urls.EPOCH}') + (coalesce(page_id, 0) * 7919 * 3600) % (366 * 86400) AS t FROM pages),
+seen AS (SELECT DISTINCT host, segment FROM c WHERE host <> ''),
+named AS (
+    SELECT host AS pattern, 3 AS one_in FROM seen UNION ALL SELECT regexp_extract(host, '([^.]+\\.[^.]+\\.[^.]+)$', 1), 4 FROM seen
+    UNION ALL SELECT host || '/' || segment, 8 FROM seen WHERE segment <> ''),
+listed AS (SELECT pattern, min(one_in) AS one_in FROM named WHERE pattern <> '' GROUP BY pattern),
+dated AS (
+    SELECT pattern, epoch(TIMESTAMP '{urls.EPOCH}') + ({_HEX("md5(pattern)", 5, 4)} % 300) * 86400 AS on_at, on_at + (1 + {_HEX("md5(pattern)", 9, 4)} % 90) * 86400 AS off_at
+    FROM listed WHERE {_HEX("md5(pattern)", 1, 4)} % one_in = 0),
+valid AS (SELECT pattern, on_at AS since, off_at AS until, true AS blocked FROM dated UNION ALL SELECT pattern, off_at, NULL, false FROM dated),
+parts AS (SELECT *, string_split(host, '.') AS labels FROM c),
+asked AS (
+    SELECT page_id, t, k AS depth, array_to_string(labels[len(labels) - k + 1:], '.') AS pattern FROM parts, unnest(generate_series(2, len(labels))) AS g(k) WHERE host <> '' AND len(labels) >= 2
+    UNION ALL SELECT page_id, t, 1, host FROM parts WHERE host <> '' AND len(labels) < 2
+    UNION ALL SELECT page_id, t, len(labels) + 1, host || '/' || segment FROM parts WHERE host <> '' AND segment <> ''),
+met AS (
+    SELECT page_id, v.* FROM asked a JOIN valid v ON a.pattern = v.pattern AND v.since <= a.t AND (v.until IS NULL OR a.t < v.until)
+    QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY depth DESC) = 1)
+SELECT c.page_id, CAST(t AS BIGINT) AS fetched, host, coalesce(blocked, false) AS blocked, coalesce(pattern, '') AS pattern, CAST(coalesce(since, -1) AS BIGINT) AS since, CAST(coalesce(until, -1) AS BIGINT) AS until
+FROM c LEFT JOIN met USING (page_id)
+"""
+
+MIX = rf"""
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [1, 2, 3][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight, source_size * 3 AS cap, CAST(cap AS DOUBLE) / weight AS ratio FROM s),
+l AS (
+    SELECT *, coalesce(sum(cap) OVER b, 0) AS held, sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS left_weight, sum(source_size) OVER () - held AS pool, cap * left_weight >= weight * pool AS free
+    FROM w WINDOW b AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT ratio AS first_ratio, pool AS first_pool, left_weight AS first_weight FROM l WHERE free ORDER BY ratio, source NULLS LAST LIMIT 1),
+t AS (SELECT source, source_size, least(CASE WHEN ratio >= first_ratio THEN CAST(weight * first_pool AS DOUBLE) / first_weight ELSE CAST(cap AS DOUBLE) END, CAST(cap AS DOUBLE)) AS target FROM l, f),
+p AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate, row_number() OVER (PARTITION BY d.source ORDER BY size, doc_id NULLS FIRST) AS place FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+u AS (SELECT source, i, CAST({_HEX("sha256('mix:' || i || ':' || coalesce(source, '\\N'))", 1, 8)} AS DOUBLE) / 4294967296.0 AS u FROM s, unnest(generate_series(0, 15)) AS g(i)),
+c AS (SELECT p.*, i, CAST(floor(rate * CAST(place AS DOUBLE) + u) - floor(rate * CAST(place - 1 AS DOUBLE) + u) AS BIGINT) * size AS taken FROM p JOIN u ON p.source IS NOT DISTINCT FROM u.source),
+m AS (SELECT source, i FROM c GROUP BY source, i, target QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(sum(taken) - target), i) = 1)
+SELECT doc_id, size, source_size, target, taken FROM c JOIN m ON c.source IS NOT DISTINCT FROM m.source AND c.i = m.i
+""".replace(r"'\\N'", r"'\N'")
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+LEAKS = f"""
+WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS ws FROM benchmark),
+w AS (
+    SELECT DISTINCT item, 10 AS n, array_to_string(ws[i:i + 9], ' ') AS win FROM b, unnest(generate_series(1, len(ws) - 9)) AS g(i)
+    UNION SELECT item, len(ws), array_to_string(ws, ' ') FROM b WHERE len(ws) BETWEEN 1 AND 9),
+d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+p AS (SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS win FROM d, (SELECT DISTINCT n FROM w) AS ns, unnest(generate_series(1, len(ws) - n + 1)) AS g(i)),
+h AS (SELECT doc_id, p.n, i, item FROM p JOIN w ON p.n = w.n AND p.win = w.win),
+hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM h, unnest(generate_series(i, i + n - 1)) AS g(j) GROUP BY doc_id),
+its AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+TOP = """
+WITH r AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM r q JOIN r c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s QUALIFY rank <= 10
+"""
+
+CHATS = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '<|im_end|><|im_start|>assistant ok'),
+e AS (
+    SELECT *, CASE WHEN contains(text, '<|im_end|>') OR contains(text, '<|im_start|>') OR regexp_matches(text, '<\\+\|') THEN len(regexp_extract_all(text, '<\\*\|')) ELSE 0 END AS escapes FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+    CAST(sum(length('<|im_start|>') + length(role) + 1 + length(text) + escapes + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_url_filter": URLS,
+    "op4_source_mix": MIX,
+    "op7_benchmark_decontamination": LEAKS,
+    "op8_exact_top_k": TOP,
+    "op10_chat_format": CHATS,
+}

@@ -97,9 +97,9 @@ def idempotency(spark, sf):
     return cleaning.idempotency_violations(cleaned, cleaning.clean_precedent, "html")
 
 
-@query(f"SELECT doc_id, list_filter({_TERM_LIST}, lambda t: contains(text, t)) AS hits FROM documents")
+@query(f"SELECT doc_id, array_to_string(list_filter({_TERM_LIST}, lambda t: contains(text, t)), ',') AS hits FROM documents")
 def vocab_hits(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.vocabulary_hits(F.col("text"), TERMS).alias("hits"))
+    return table(spark, sf, "documents").select("doc_id", F.array_join(tx.vocabulary_hits(F.col("text"), TERMS), ",").alias("hits"))
 
 
 _DECIDED = """WITH h AS (SELECT doc_id, lang, text, list_filter(['the', 'der'], lambda t: contains(text, t)) AS d, list_filter(['token', 'idiot'], lambda t: contains(text, t)) AS i,
@@ -420,9 +420,6 @@ def bigram_overlap(spark, sf):
     return evaluation.overlap(q, chunks, "item_id").select("item_id", F.round("ratio", 9).alias("ratio"))
 
 
-_CITED = "cited AS (SELECT item_id, doc_id FROM gold)"
-
-
 @query(f"WITH {_BM25}, {_GOLD} SELECT g.item_id, g.doc_id FROM gold g SEMI JOIN bm ON g.item_id = bm.item_id AND g.doc_id = bm.doc_id")
 def cited_semi(spark, sf):
     cited = _gold(spark, sf).select("item_id", F.explode("relevant").alias("doc"))
@@ -437,10 +434,10 @@ def cited_anti(spark, sf):
 
 @query(
     """WITH s AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase'), f AS (SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events)
-    SELECT user_id, event_id, ts FROM f WHERE n = 1 AND user_id NOT IN (SELECT user_id FROM s)"""
+    SELECT user_id, event_id, epoch_us(ts) AS at FROM f WHERE n = 1 AND user_id NOT IN (SELECT user_id FROM s)"""
 )
 def resume_antijoin(spark, sf):
-    e = table(spark, sf, "events").select("user_id", "event_id", "ts")
+    e = table(spark, sf, "events").select("user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
     return readers.unseen(e, table(spark, sf, "events").filter("event_type = 'purchase'"), "user_id", "event_id")
 
 

@@ -25,6 +25,8 @@ from quillspark.llm.common import written
 WORD = r"[^\x20\x09-\x0D]+"
 #: Ids in one block.
 BLOCK = 65536
+#: Sources whose table is broadcast, of about 300 bytes a row.
+FEW_SOURCES = 50_000
 
 
 def word_count(text: Column) -> Column:
@@ -86,12 +88,14 @@ def mix(
     by_size = rows.groupBy("key", "source", "size").agg(F.count(F.lit(1)).alias("n"))
     sources = source_targets(by_size.groupBy("key", "source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, most)
     sources = sources.select("key", "source_size", "target", F.array(*(offset(F.col("source"), f"{seed}{i}:") for i in range(draws))).alias("tried"))
+    # Sources are names, a table of few rows as a rule; counted, it is sent to all tasks, and joined by key beyond.
+    few = F.broadcast if by_size.select("key").distinct().limit(FEW_SOURCES + 1).count() <= FEW_SOURCES else lambda df: df
     rank = Window.partitionBy("key").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
     shorter = by_size.select("key", "size", F.coalesce(F.sum("n").over(rank), F.lit(0)).alias("shorter"))
     by_block = rows.groupBy("key", "size", "block").agg(F.count(F.lit(1)).alias("n"))
     rank = Window.partitionBy("key", "size").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     earlier = by_block.select("key", "size", "block", F.coalesce(F.sum("n").over(rank), F.lit(0)).alias("earlier"))
-    places = earlier.join(shorter, ["key", "size"]).join(sources, "key").withColumn("before", F.col("shorter") + F.col("earlier"))
+    places = earlier.join(shorter, ["key", "size"]).join(few(sources), "key").withColumn("before", F.col("shorter") + F.col("earlier"))
     own = Window.partitionBy("key", "size", "block").orderBy("id")
     places = places.drop("shorter", "earlier")
 
@@ -111,7 +115,7 @@ def mix(
     taken = copies(F.element_at("tried", F.col("draw") + 1))
     return (
         placed(sized if keep else rows)
-        .join(chosen, "key")
+        .join(few(chosen), "key")
         .withColumn("copies", taken)
         .select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *(["kept"] if keep else []))
     )

@@ -7,8 +7,8 @@ is a sorted list. For a query the lists are read from the end that its sign
 prefers, in steps, all to the same depth. What has been read of a candidate,
 with the worst or the best that the unread ends of the other lists allow, gives
 its lower and upper bound. Once the k-th largest lower bound exceeds the upper
-bounds of all outsiders, reading stops, and the scores of the candidates that
-are left are resolved. Each query keeps k rows of a block; a last rank over
+bounds of all outsiders but a few, reading stops, and the scores of the
+candidates that are left are resolved. Each query keeps k rows of a block; a last rank over
 blocks decides. Scores are integers, so the result is exact; ties go to the
 smaller id.
 
@@ -46,41 +46,51 @@ def _matrix(arrays, width: int):
 
 
 class SortedLists:
-    """The lists of one block of candidates."""
+    """The lists of one block of candidates: each component's rows and values, from the least and from the greatest on."""
 
     def __init__(self, ids, v):
         import numpy as np
 
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.v, self.n = ids[order], v[order], len(ids)
-        by_value = np.argsort(self.v, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(self.v, by_value, axis=0)
-        self.rank = np.empty(self.v.shape, dtype=np.int32)
-        np.put_along_axis(self.rank, by_value, np.arange(self.n, dtype=np.int32)[:, None], axis=0)
+        by_id = np.argsort(ids, kind="stable")
+        self.ids, self.v, self.n = ids[by_id], v[by_id], len(ids)
+        order = np.argsort(self.v.T, axis=1, kind="stable").astype(np.int32)
+        values = np.take_along_axis(self.v.T, order, axis=1).astype(np.float64)
+        self.rows = np.stack([order, order[:, ::-1]])
+        self.values = np.stack([values, values[:, ::-1]])
+        self.components = np.arange(self.v.shape[1])
+        self.depth = 0
+
+    def bounds(self, q, depth: int):
+        """Upper and lower bounds of all rows once each list is read to a depth, from the end that q's sign prefers."""
+        import numpy as np
 
-    def top(self, query_id: int, q, k: int, floor=None):
-        """Row numbers and scores of the k best, best first; those under `floor`, a k-th score reached elsewhere, may be missing."""
+        side = (q >= 0).astype(np.int64)
+        weight = q.astype(np.float64)[:, None]
+        rows = self.rows[side, self.components, :depth]
+        read = self.values[side, self.components, :depth] * weight
+        edge, worst = read[:, -1:], self.values[1 - side, self.components, :1] * weight
+        rows = rows.ravel()
+        upper = edge.sum() + np.bincount(rows, (read - edge).ravel(), self.n)
+        lower = worst.sum() + np.bincount(rows, (read - worst).ravel(), self.n)
+        return upper, lower
+
+    def top(self, query_id: int, q, k: int):
+        """Row numbers and scores of the k best, best first."""
         import numpy as np
 
-        n = self.n
-        up = q >= 0
-        mine = np.flatnonzero(self.ids != query_id)
-        worst = np.where(up, self.sorted[0], self.sorted[-1]) * q
-        depth, alive = max(k, n // 16), mine
-        while depth < n and len(alive) > 4 * k:
-            # A list has shown a row if its place from the better end is under the depth.
-            v = self.v[alive]
-            shown = np.where(up, n - 1 - self.rank[alive], self.rank[alive]) < depth
-            edge = np.where(up, self.sorted[n - depth], self.sorted[depth - 1]) * q
-            read = np.where(shown, v * q, 0).sum(axis=1, dtype=v.dtype)
-            upper = read + np.where(shown, 0, edge).sum(axis=1, dtype=v.dtype)
-            lower = read + np.where(shown, 0, worst).sum(axis=1, dtype=v.dtype)
-            least = np.partition(lower, len(lower) - k)[len(lower) - k] if len(lower) >= k else None
-            if floor is not None:
-                least = floor if least is None else max(least, floor)
-            if least is not None:
-                alive = alive[upper >= least]
-            depth *= 2
+        n, mine = self.n, self.ids != query_id
+        depth, alive = max(k, n // 16, self.depth), np.flatnonzero(mine)
+        # Bounds are sums of products in floating point: exact up to 2**53, and given room beyond.
+        room = 1e-9 * float(np.abs(q.astype(np.float64)).sum()) * float(np.abs(self.values).max(initial=0))
+        while depth < n and len(alive) > k:
+            upper, lower = self.bounds(q, depth)
+            reached = lower[mine]
+            least = np.partition(reached, len(reached) - k)[len(reached) - k] if len(reached) >= k else -np.inf
+            alive = np.flatnonzero(mine & (upper >= least - (room if room > 1e3 else 0)))
+            if len(alive) <= max(4 * k, n // 4):  # few enough to look up all of them
+                self.depth = depth - n // 64  # the next query begins where this one could almost stop
+                break
+            depth += max(n // 16, 1)
         score = self.v[alive] @ q
         order = np.lexsort((self.ids[alive], -score))[:k]
         return alive[order], score[order]
@@ -95,8 +105,6 @@ def _answers(k: int):
         if len(queries) and len(rows):
             width = max(max(map(len, queries["v"])), max(map(len, rows["v"])))
             v, asked = _matrix(rows["v"].to_numpy(), width), _matrix(queries["v"].to_numpy(), width)
-            if float(np.abs(v).max()) * float(np.abs(asked).max()) * width < 2**31:  # half the memory to go through
-                v, asked = v.astype(np.int32), asked.astype(np.int32)
             lists = SortedLists(rows["vec_id"].to_numpy(), v)
             for query_id, q in zip(queries["vec_id"].to_numpy(), asked, strict=True):
                 at, score = lists.top(query_id, q, k)

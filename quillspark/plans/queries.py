@@ -291,9 +291,9 @@ def excerpt_trim(spark, sf):
 _TERMS = r"""t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS ts FROM documents), e AS (SELECT doc_id, len(ts) AS dl, unnest(ts) AS term FROM t), p AS (SELECT doc_id, term, count(*) AS tf, any_value(dl) AS dl FROM e GROUP BY doc_id, term)"""
 
 
-@query(f"WITH {_TERMS} SELECT doc_id AS doc, term, tf, dl FROM p")
+@query(f"WITH {_TERMS} SELECT doc_id AS doc, term, tf, CAST(dl AS BIGINT) AS dl FROM p")
 def postings(spark, sf):
-    return retrieval.postings(table(spark, sf, "documents"), "doc_id", ["text"]).select("doc", "term", "tf", "dl")
+    return retrieval.postings(table(spark, sf, "documents"), "doc_id", ["text"]).select("doc", "term", "tf", F.col("dl").cast("long").alias("dl"))
 
 
 @query(f"WITH {_TERMS} SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM p GROUP BY term")
@@ -433,12 +433,12 @@ def cited_anti(spark, sf):
 
 
 @query(
-    """WITH s AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase'), f AS (SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events)
+    """WITH s AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 200), f AS (SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events)
     SELECT user_id, event_id, epoch_us(ts) AS at FROM f WHERE n = 1 AND user_id NOT IN (SELECT user_id FROM s)"""
 )
 def resume_antijoin(spark, sf):
     e = table(spark, sf, "events").select("user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
-    return readers.unseen(e, table(spark, sf, "events").filter("event_type = 'purchase'"), "user_id", "event_id")
+    return readers.unseen(e, table(spark, sf, "events").filter("event_type = 'purchase' AND value > 200"), "user_id", "event_id")
 
 
 @query("SELECT user_id AS serial, arg_min(event_type, event_id) AS publisher FROM events GROUP BY user_id")

@@ -19,11 +19,15 @@ the 32 bands find a pair of similarity 0.8 but for 1 in 2*10**7. In a bucket of
 up to ALL texts each pair is a candidate; a larger one is dealt out by salt and
 gives candidates with the least text and with the one before, which keeps their
 number linear. Candidates whose signatures agree too little are left (5 standard
-deviations under the threshold), for others the runs are counted: first for each
-text's best candidates, then for all whose texts aren't connected yet. Last, in
-larger buckets whose texts are still of several components, those that aren't of
-the most frequent one are compared with all others, in blocks, and verified
-too. So each class is what all pairs of all buckets would give.
+deviations under the threshold). What the others connect is a family. Should a
+bucket hold texts of several families, all their pairs are estimated, and those
+that agree enough join the candidates.
+
+Overlap. For each text's best candidates the runs are counted, which links most
+of a family. Families that links don't connect are dealt out in blocks: texts
+outside the family's most frequent component are compared with all others, by
+signature, then by counting runs, until no two components have a link. So each
+class is what all pairs of all buckets would give, and only links are written.
 
 Null and blank texts have no runs and are of one class. Rows with null ids take
 part but never name a class. Repeated rows are copies.
@@ -42,8 +46,8 @@ from quillspark.llm.components import components
 
 SLOTS, BAND = 128, 4
 RUN = 5
-#: Texts in a bucket up to which all pairs are candidates, and to which a larger one is dealt out.
-ALL, DEALT = 4, 4096
+#: Texts in a bucket up to which all pairs are candidates, to which a larger one is dealt out, and in a block of a family.
+ALL, DEALT, BLOCK = 4, 4096, 1024
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -236,40 +240,100 @@ def _agreeing(least: float):
     return run
 
 
-def _across(least: float):
-    """The pairs (a, b) of rows (bucket, i, j, away, rid, component, sig), sorted by these: in a block those marked away come first and are compared with the others that follow."""
+def _across(least: float, threshold: float | None):
+    """Pairs (a, b) across components of rows (g, i, j, away, rid, component, sig, bag), sorted by these: in a block those marked away come first and are compared with the others that follow.
+
+    Without a threshold these are the pairs whose signatures agree enough; with one the links among them, of which
+    one for each text and component is as good as all.
+    """
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
+        def links(r, c, s, bag, rows):
+            rid, component, sig, bags = rows
+            agree = (sig == s).mean(axis=1)
+            hit = np.flatnonzero((component != c) & (agree >= least))
+            if threshold is None:
+                return hit
+            met, found = set(), []
+            for k in hit[np.argsort(-agree[hit], kind="stable")].tolist():
+                if component[k] not in met:
+                    both, union = overlap(bag, bags[k])
+                    if both >= threshold * union - 1e-9:
+                        met.add(component[k])
+                        found.append(k)
+            return np.array(found, dtype=np.int64)
+
         at, parts = None, []
         for batch in batches:
-            keys = list(zip(*(batch.column(n).to_pylist() for n in ("bucket", "i", "j")), strict=True))
+            keys = list(zip(*(batch.column(n).to_pylist() for n in ("g", "i", "j")), strict=True))
             away = np.array(batch.column("away").to_pylist(), dtype=bool)
             rid, component = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("rid", "component"))
             sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint16).reshape(-1, SLOTS)
+            bags = [None if x is None else _unpacked(x) for x in batch.column("bag").to_pylist()]
             first = 0
             while first < len(keys):
                 last = first
                 while last < len(keys) and keys[last] == keys[first] and away[last] == away[first]:
                     last += 1
-                rows = rid[first:last], component[first:last], sig[first:last]
+                rows = rid[first:last], component[first:last], sig[first:last], bags[first:last]
                 if keys[first] != at:
                     at, parts = keys[first], []
                 if away[first]:
                     parts.append(rows)
                 else:
-                    for r, c, s in parts:
-                        for k in range(len(r)):
-                            hit = np.flatnonzero((rows[1] != c[k]) & ((rows[2] == s[k]).mean(axis=1) >= least))
+                    for part in parts:
+                        for r, c, s, bag in zip(*part, strict=True):
+                            hit = links(r, c, s, bag, rows)
                             if len(hit):
-                                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rows[0][hit], r[k])), pa.array(np.maximum(rows[0][hit], r[k]))], names=["a", "b"])
+                                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rows[0][hit], r)), pa.array(np.maximum(rows[0][hit], r))], names=["a", "b"])
                 first = last
 
     return run
 
 
+def _packed(bag) -> bytes:
+    return bag[0].tobytes() + bag[1].astype("<u4").tobytes()
+
+
+def _unpacked(data: bytes):
+    import numpy as np
+
+    n = len(data) // 12
+    return np.frombuffer(data, dtype=np.uint64, count=n), np.frombuffer(data, dtype="<u4", offset=8 * n).astype(np.int64)
+
+
+def _bags(batches):
+    import pyarrow as pa
+
+    hashes = WordHashes()
+    for batch in batches:
+        bags = [_packed(runs_of(words_of(t), hashes)) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(bags, pa.binary())], names=["rid", "bag"])
+
+
+def _compared(rows: DataFrame, texts: DataFrame, size: int, least: float, threshold: float | None, bags: DataFrame | None = None) -> DataFrame:
+    """Pairs across components of rows (g, rid, component), each g dealt out in blocks of about size texts by size texts."""
+    sizes = rows.groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.mode("component").alias("home"), F.count(F.lit(1)).alias("n")).filter("x <> y")
+    mixed = written(rows.join(sizes.select("g", "home", "n"), "g").withColumn("away", F.col("component") != F.col("home")), "mixed")
+    aways = mixed.groupBy("g").agg(F.count_if("away").alias("m"))
+    blocks = lambda c: F.ceil(F.col(c) / size).cast("int")
+    mixed = mixed.join(aways, "g").select("g", "rid", "component", "away", blocks("n").alias("ni"), blocks("m").alias("nj")).join(texts.select("rid", "sig"), "rid")
+    mixed = mixed.join(bags, "rid") if bags is not None else mixed.withColumn("bag", F.lit(None).cast("binary"))
+    row, column = (F.pmod(F.xxhash64("rid"), F.col(n)).cast("int") for n in ("ni", "nj"))
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    # Each text is in the blocks of its row; one that is away also, and first, in those of its column.
+    places = F.concat(
+        F.transform(every("nj"), lambda j: F.struct(row.alias("i"), j.alias("j"), F.lit(False).alias("away"))),
+        F.when(F.col("away"), F.transform(every("ni"), lambda i: F.struct(i.alias("i"), column.alias("j"), F.lit(True).alias("away")))).otherwise(F.array().cast("array<struct<i:int,j:int,away:boolean>>")),
+    )
+    dealt = mixed.select("g", F.explode(places).alias("p"), "rid", "component", "sig", "bag")
+    dealt = dealt.select("g", "p.i", "p.j", "p.away", "rid", "component", "sig", "bag").repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", F.desc("away"), "rid")
+    return dealt.mapInArrow(_across(least, threshold), "a long, b long").distinct()
+
+
 def overlap(x, y) -> tuple[int, int]:
     """Sizes of the intersection and the union of two multisets as runs_of gives them."""
     import numpy as np
@@ -329,52 +393,34 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
         return pairs.join(x, "a").join(y, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing(least), "a long, b long, agree double")
 
     candidates = written(estimated(pairs), "candidates")
-    crowded = written(members.filter(F.col("n") > ALL).select("bucket", "rid"), "crowded")
-    involved = candidates.select(F.col("a").alias("rid")).unionByName(candidates.select(F.col("b").alias("rid"))).unionByName(crowded.select("rid")).distinct()
-    asked = involved.join(texts.select("rid", "id"), "rid")
-    # One row of the documents for each text that is asked for, however many copies it has.
+    families = written(components(candidates.select(F.col("a").alias("u"), F.col("b").alias("v"))), "families")
+    crowded = members.filter(F.col("n") > ALL).select(F.col("bucket").alias("g"), "rid").join(families.withColumnRenamed("node", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
+    more = written(_compared(crowded, texts, DEALT, least, None), "candidates")
+    if not more.isEmpty():
+        candidates = written(candidates.unionByName(estimated(more)), "candidates")
+        families = written(components(candidates.select(F.col("a").alias("u"), F.col("b").alias("v"))), "families")
+
+    # One row of the documents for each text of a family, however many copies it has.
+    asked = families.select(F.col("node").alias("rid")).join(texts.select("rid", "id"), "rid")
     named = rows.mapInArrow(_named, f"id {kind}, text string, rid long")
     sources = written(
         named.alias("t").join(asked.alias("q"), (F.col("t.rid") == F.col("q.rid")) & F.col("t.id").eqNullSafe(F.col("q.id"))).select("t.rid", "t.text").dropDuplicates(["rid"]), "sources"
     )
-
-    def verified(pairs):
-        x, y = (sources.select(F.col("rid").alias(n), F.col("text").alias(f"text_{n}")) for n in "ab")
-        return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified(threshold), "u long, v long")
-
     best = lambda side: Window.partitionBy(side).orderBy(F.desc("agree"), "a", "b")
-    ranked = written(candidates.withColumn("rank", F.least(F.row_number().over(best("a")), F.row_number().over(best("b")))), "ranked")
-    links = written(verified(ranked.filter("rank <= 2")), "verified")
+    first = candidates.withColumn("rank", F.least(F.row_number().over(best("a")), F.row_number().over(best("b")))).filter("rank <= 2")
+    x, y = (sources.select(F.col("rid").alias(n), F.col("text").alias(f"text_{n}")) for n in "ab")
+    links = written(first.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified(threshold), "u long, v long"), "verified")
     found = written(components(links), "components")
-
-    def apart(pairs, found):
-        x, y = (found.select(F.col("node").alias(n), F.col("component").alias(f"of_{n}")) for n in "ab")
-        return pairs.join(x, "a", "left").join(y, "b", "left").filter("of_a is null or of_b is null or of_a <> of_b").select("a", "b")
-
-    more = written(verified(apart(ranked.filter("rank > 2"), found)), "verified")
+    known = families.select(F.col("component").alias("g"), F.col("node").alias("rid")).join(found.withColumnRenamed("node", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
+    more = _compared(known, texts, BLOCK, least, threshold, sources.mapInArrow(_bags, "rid long, bag binary"))
+    more = written(more.select(F.col("a").alias("u"), F.col("b").alias("v")), "verified")
     if not more.isEmpty():
-        links = links.unionByName(more)
-        found = written(components(links), "components")
-    if not crowded.isEmpty():
-        placed = crowded.join(found.withColumnRenamed("node", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
-        sizes = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.mode("component").alias("home"), F.count(F.lit(1)).alias("n")).filter("x <> y")
-        mixed = placed.join(sizes.select("bucket", "home", "n"), "bucket").withColumn("away", F.col("component") != F.col("home"))
-        aways = mixed.groupBy("bucket").agg(F.count_if("away").alias("m"))
-        blocks = lambda c: F.ceil(F.col(c) / DEALT).cast("int")
-        mixed = written(mixed.join(aways, "bucket").select("bucket", "rid", "component", "away", blocks("n").alias("ni"), blocks("m").alias("nj")).join(texts.select("rid", "sig"), "rid"), "mixed")
-        row, column = (F.pmod(F.xxhash64("rid"), F.col(n)).cast("int") for n in ("ni", "nj"))
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        asks = mixed.filter("away").select("bucket", every("ni").alias("i"), column.alias("j"), F.lit(True).alias("away"), "rid", "component", "sig")
-        held = mixed.select("bucket", row.alias("i"), every("nj").alias("j"), F.lit(False).alias("away"), "rid", "component", "sig")
-        dealt = asks.unionByName(held).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", F.desc("away"), "rid")
-        rest = dealt.mapInArrow(_across(least), "a long, b long")
-        rest = rest.select("a", "b").distinct().join(candidates.select("a", "b"), ["a", "b"], "left_anti")
-        more = written(verified(rest), "verified")
-        if not more.isEmpty():
-            found = written(components(links.unionByName(more)), "components")
+        found = written(components(links.unionByName(more)), "components")
 
     placed = signed.select("id", "rid").join(found.withColumnRenamed("node", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
-    classes = placed.groupBy("component").agg(F.min("id").alias("class_id"))
+    # Both are written first, so that their join has two shuffled sides, of which Spark can split a large class's.
+    placed = written(placed, "placed")
+    classes = written(placed.groupBy("component").agg(F.min("id").alias("class_id")), "classes")
     return placed.join(classes, "component").select(F.col("id").alias(id_col), "rid", "class_id")
 
 

@@ -72,6 +72,7 @@ def test_classes_are_those_of_all_pairs(spark, docs_of):
 def test_crowded_buckets(spark, docs_of, monkeypatch):
     monkeypatch.setattr(M, "ALL", 3)
     monkeypatch.setattr(M, "DEALT", 6)
+    monkeypatch.setattr(M, "BLOCK", 5)
     r = random.Random(5)
     base = [f"w{i}" for i in range(120)]
     rows = []

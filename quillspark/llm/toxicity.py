@@ -38,6 +38,8 @@ EDGE = 48
 SPAN = 5
 DECAY = 0.7
 WIDTH = 24
+#: Words that are scored at once, in about 20 MB.
+CHUNK = 2000
 #: Decision value of a word that has no three letters.
 LOWEST = -3.0
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]+\S(?!\S)){2,}")
@@ -102,8 +104,8 @@ def decisions(table, bias: float, words: list[str], codes: Codes):
 
     out = np.full(len(words), LOWEST, dtype=np.float32)
     for m, owner in encoded(words, codes):
-        for k in range(0, len(m), 20_000):
-            part = list(triples(m[k : k + 20_000]))
+        for k in range(0, len(m), CHUNK):
+            part = list(triples(m[k : k + CHUNK]))
             code = np.concatenate([c for c, _ in part], axis=1)
             weight = np.concatenate([np.full(c.shape[1], w, dtype=np.float32) for c, w in part])
             total = (table[code] * weight).sum(axis=1)
@@ -116,7 +118,7 @@ def decisions(table, bias: float, words: list[str], codes: Codes):
             sums = np.add.reduceat(weight[order].ravel(), at) * (code.ravel()[at] > 0)
             norm = np.bincount(at // code.shape[1], sums * sums, len(code))
             value = np.where(norm > 0, total / np.sqrt(np.maximum(norm, 1e-9)) + bias, LOWEST)
-            np.maximum.at(out, owner[k : k + 20_000], value.astype(np.float32))
+            np.maximum.at(out, owner[k : k + CHUNK], value.astype(np.float32))
     return out
 
 
@@ -203,7 +205,7 @@ def fit_words(counts: list[tuple[str, int, int]], landmarks: int = 480, rounds:
         kept = values > 1e-6 * values.max()
         root = vectors[:, kept] / np.sqrt(values[kept])
         every = witness + hidden + negative
-        kernel = np.concatenate([dense(*features(every[i : i + 500], codes), columns) @ lm.T for i in range(0, len(every), 500)])
+        kernel = np.concatenate([dense(*features(every[i : i + 200], codes), columns) @ lm.T for i in range(0, len(every), 200)])
         z = np.hstack([kernel @ root, np.ones((len(every), 1))])
         y = np.array([1.0] * (len(witness) + len(hidden)) + [-1.0] * len(negative))
         weight = np.log1p(np.array([seen.get(w, 1) for w in every], dtype=float))
@@ -289,7 +291,7 @@ class Model:
         return 1 / (1 + F.exp(-(value * self.slope + self.offset)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 4000, most_clean: int = 8000, most_words: int = 150_000, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 4000, most_clean: int = 8000, most_words: int = 60_000, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     """Learns from labels (id, toxic) of docs. The sample is of the labels whose hashed ids come first."""
     import numpy as np
 
@@ -300,13 +302,16 @@ def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 4000, most_clean:
     # Words of toxic documents go first by how toxic they are, then clean ones by hash; both bounded.
     likely = counts.filter("toxic >= 3").orderBy(-(F.col("toxic") / (F.col("clean") + 1)), "word").limit(5000)
     rest = counts.filter("clean > 0").orderBy(F.xxhash64("word"), "word").limit(most_words)
-    rows = {r["word"]: (r["word"], r["toxic"], r["clean"]) for part in (likely, rest) for r in part.collect()}
-    words = fit_words(list(rows.values()))
+    seen: dict[str, tuple[int, int]] = {}
+    for part in (likely, rest):
+        t = part.select("word", "toxic", "clean").toArrow()
+        seen.update(zip(t["word"].to_pylist(), zip(t["toxic"].to_pylist(), t["clean"].to_pylist(), strict=True), strict=True))
+    words = fit_words([(w, p, n) for w, (p, n) in seen.items()])
     if words is None:
         return None
     model = Model(words)
-    values = model.values(sample, "id", "text").join(F.broadcast(ordered[0].unionByName(ordered[1])), "id").select("value", "toxic").limit(2 * (most_toxic + most_clean)).collect()
-    model.slope, model.offset = fit_curve(np.array([v["value"] for v in values]), np.array([float(v["toxic"]) for v in values]))
+    values = model.values(sample, "id", "text").join(F.broadcast(ordered[0].unionByName(ordered[1])), "id").select("value", "toxic").limit(2 * (most_toxic + most_clean)).toArrow()
+    model.slope, model.offset = fit_curve(values["value"].to_numpy(), values["toxic"].to_numpy().astype(float))
     return model
 
 

@@ -59,7 +59,7 @@ def mix64(x):
 class WordHashes(dict):
     """Word (bytes) to a stable 64-bit hash; forgets all once it holds `most` words."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 

@@ -48,6 +48,8 @@ SLOTS, BAND = 128, 4
 RUN = 5
 #: Texts in a bucket up to which all pairs are candidates, to which a larger one is dealt out, and in a block of a family.
 ALL, DEALT, BLOCK = 4, 4096, 1024
+#: Documents whose signatures are made at once.
+TOGETHER = 250
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -129,9 +131,9 @@ def _signed(batches):
     hashes = WordHashes()
     for batch in batches:
         ids, texts = batch.column("id"), batch.column("text").to_pylist()
-        for a in range(0, len(texts), 1000):
+        for a in range(0, len(texts), TOGETHER):
             names, owners, elements, weights, full = [], [], [], [], []
-            for i, text in enumerate(texts[a : a + 1000]):
+            for i, text in enumerate(texts[a : a + TOGETHER]):
                 words = words_of(text)
                 names.append(text_id(words))
                 if words:
@@ -145,7 +147,7 @@ def _signed(batches):
                 s = signatures(np.concatenate(owners), np.concatenate(elements), np.concatenate(weights), len(full))
                 for i, row in zip(full, s, strict=True):
                     out[i] = row.tobytes()
-            yield pa.RecordBatch.from_arrays([ids.slice(a, 1000), pa.array(names, pa.int64()), pa.array(out, pa.binary())], names=["id", "rid", "sig"])
+            yield pa.RecordBatch.from_arrays([ids.slice(a, TOGETHER), pa.array(names, pa.int64()), pa.array(out, pa.binary())], names=["id", "rid", "sig"])
 
 
 def _banded(batches):

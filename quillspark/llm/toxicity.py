@@ -251,7 +251,7 @@ def _counted(batches):
         )
 
 
-def _scored(model, most_words: int = 600_000):
+def _scored(model, most_words: int = 400_000):
     """The highest decision value of each text; word values are kept from batch to batch, up to most_words."""
 
     def run(batches):

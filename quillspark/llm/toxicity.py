@@ -11,7 +11,8 @@ document has witnesses among its words, a clean one has none. Witnesses are the
 words whose share of toxic documents has a lower confidence bound (Wilson) over
 one half. Landmarks are witnesses and clean words; with their kernel matrix the
 Nyström map turns words into vectors, on which a squared-hinge SVM is fitted by
-Newton steps, with the clean words that score highest added each round. As the
+Newton steps, with the clean words that score highest added each round; all
+clean words of the sample are scored for that, on the executors. As the
 kernel is an inner product of subsequence counts, the machine's sum over
 landmarks is one table over letter triples, with which any number of words are
 scored without regard to the number of landmarks.
@@ -30,7 +31,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import crc32_mod
+from quillspark.llm.common import crc32_mod, written
 
 LETTERS = 49
 #: Code that stands before and after a word, so that a word differs from one that goes on.
@@ -178,27 +179,27 @@ def fit_svm(z, y, weight, ridge: float = 3e-3, steps: int = 20):
     return w
 
 
-def fit_words(counts: list[tuple[str, int, int]], landmarks: int = 480, rounds: int = 3):
-    """(table, bias) from (word, toxic documents, clean documents); None without witnesses."""
+def fit_words(witness: list[tuple[str, int]], negative: list[tuple[str, int]], among, hardest, landmarks: int = 480, rounds: int = 3):
+    """(table, bias) from witnesses and the first clean words, both (word, documents); None without either.
+
+    `among(words)` has those of some words that are clean ones, `hardest(table, bias)` the highest of all clean
+    words as (word, documents, decision value).
+    """
     import numpy as np
 
-    codes = Codes()
-    counts = sorted(counts)
-    witness = [w for w, p, n in counts if p >= 3 and wilson(p, p + n) > 0.5]
-    seen = {w: p + n for w, p, n in counts}
-    witness = sorted(sorted(witness, key=lambda w: (-seen[w], w))[:2000])
-    clean = [w for w, p, n in counts if n > 0 and 2 * p < p + n]
-    if not witness or not clean:
+    if not witness or not negative:
         return None
+    codes = Codes()
+    seen = dict(negative) | dict(witness)
+    first = [w for w, _ in sorted(witness, key=lambda x: (-x[1], x[0]))[: landmarks // 2]]
+    witness, chosen = sorted(w for w, _ in witness), {w for w, _ in negative}
     pick = np.random.default_rng(7)
     # Witnesses also stand with a letter put in, as insults do that hide.
     hidden = [w[:k] + chr(97 + int(c)) + w[k:] for w in witness[:400] if len(w) > 3 for k, c in zip(pick.integers(1, len(w), 3), pick.integers(0, 26, 3), strict=True)]
-    hidden = sorted(set(hidden) - set(clean))
-    chosen = sorted(set(pick.permutation(len(clean))[:4000].tolist()))
-    for _ in range(rounds):
-        negative = [clean[i] for i in chosen]
-        base = sorted(witness, key=lambda w: (-seen[w], w))[: landmarks // 2]
-        base += [negative[i] for i in pick.permutation(len(negative))[: landmarks - len(base)]]
+    hidden = sorted(set(hidden) - among(sorted(set(hidden))))
+    for last in reversed(range(rounds)):
+        negative = sorted(chosen)
+        base = first + [negative[i] for i in pick.permutation(len(negative))[: landmarks - len(first)]]
         sparse, columns = features(base, codes)
         lm = dense(sparse, columns, columns)
         values, vectors = np.linalg.eigh(lm @ lm.T)
@@ -213,11 +214,11 @@ def fit_words(counts: list[tuple[str, int, int]], landmarks: int = 480, rounds:
         w = fit_svm(z, y, weight)
         table = np.zeros(LETTERS**3, dtype=np.float32)
         table[columns] = (root @ w[:-1]) @ lm
-        f = decisions(table, w[-1], clean, codes)
-        hard = np.argsort(-f, kind="stable")[:1500]
-        if set(hard[f[hard] > -0.5].tolist()) <= set(chosen):
+        hard = hardest(table, float(w[-1])) if last else []
+        if {x for x, _, f in hard if f > -0.5} <= chosen:
             break
-        chosen = sorted(set(chosen) | set(hard.tolist()))
+        chosen |= {x for x, _, _ in hard}
+        seen |= {x: n for x, n, _ in hard}
     return table, float(w[-1])
 
 
@@ -251,6 +252,23 @@ def _counted(batches):
         )
 
 
+def _valued(model):
+    """The decision value of each word of a table (word, seen)."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        table, bias = model.value
+        codes = Codes()
+        for batch in batches:
+            for k in range(0, batch.num_rows, CHUNK):
+                part = batch.slice(k, CHUNK)
+                value = decisions(table, bias, part.column("word").to_pylist(), codes).astype("float64")
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(value)], names=["word", "seen", "value"])
+
+    return run
+
+
 def _scored(model, most_words: int = 400_000):
     """The highest decision value of each text; word values are kept from batch to batch, up to most_words."""
 
@@ -291,22 +309,31 @@ class Model:
         return 1 / (1 + F.exp(-(value * self.slope + self.offset)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 4000, most_clean: int = 8000, most_words: int = 60_000, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 4000, most_clean: int = 8000, most_witnesses: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     """Learns from labels (id, toxic) of docs. The sample is of the labels whose hashed ids come first."""
     import numpy as np
 
+    spark = docs.sparkSession
     known = labels.filter(F.col(id_col).isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max("toxic") > 0).alias("toxic"))
     ordered = [known.filter(F.col("toxic") == side).orderBy(F.xxhash64("id"), "id").limit(n) for side, n in ((True, most_toxic), (False, most_clean))]
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ordered[0].unionByName(ordered[1])), "id")
-    counts = sample.select("text", "toxic").mapInArrow(_counted, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    # Words of toxic documents go first by how toxic they are, then clean ones by hash; both bounded.
-    likely = counts.filter("toxic >= 3").orderBy(-(F.col("toxic") / (F.col("clean") + 1)), "word").limit(5000)
-    rest = counts.filter("clean > 0").orderBy(F.xxhash64("word"), "word").limit(most_words)
-    seen: dict[str, tuple[int, int]] = {}
-    for part in (likely, rest):
-        t = part.select("word", "toxic", "clean").toArrow()
-        seen.update(zip(t["word"].to_pylist(), zip(t["toxic"].to_pylist(), t["clean"].to_pylist(), strict=True), strict=True))
-    words = fit_words([(w, p, n) for w, (p, n) in seen.items()])
+    # As many files as there are shuffle partitions, so that each round's scoring has many tasks.
+    parts = sample.select("text", "toxic").mapInArrow(_counted, "word string, toxic long, clean long").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
+    counts = written(parts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "words").withColumn("seen", F.col("toxic") + F.col("clean"))
+    witness = counts.filter((F.col("toxic") >= 3) & (wilson(F.col("toxic"), F.col("seen")) > 0.5)).orderBy(F.desc("seen"), "word").limit(most_witnesses)
+    clean = counts.filter("clean > 0 AND 2 * toxic < seen").select("word", "seen")
+
+    def rows(df, *columns):
+        t = df.select(*columns).toArrow()
+        return list(zip(*(t[c].to_pylist() for c in columns), strict=True))
+
+    def hardest(table, bias, most: int = 1500):
+        sent = spark.sparkContext.broadcast((table, bias))
+        return rows(clean.mapInArrow(_valued(sent), "word string, seen long, value double").orderBy(F.desc("value"), "word").limit(most), "word", "seen", "value")
+
+    words = fit_words(
+        rows(witness, "word", "seen"), rows(clean.orderBy(F.xxhash64("word"), "word").limit(4000), "word", "seen"), lambda some: {w for (w,) in rows(clean.filter(F.col("word").isin(some)), "word")}, hardest
+    )
     if words is None:
         return None
     model = Model(words)

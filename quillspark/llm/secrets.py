@@ -8,6 +8,11 @@ document, so that decoding ends at a fixpoint and cycles close. Every layer
 carries, for each of its characters, the range of the original text that it
 came from; spans found in a layer are mapped back through it.
 
+All of a compressed stream comes from the same range. So it is unfolded and
+scanned in pieces, however long it is, and only the kinds found are kept. Pieces
+end where no pattern, escape or run can go on; only where LONGEST characters
+have no such place, a piece ends anywhere and the next one repeats its end.
+
 Nulls count as empty texts. Repeated rows give repeated results. A document
 needs no other, so the work is one narrow pass without a shuffle.
 """
@@ -16,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
@@ -35,8 +41,10 @@ _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-F
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 _URLSAFE = str.maketrans("-_", "+/")
-#: Bytes that one compressed stream may unfold to; a longer one is no text and stays unopened.
-MOST_UNFOLDED = 32 << 20
+#: Where a compressed text may be cut: after a character that is in no pattern, between plain words, after a line end that joins no run.
+_CUT = re.compile(r"""[^A-Za-z0-9+/_=.\-%\\{}:"'\x20\r\n]|(?<=[.,;:!?"'\x20])\r?\n|\s[A-Za-z]+\x20(?=[A-Za-z])""")
+#: Bytes unfolded at once; characters of a piece; of one that has no place to cut; and what is then repeated.
+CHUNK, PIECE, LONGEST, OVERLAP = 1 << 18, 1 << 20, 32 << 20, 1 << 20
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -49,16 +57,86 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-def _unfold(data: bytes) -> bytes | None:
-    """What a gzip or zlib stream holds; None if data is none."""
-    if data[:2] != b"\x1f\x8b" and not (data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0):
-        return None
+def _zipped(head: bytes) -> bool:
+    """Whether bytes begin as a gzip or zlib stream does."""
+    return head[:2] == b"\x1f\x8b" or (head[:1] == b"\x78" and len(head) > 2 and (head[0] << 8 | head[1]) % 31 == 0)
+
+
+def _unzipped(source):
+    """What a stream holds, in chunks; zlib.error if it is none or has no end."""
+    d = zlib.decompressobj(47)
+    for data in source:
+        while not d.eof:
+            out = d.decompress(data, CHUNK)
+            data = d.unconsumed_tail
+            if out:
+                yield out
+            if not data and len(out) < CHUNK:
+                break
+        if d.eof:
+            return
+    raise zlib.error("no end")
+
+
+def _chunks(data: bytes, depth: int):
+    """What is in `depth` streams around each other."""
+    source = iter((data,))
+    for _ in range(depth):
+        source = _unzipped(source)
+    return source
+
+
+def _streams(data: bytes) -> tuple[int, bytes]:
+    """How many streams are around each other, until one holds none or repeats; and the digest of what the last one holds."""
+    depth, seen, last, head = 0, set(), b"", data[:3]
+    while _zipped(head):
+        digest, head = hashlib.sha256(), b""
+        try:
+            for part in _chunks(data, depth + 1):
+                digest.update(part)
+                head = head if len(head) > 2 else (head + part)[:3]
+        except zlib.error:
+            break
+        if digest.digest() in seen:
+            break
+        last = digest.digest()
+        seen.add(last)
+        depth += 1
+    return depth, last
+
+
+def _texts(chunks):
+    """Chunks as text; ValueError if they are none."""
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    for part in chunks:
+        text = decoder.decode(part)
+        if _CONTROL.search(text):
+            raise ValueError("control character")
+        yield text
+    decoder.decode(b"", True)
+
+
+def _pieces(data: bytes, depth: int):
+    """The text in streams, in pieces; nothing if it is no text."""
     try:
-        d = zlib.decompressobj(47)
-        out = d.decompress(data, MOST_UNFOLDED)
-        return out if d.eof else None
-    except zlib.error:
-        return None
+        for _ in _texts(_chunks(data, depth)):
+            pass
+    except ValueError:
+        return
+    rest = ""
+    for part in _texts(_chunks(data, depth)):
+        rest += part
+        if len(rest) < PIECE:
+            continue
+        near = max(0, len(rest) - len(part) - 256) if len(rest) < LONGEST else 0
+        cut = max((m.end() for m in _CUT.finditer(rest, near)), default=0)
+        if cut:
+            yield rest[:cut]
+            rest = rest[cut:]
+        elif len(rest) >= LONGEST:
+            yield rest
+            rest = rest[-OVERLAP:]
+    yield rest
 
 
 def _as_text(data: bytes) -> str | None:
@@ -128,6 +206,7 @@ def _escapes(layer: _Layer) -> _Layer | None:
 
 
 def _base64_layers(layer: _Layer):
+    """Layers; of streams (start, end, bytes, depth, digest) instead."""
     for m in _BASE64.finditer(layer.text):
         run = m[0].rstrip("=")
         if len(run) % 4 == 1:
@@ -136,17 +215,13 @@ def _base64_layers(layer: _Layer):
             data = base64.b64decode(run.translate(_URLSAFE) + "=" * (-len(run) % 4))
         except binascii.Error:
             continue
-        whole, seen = False, set()
-        while (inner := _unfold(data)) is not None and (key := hashlib.sha256(inner).digest()) not in seen:
-            seen.add(key)
-            data, whole = inner, True
+        depth, digest = _streams(data)
+        if depth:
+            yield (*layer.span(m.start(), m.end()), data, depth, digest)
+            continue
         text = _as_text(data)
         if text is None:
             continue
-        if whole:
-            s, e = layer.span(m.start(), m.end())
-            yield _Layer(text, [s] * len(text), [e] * len(text))
-            continue
         starts, ends, i = [], [], 0
         for c in text:
             n = len(c.encode("utf-8"))
@@ -157,10 +232,9 @@ def _base64_layers(layer: _Layer):
         yield _Layer(text, starts, ends)
 
 
-def all_spans(text: str, base: list[tuple[int, int, int]] | None = None) -> list[tuple[int, int, int]]:
-    """base_spans of the text and, mapped to it, those of every layer in it; without repeats, in the same order."""
-    base = base_spans(text) if base is None else base
-    work, seen, found = [_Layer(text)], set(), set(base)
+def _unwrapped(first: _Layer, found: set, seen: set) -> list[tuple]:
+    """The streams in a layer and those inside it; adds the spans of these to found, and all that is met to seen."""
+    work, streams = [first], []
     while work:
         layer = work.pop()
         if layer.starts is not None:
@@ -175,10 +249,32 @@ def all_spans(text: str, base: list[tuple[int, int, int]] | None = None) -> list
         new += _base64_layers(layer)
         for x in new:
             # A region that two places share is decoded for each place, hence the first range in the key.
-            key = (hashlib.sha256(x.text.encode("utf-8", "surrogatepass")).digest(), x.starts[0] if x.starts else 0)
-            if x.text != layer.text and key not in seen:
+            stream = isinstance(x, tuple)
+            key = (x[4], x[0]) if stream else (hashlib.sha256(x.text.encode("utf-8", "surrogatepass")).digest(), x.starts[0] if x.starts else 0)
+            if (stream or x.text != layer.text) and key not in seen:
                 seen.add(key)
-                work.append(x)
+                (streams if stream else work).append(x)
+    return streams
+
+
+def _kinds(data: bytes, depth: int, digest: bytes) -> set[int]:
+    """The kinds of secrets in a stream and all that is inside it."""
+    found, seen, work = set(), {(digest, 0)}, [_pieces(data, depth)]
+    while work and len(found) < len(KINDS):
+        piece = next(work[-1], None)
+        if piece is None:
+            work.pop()
+        else:
+            inner = _unwrapped(_Layer(piece, [0] * len(piece), [1] * len(piece)), found, seen)
+            work += [_pieces(data, depth) for _, _, data, depth, _ in inner]
+    return {k for _, k, _ in found}
+
+
+def all_spans(text: str, base: list[tuple[int, int, int]] | None = None) -> list[tuple[int, int, int]]:
+    """base_spans of the text and, mapped to it, those of every layer in it; without repeats, in the same order."""
+    found = set(base_spans(text) if base is None else base)
+    for s, e, data, depth, digest in _unwrapped(_Layer(text), found, set()):
+        found |= {(s, k, e) for k in _kinds(data, depth, digest)}
     return sorted(found)
 
 

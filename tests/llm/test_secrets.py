@@ -95,3 +95,34 @@ def test_redaction_keeps_schema_and_leaves_nothing(spark, docs_of):
     assert rows[1]["text"] == "clean" and rows[2]["text"] is None
     for i in (0, 3):
         assert S.all_spans(rows[i]["text"]) == [] and "[REDACTED]" in rows[i]["text"] and rows[i]["n_chars"] == len(rows[i]["text"])
+
+
+def packed(text):
+    return base64.b64encode(gzip.compress(text.encode())).decode()
+
+
+def test_long_streams_are_scanned_in_pieces():
+    """Streams of more than 32 MB hide nothing, whether they have line ends or not, nor what is packed in them."""
+    fill, wide = "zebra, " * 3_000_000, "zebra\n" * 2_000_000
+    inner = packed(f"{wide}token=abcdefgh")
+    for text, kinds in ((f"{fill}{KEY}{fill}", {1}), (f"{fill}{HEX}{fill}{inner} {fill}", {0, 2}), ("zebra " * 7_000_000 + KEY, {1})):
+        assert len(text) > 32 << 20
+        b = packed(text)
+        assert S.all_spans(f"{b} after") == [(0, k, len(b)) for k in sorted(kinds)]
+    assert S.redacted(f"{b} after") == "[REDACTED] after"
+    b = base64.b64encode(gzip.compress(fill.encode() * 2 + b"\0" + KEY.encode())).decode()
+    assert S.all_spans(b) == S.base_spans(b)
+
+
+def test_pieces_cut_no_pattern(monkeypatch):
+    """Wherever pieces end, they hold what the whole text holds."""
+    monkeypatch.setattr(S, "CHUNK", 5)
+    monkeypatch.setattr(S, "PIECE", 7)
+    quoted = "".join(f"%{b:02X}" for b in b"password : hunter22")
+    for secret, kind in ((KEY, 1), (HEX, 2), ("secret  =  'abcdefgh'", 0), (quoted, 0), ("p%61ssword  %3A abcdefgh", 0), (base64.b64encode(b"passwd: hunter2222").decode(), 0), (packed("passwd: hunter2222"), 0)):
+        for k in range(12):
+            text = f"{'x' * k}, some plain words here {secret} and more of them, é"
+            data = gzip.compress(text.encode())
+            assert "".join(S._pieces(data, 1)) == text
+            b = base64.b64encode(data).decode()
+            assert [x[1] for x in S.all_spans(b) if x[::2] == (0, len(b))] == [kind], (k, secret)

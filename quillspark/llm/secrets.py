@@ -2,7 +2,9 @@
 
 A text is a first layer. Each layer is scanned with the patterns below, then
 unwrapped: percent escapes and Unicode escapes over the whole layer, base64
-runs (and the gzip or zlib streams in them, however nested) one by one. New
+runs (and the gzip or zlib streams in them, however nested) one by one, also
+joined over single line ends, and from after a slash, hyphen, underscore or line
+end where the start of a run holds nothing. New
 layers join the worklist unless a layer with the same content was seen in this
 document, so that decoding ends at a fixpoint and cycles close. Every layer
 carries, for each of its characters, the range of the original text that it
@@ -20,11 +22,11 @@ needs no other, so the work is one narrow pass without a shuffle.
 from __future__ import annotations
 
 import base64
-import binascii
 import codecs
 import hashlib
 import re
 import zlib
+from itertools import accumulate, chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +41,9 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]+)+={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_GLUE = re.compile(r"[/_-]")
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 _URLSAFE = str.maketrans("-_", "+/")
 #: Where a compressed text may be cut: after a character that is in no pattern, between plain words, after a line end that joins no run.
@@ -139,14 +144,6 @@ def _pieces(data: bytes, depth: int):
     yield rest
 
 
-def _as_text(data: bytes) -> str | None:
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return None if not text or _CONTROL.search(text) else text
-
-
 class _Layer:
     """A text with the original range of each of its characters; no ranges: the original itself."""
 
@@ -205,27 +202,74 @@ def _escapes(layer: _Layer) -> _Layer | None:
     return layer.replaced(pieces) if pieces else None
 
 
+def _runs(text: str):
+    """(characters, their places in the text, where lines begin) of base64 runs, in groups: each alone, and joined over single line ends, without the last line and with it."""
+    for m in _BASE64.finditer(text):
+        yield [(m[0].rstrip("="), range(m.start(), m.end()), [])]
+    for m in _WRAPPED.finditer(text) if "\n" in text else ():
+        lines = [x.span() for x in _LINE.finditer(text, m.start(), m.end())]
+        group = []
+        for some in (lines[:-1], lines) if len(lines) > 2 else (lines,):
+            at = [i for x in some for i in range(*x)]
+            if some is lines:
+                at += range(at[-1] + 1, m.end())
+            group.append(("".join(text[x:y] for x, y in some), at, list(accumulate(y - x for x, y in some))[:-1]))
+        yield group
+
+
+def _bytes(run: str) -> bytes:
+    run = run[:-1] if len(run) % 4 == 1 else run
+    return base64.b64decode(run.translate(_URLSAFE) + "=" * (-len(run) % 4))
+
+
+def _bad(data: bytes, final: bool = True) -> int | None:
+    """Where bytes, or bytes that go on, stop being text; None if nowhere."""
+    try:
+        text = codecs.getincrementaldecoder("utf-8")().decode(data, final)
+    except UnicodeDecodeError as e:
+        text, end = data[: e.start].decode("utf-8"), e.start
+    else:
+        end = None
+    m = _CONTROL.search(text)
+    return len(text[: m.start()].encode("utf-8")) if m else end
+
+
+def _opened(run: str, lines: list[int]):
+    """(first character, bytes, depth, digest) of what a run holds, from its start or else from after a mark or line end in it; None if nothing."""
+    dead = [-1] * 4
+    for k in chain((0,), sorted({*lines, *(m.end() for m in _GLUE.finditer(run))})):
+        if k and len(run) - k < 16:
+            break
+        if k and not _zipped(_bytes(run[k : k + 4])) and (k <= dead[k % 4] or any(_bad(_bytes(run[k : k + n]), len(run) - k <= n) is not None for n in (64, 4096))):
+            continue
+        data = _bytes(run[k:])
+        depth, digest = _streams(data)
+        if depth or (bad := _bad(data)) is None and data:
+            return k, data, depth, digest
+        # From what begins in step before the bad byte, the same bytes come again.
+        dead[k % 4] = max(dead[k % 4], k + 4 * ((bad or 0) // 3))
+    return None
+
+
 def _base64_layers(layer: _Layer):
     """Layers; of streams (start, end, bytes, depth, digest) instead."""
-    for m in _BASE64.finditer(layer.text):
-        run = m[0].rstrip("=")
-        if len(run) % 4 == 1:
-            run = run[:-1]
-        try:
-            data = base64.b64decode(run.translate(_URLSAFE) + "=" * (-len(run) % 4))
-        except binascii.Error:
+    ended = False
+    for i, (run, at, lines) in ((i, x) for group in _runs(layer.text) for i, x in enumerate(group)):
+        if i and ended:  # a stream that ends before the last line
             continue
-        depth, digest = _streams(data)
-        if depth:
-            yield (*layer.span(m.start(), m.end()), data, depth, digest)
+        ended = False
+        if (found := _opened(run, lines)) is None:
             continue
-        text = _as_text(data)
-        if text is None:
+        k, data, depth, digest = found
+        if depth:
+            ended = True
+            yield (*layer.span(at[k], at[-1] + 1), data, depth, digest)
             continue
         starts, ends, i = [], [], 0
+        text = data.decode("utf-8")
         for c in text:
             n = len(c.encode("utf-8"))
-            s, e = layer.span(m.start() + 8 * i // 6, m.start() + (8 * (i + n) - 1) // 6 + 1)
+            s, e = layer.span(at[k + 8 * i // 6], at[k + (8 * (i + n) - 1) // 6] + 1)
             starts.append(s)
             ends.append(e)
             i += n

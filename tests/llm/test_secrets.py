@@ -126,3 +126,24 @@ def test_pieces_cut_no_pattern(monkeypatch):
             assert "".join(S._pieces(data, 1)) == text
             b = base64.b64encode(data).decode()
             assert [x[1] for x in S.all_spans(b) if x[::2] == (0, len(b))] == [kind], (k, secret)
+
+
+def test_wrapped_and_glued_runs():
+    """A run wrapped at line ends is put together, and one that follows a path or a hyphenated word is found."""
+    text = " ".join(f"word{i * 7919 % 1000}" for i in range(60)) + f" {KEY} " + " ".join(f"more{i * 31}" for i in range(40))
+    for end in ("\n", "\r\n"):
+        for data, kinds in ((gzip.compress(text.encode()), [1]), (text.encode(), [1])):
+            b = base64.b64encode(data).decode()
+            lines = end.join(b[i : i + 76] for i in range(0, len(b), 76))
+            for before, after in (("see: ", " end"), ("aLongerWordThanSixteen\n", "\nand other words")):
+                got = S.all_spans(before + lines + after)
+                assert [k for _, k, _ in got] == kinds and all(len(before) <= s < e <= len(before) + len(lines) for s, _, e in got)
+    straddling = "x" * 50 + " token=abcdefgh " + "y" * 50
+    b = base64.b64encode(straddling.encode()).decode()
+    (a, _, e), = S.all_spans(f"{b[:76]}\n{b[76:]}")
+    assert a == 51 * 8 // 6 and e == (65 * 8 - 1) // 6 + 2
+    for glue in ("some/path/", "a-b-word-", "x_", "data/x-yz_"):
+        for data in (b"password=hunter2222", gzip.compress(b"password=hunter2222")):
+            b = base64.b64encode(data).decode().rstrip("=")
+            (s, k, e), = S.all_spans(f"{glue}{b}")
+            assert (s, k, e) == (len(glue), 0, len(glue) + len(b)), glue

@@ -374,8 +374,8 @@ def _named(batches):
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array([text_id(words_of(t)) for t in batch.column("text").to_pylist()], pa.int64())], names=["id", "text", "rid"])
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, rid, class_id), one row per row of docs: the number of its words' text and the least id of its class."""
+def _classes(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
+    """(id, rid, component, class_id), one row per row of docs; classes that share a class_id, or have none, differ in component."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     signed = written(rows.mapInArrow(_signed, f"id {kind}, rid long, sig binary"), "signatures")
@@ -423,7 +423,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     # Both are written first, so that their join has two shuffled sides, of which Spark can split a large class's.
     placed = written(placed, "placed")
     classes = written(placed.groupBy("component").agg(F.min("id").alias("class_id")), "classes")
-    return placed.join(classes, "component").select(F.col("id").alias(id_col), "rid", "class_id")
+    return placed.join(classes, "component").select("id", "rid", "component", "class_id")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, rid, class_id), one row per row of docs: the number of its words' text and the least id of its class."""
+    return _classes(docs, threshold, id_col, text_col).select(F.col("id").alias(id_col), "rid", "class_id")
 
 
 def _with_rid(text_col: str, rid_col: str):
@@ -438,10 +443,10 @@ def _with_rid(text_col: str, rid_col: str):
 
 
 def one_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose ids name their classes, one row for each class; a class that has no id keeps a row without."""
+    """The rows of docs whose ids name their classes, one row for each class, of several texts with that id the one of least rid; a class that has no id keeps a row without."""
     schema = T.StructType([*docs.schema.fields, T.StructField("~rid", T.LongType())])
-    found = near_duplicates(docs, threshold, id_col, text_col)
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit("none"))
-    kept = found.filter(F.col(id_col).eqNullSafe(F.col("class_id"))).select(key.alias("~key"), F.col("rid").alias("~rid"))
-    named = docs.mapInArrow(_with_rid(text_col, "~rid"), schema).withColumn("~key", key)
-    return named.join(kept.distinct(), ["~key", "~rid"], "left_semi").dropDuplicates(["~key", "~rid"]).select(*docs.columns)
+    found = _classes(docs, threshold, id_col, text_col)
+    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
+    kept = found.filter(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("component", key("id").alias("~key")).agg(F.min("rid").alias("~rid")).select("~key", "~rid")
+    named = docs.mapInArrow(_with_rid(text_col, "~rid"), schema).withColumn("~key", key(id_col))
+    return named.join(kept, ["~key", "~rid"], "left_semi").dropDuplicates(["~key", "~rid"]).select(*docs.columns)

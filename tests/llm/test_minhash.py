@@ -138,3 +138,11 @@ def test_components(spark):
             parent[b] = a
     got = {x["node"]: x["component"] for x in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {n: root(n) for e in edges if e[0] != e[1] for n in e}
+
+
+def test_one_of_each_with_null_or_repeated_ids(spark, docs_of):
+    """A class keeps one row, though all its ids are null or stand on several texts; classes with the same id keep one each."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(200)) for x in "abc")
+    rows = [(None, a), (None, f"{a} end"), (7, b), (7, f"{b} end"), (9, b), (7, c), (None, c)]
+    kept = M.one_of_each(docs_of(rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"][0]) for r in kept) == [(0, "a"), (7, "b"), (7, "c")]

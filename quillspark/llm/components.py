@@ -18,6 +18,8 @@ def _stars(edges: DataFrame) -> bool:
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component) of links (u, v), the component being its least node; nodes without links aren't there.
 
+    An error is raised where most_rounds don't suffice.
+
     Each round is written to the shared folder and holds no more links than there are. A star's
     centre with many links is met by aggregation and by joins, which Spark can split.
     """
@@ -32,5 +34,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         small = large.join(least, "u")
         small = small.select("v", "m").filter("v <> m").unionByName(least.select(F.col("u").alias("v"), "m")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         edges = written(small, "links")
+    else:
+        if not _stars(edges):
+            raise RuntimeError(f"components are not final after {most_rounds} rounds")
     found = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())

@@ -3,6 +3,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pytest
 
 from quillspark.llm import minhash as M
 from quillspark.llm.common import WordHashes
@@ -146,3 +147,10 @@ def test_one_of_each_with_null_or_repeated_ids(spark, docs_of):
     rows = [(None, a), (None, f"{a} end"), (7, b), (7, f"{b} end"), (9, b), (7, c), (None, c)]
     kept = M.one_of_each(docs_of(rows)).collect()
     assert sorted((r["doc_id"] or 0, r["text"][0]) for r in kept) == [(0, "a"), (7, "b"), (7, "c")]
+
+
+def test_components_that_are_not_final_raise(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(200)], "u long, v long")
+    with pytest.raises(RuntimeError):
+        components(path, most_rounds=2)
+    assert {r["component"] for r in components(path).collect()} == {0}

@@ -82,22 +82,3 @@ def test_table_equals_kernel_sum():
         sparse, used = X.features([w], codes)
         want = float((sparse[2] * table[used[sparse[1]]]).sum()) + bias if len(used) else X.LOWEST
         assert abs(want - g) < 1e-4
-
-
-def test_hard_negatives_are_mined_among_all_clean_words(spark):
-    """Clean words that look like insults are learned, however many other clean words there are."""
-    r = random.Random(3)
-    letters = "abcdefghijklmnopqrstuvwxyz"
-    like = [w + end for w in INSULTS for end in ("ry", "ble", "um")]
-    rows, labels = [], []
-    for i in range(400):
-        toxic = i % 4 == 0
-        w = ["".join(r.choices(letters, k=9)) for _ in range(20 if toxic else 600)]
-        rows.append((i, " ".join(w + (r.sample(INSULTS, 3) if toxic else r.sample(like, 5)))))
-        labels.append((i, int(toxic)))
-    d, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
-    model = X.fit(d, lab)
-    asked = like + INSULTS
-    out = model.values(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), "doc_id", "text")
-    high = {asked[x["id"]] for x in out.collect() if model.slope * x["value"] + model.offset >= 0}
-    assert high == set(INSULTS)

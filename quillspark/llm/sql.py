@@ -47,10 +47,8 @@ l AS (
 f AS (SELECT ratio AS first_ratio, pool AS first_pool, left_weight AS first_weight FROM l WHERE free ORDER BY ratio, source NULLS LAST LIMIT 1),
 t AS (SELECT source, source_size, least(CASE WHEN ratio >= first_ratio THEN CAST(weight * first_pool AS DOUBLE) / first_weight ELSE CAST(cap AS DOUBLE) END, CAST(cap AS DOUBLE)) AS target FROM l, f),
 p AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate, row_number() OVER (PARTITION BY d.source ORDER BY size, doc_id NULLS FIRST) AS place FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-u AS (SELECT source, i, CAST({_HEX("sha256('mix:' || i || ':' || coalesce(source, '\\N'))", 1, 8)} AS DOUBLE) / 4294967296.0 AS u FROM s, unnest(generate_series(0, 15)) AS g(i)),
-c AS (SELECT p.*, i, CAST(floor(rate * CAST(place AS DOUBLE) + u) - floor(rate * CAST(place - 1 AS DOUBLE) + u) AS BIGINT) * size AS taken FROM p JOIN u ON p.source IS NOT DISTINCT FROM u.source),
-m AS (SELECT source, i FROM c GROUP BY source, i, target QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(sum(taken) - target), i) = 1)
-SELECT doc_id, size, source_size, target, taken FROM c JOIN m ON c.source IS NOT DISTINCT FROM m.source AND c.i = m.i
+u AS (SELECT *, CAST({_HEX("sha256('mix:' || coalesce(source, '\\N'))", 1, 8)} AS DOUBLE) / 4294967296.0 AS u FROM p)
+SELECT doc_id, size, source_size, target, CAST(floor(rate * CAST(place AS DOUBLE) + u) - floor(rate * CAST(place - 1 AS DOUBLE) + u) AS BIGINT) * size AS taken FROM u
 """.replace(r"'\\N'", r"'\N'")
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

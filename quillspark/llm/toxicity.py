@@ -259,7 +259,9 @@ def features(out, words, sentence, width: int, chosen):
 
 
 class Landmarks:
-    """Sparse rows of features, met by feature."""
+    """Sparse rows of features, met by feature; features that OFTEN or more of the rows have are kept as a dense matrix."""
+
+    OFTEN = 12
 
     def __init__(self, row, ids, value, n: int):
         import numpy as np
@@ -268,6 +270,11 @@ class Landmarks:
         self.columns, first = np.unique(ids[order], return_index=True)
         self.first = np.append(first, len(ids))
         self.row, self.value, self.n = row[order], value[order], n
+        often = np.diff(self.first) >= self.OFTEN
+        self.place = np.where(often, np.cumsum(often) - 1, -1)
+        self.dense = np.zeros((int(often.sum()), n), dtype=np.float32)
+        where = np.repeat(self.place, np.diff(self.first))
+        self.dense[where[where >= 0], self.row[where >= 0]] = self.value[where >= 0]
 
     def kernel(self, row, ids, value, n: int):
         """Of n rows of features, sorted by row, with the landmarks."""
@@ -277,14 +284,21 @@ class Landmarks:
         at = np.minimum(np.searchsorted(self.columns, ids), len(self.columns) - 1)
         ok = self.columns[at] == ids
         row, at, value = row[ok], at[ok], value[ok]
-        for k in range(0, n, 64):
-            x, y = np.searchsorted(row, (k, k + 64))
+        place = self.place[at]
+        often, rare = place >= 0, place < 0
+        rows_often, place, value_often = row[often], place[often], value[often].astype(np.float32)
+        row, at, value = row[rare], at[rare], value[rare]
+        for k in range(0, n, 256):
+            m = min(256, n - k)
+            x, y = np.searchsorted(rows_often, (k, k + m))
+            part = np.zeros((m, len(self.dense)), dtype=np.float32)
+            part[rows_often[x:y] - k, place[x:y]] = value_often[x:y]
+            x, y = np.searchsorted(row, (k, k + m))
             met = self.first[at[x:y] + 1] - self.first[at[x:y]]
             who = np.repeat(np.arange(x, y), met)
             which = np.arange(len(who)) + np.repeat(self.first[at[x:y]] - (np.cumsum(met) - met), met)
             flat = (row[who] - k) * self.n + self.row[which]
-            m = min(64, n - k)
-            out[k : k + m] = np.bincount(flat, value[who] * self.value[which], m * self.n).reshape(m, self.n)
+            out[k : k + m] = part @ self.dense + np.bincount(flat, value[who] * self.value[which], m * self.n).reshape(m, self.n)
         return out
 
     def weighted(self, weight):

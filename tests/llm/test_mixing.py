@@ -1,6 +1,8 @@
 import random
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from quillspark.llm import mixing as M
 
 
@@ -59,8 +61,7 @@ def test_small_sources_stop_at_three_times(spark, docs_of):
     check(rows, M.mix(docs_of(rows)).collect())
 
 
-def test_blocks_of_ids(spark, docs_of, monkeypatch):
-    monkeypatch.setattr(M, "BLOCK", 7)
+def test_null_and_repeated_ids(spark, docs_of):
     rows = [*corpus(300, 2), (None, "a b", "a"), (None, "a b", "a"), (5, "a b", "a"), (-4, "a b", "a")]
     check(rows, M.mix(docs_of(rows)).collect())
 
@@ -77,6 +78,34 @@ def test_emitted_rows_are_those_taken(spark, docs_of):
     assert dict(got) == {i: c for i, c in want.items() if c}
 
 
+def test_ids_of_other_types_and_one_source(spark, docs_of):
+    rows = [(i, "a b c " * (i % 7), "only") for i in range(120)]
+    d = docs_of(rows).withColumn("doc_id", F.concat(F.lit("id-"), "doc_id"))
+    out = M.mix(d).collect()
+    assert {r["doc_id"] for r in out} == {f"id-{i}" for i, _, _ in rows}
+    # The only source has all words as its target, and each document is taken once.
+    assert all(r["copies"] == 1 for r in out)
+
+
+def test_copies_follow_the_offset(spark, docs_of):
+    """A document is taken as often as target / size says, or once more; which ones are is the offset's choice."""
+    d = docs_of([(0, "a b", "a"), *((i, "x y", "b") for i in range(1, 6)), *((i, "x y", "c") for i in range(6, 16))])
+    rate = {"a": 32 / 6 / 2, "b": 32 / 3 / 10, "c": 32 / 2 / 20}
+    taken = set()
+    for k in range(4):
+        out = M.mix(d, seed=f"{k}:").collect()
+        assert all(int(rate[r["source"]]) <= r["copies"] <= int(rate[r["source"]]) + 1 for r in out)
+        taken.add(tuple(sorted((r["doc_id"], r["copies"]) for r in out)))
+    assert len(taken) > 1
+
+
+def test_more_sources_than_one_task_orders(spark, docs_of, monkeypatch):
+    rows = corpus(300, 4)
+    want = sorted(map(str, M.mix(docs_of(rows)).collect()))
+    monkeypatch.setattr(M, "FEW_SOURCES", 2)
+    assert sorted(map(str, M.mix(docs_of(rows)).collect())) == want
+
+
 def test_nothing(spark, docs_of):
     assert M.mix(docs_of([])).count() == 0
     assert [r["taken"] for r in M.mix(docs_of([None, "", " "])).collect()] == [0, 0, 0]

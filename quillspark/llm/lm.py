@@ -10,12 +10,14 @@ training documents, whose words the vocabulary's own tokenizer segments, with
 add-one smoothing over the vocabulary; the vocabulary itself is not trained.
 
 Documents are cut into blocks of bounded size, each with the distinct words in
-it and its documents as numbers of them. Word counts are summed over blocks;
-counts and log probabilities go back to each block once for each distinct word
-in it, and a block scores its documents from its own list. So neither texts nor
-the words of single documents are shuffled, a frequent word is one row a block,
-and no task holds more than a block. Null texts are empty: an end alone.
-Repeated rows are counted and scored like others.
+it and its documents as numbers of them. Word counts are summed over blocks, and
+each word is scored once. The `frequent` words of most occurrences, a bounded
+table, are then sent to all tasks, which sum them up for the documents of a
+block without a shuffle. Only the rest, words and their places in a block, go
+by join, so neither texts nor frequent words are shuffled, no join has a hot
+key, and no task holds more than a block. Null texts are empty: an end alone.
+Ids are of any type, repeated rows are counted and scored like others, and a
+text of any length is in one block.
 """
 
 from __future__ import annotations
@@ -27,13 +29,15 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import crc32_of, written
 
+#: The vocabulary's file, for a sentencepiece processor; a parameter of lm_scores, read on the driver.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+#: Words whose scores are sent to all tasks, about 20 MB in a worker.
+FREQUENT = 200_000
 SPACE = "▁".encode()
 #: Bytes of text in a block, but for a longer single text; and distinct words in it, above which it is closed.
 BLOCK_BYTES, BLOCK_WORDS = 24 << 20, 400_000
-_BLOCK = (
-    "block string, words array<binary>, counts array<long>, doc array<long>, held array<boolean>, sizes array<int>, at binary, times binary, tokens long, ends long"
-)
+_BLOCK = "block string, words array<binary>, counts array<long>, doc array<{id}>, held array<boolean>, sizes array<int>, at binary, times binary, tokens long, ends long"
+_REST = "block string, doc array<{id}>, held array<boolean>, tokens binary, known binary, base binary, logp binary, sizes array<int>, at binary, times binary, words array<binary>"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -49,10 +53,7 @@ def _blocks(folds: int, fold: int):
         from pyspark import TaskContext
 
         task, number = TaskContext.get().partitionId(), 0
-        schema = pa.schema(
-            [("block", pa.string()), ("words", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64())), ("doc", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
-             ("sizes", pa.list_(pa.int32())), ("at", pa.binary()), ("times", pa.binary()), ("tokens", pa.int64()), ("ends", pa.int64())]
-        )
+        schema = None
 
         def fresh():
             return {}, [], [], [], [], [], 0
@@ -69,6 +70,10 @@ def _blocks(folds: int, fold: int):
             return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
+            schema = schema or pa.schema(
+                [("block", pa.string()), ("words", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64())), ("doc", pa.list_(batch.schema.field("id").type)), ("held", pa.list_(pa.bool_())),
+                 ("sizes", pa.list_(pa.int32())), ("at", pa.binary()), ("times", pa.binary()), ("tokens", pa.int64()), ("ends", pa.int64())]
+            )
             for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 seen = Counter(words_of(text))
                 at.append(np.array([words.setdefault(w, len(words)) for w in seen], dtype=np.uint32))
@@ -184,62 +189,112 @@ def _fast_logp(word: bytes, pieces: dict[bytes, float], longest: int, starts: se
     return math.log(ahead[n]) if ahead[n] > 1e-280 else word_logp(word, pieces, longest)
 
 
-def _score(n: int, v: int, ends: int, end_logp: float):
-    """Scores the documents of one block from its words' counts and log probabilities."""
+def _partly(sent, n: int, v: int, ends: int, end_logp: float):
+    """Blocks with what their documents have of frequent words summed up, and their other words."""
 
-    def run(block, known):
+    def run(batches):
         import numpy as np
-        import pandas as pd
-
-        out = {k: [] for k in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
-        for row in block.itertuples(index=False):
-            width = len(row.words)
-            c, logp = np.zeros(width), np.zeros(width)
-            c[known["at"].to_numpy()] = known["c"].to_numpy()
-            logp[known["at"].to_numpy()] = known["logp"].to_numpy()
-            base = np.log10((c + 1) / (n + 1 * (v + 1)))
-            at, times = np.frombuffer(row.at, dtype=np.uint32), np.frombuffer(row.times, dtype=np.uint32).astype(np.int64)
-            owner = np.repeat(np.arange(len(row.doc)), row.sizes)
-            m = len(row.doc)
-            out["doc_id"].append(np.array([pd.NA if d is None or d != d else int(d) for d in row.doc], dtype=object))
-            out["held_out"].append(np.array(row.held, dtype=bool))
-            out["n_tokens"].append(np.bincount(owner, times, m).astype(np.int64) + 1)
-            out["n_known"].append(np.bincount(owner, times * (c[at] > 0), m).astype(np.int64) + int(ends > 0))
-            out["base_score"].append(np.bincount(owner, times * base[at], m) + math.log10((ends + 1) / (n + 1 * (v + 1))))
-            out["score"].append((np.bincount(owner, times * logp[at], m) + end_logp) / math.log(10))
-        out = {k: np.concatenate(x) if x else [] for k, x in out.items()}
-        return pd.DataFrame(out | {"doc_id": pd.array(out["doc_id"], dtype="Int64"), "train_tokens": n})
+        import pyarrow as pa
+
+        words, c, logp = sent.value
+        number = {w: i for i, w in enumerate(words)}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i] for name in ("words", "sizes", "at", "times")}
+                own = row["words"].as_py()
+                place = np.fromiter((number.get(w, -1) for w in own), dtype=np.int64, count=len(own))
+                at, times = np.frombuffer(row["at"].as_py(), dtype=np.uint32), np.frombuffer(row["times"].as_py(), dtype=np.uint32)
+                sizes = np.array(row["sizes"].as_py(), dtype=np.int64)
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                tokens = np.bincount(owner, times, len(sizes)) + 1
+                rare = place[at] < 0
+                of, met, k = owner[~rare], times[~rare].astype(np.float64), place[at[~rare]]
+                known = np.bincount(of, met * (c[k] > 0), len(sizes)) + (ends > 0)
+                base = np.bincount(of, met * np.log10((c[k] + 1) / (n + 1 * (v + 1))), len(sizes)) + math.log10((ends + 1) / (n + 1 * (v + 1)))
+                log = np.bincount(of, met * logp[k], len(sizes)) + end_logp
+                left = np.flatnonzero(place < 0)
+                new = np.cumsum(place < 0) - 1
+                columns = [
+                    batch.column("block").slice(i, 1), batch.column("doc").slice(i, 1), batch.column("held").slice(i, 1),
+                    *(pa.array([x.astype(np.float64).tobytes()]) for x in (tokens, known, base, log)),
+                    pa.array([np.bincount(owner[rare], minlength=len(sizes)).tolist()], pa.list_(pa.int32())),
+                    pa.array([new[at[rare]].astype(np.uint32).tobytes()]), pa.array([times[rare].tobytes()]), pa.array([[own[j] for j in left.tolist()]], pa.list_(pa.binary())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "doc", "held", "tokens", "known", "base", "logp", "sizes", "at", "times", "words"])
 
     return run
 
 
-def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, model_path: str = PIECES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per row of docs; rows of the fold are held out of counts and model."""
-    spark = docs.sparkSession
-    sc = spark.sparkContext
-    blocks = written(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_blocks(folds, fold), _BLOCK), "lm-blocks")
+def _score(n: int, v: int):
+    """Adds to the documents of one block what its other words give."""
+
+    def run(block, answers):
+        import numpy as np
+        import pyarrow as pa
+
+        parts = []
+        places, c, logp = (answers.column(x).to_numpy() for x in ("place", "c", "logp"))
+        for i in range(block.num_rows):
+            row = {name: block.column(name)[i].as_py() for name in ("tokens", "known", "base", "logp", "sizes", "at", "times", "width")}
+            tokens, known, base, log = (np.frombuffer(row[x], dtype=np.float64) for x in ("tokens", "known", "base", "logp"))
+            count, score = np.zeros(row["width"]), np.zeros(row["width"])
+            count[places], score[places] = c, logp
+            at, times = np.frombuffer(row["at"], dtype=np.uint32), np.frombuffer(row["times"], dtype=np.uint32).astype(np.float64)
+            m = len(tokens)
+            owner = np.repeat(np.arange(m), row["sizes"])
+            known = known + np.bincount(owner, times * (count[at] > 0), m)
+            base = base + np.bincount(owner, times * np.log10((count[at] + 1) / (n + 1 * (v + 1))), m)
+            log = log + np.bincount(owner, times * score[at], m)
+            docs, held = (block.column(x).combine_chunks().slice(i, 1).flatten() for x in ("doc", "held"))
+            whole = lambda x: pa.array(x.astype(np.int64))
+            parts.append(
+                pa.Table.from_arrays([docs, held, whole(tokens), whole(known), pa.array(base), pa.array(log / math.log(10)), pa.array(np.full(m, n, dtype=np.int64))], names=["id", "held_out", "n_tokens", "n_known", "base_score", "score", "train_tokens"])
+            )
+        return pa.concat_tables(parts)
+
+    return run
+
+
+def lm_scores(
+    docs: DataFrame, folds: int = 7, fold: int = 2, model_path: str = PIECES, piece_logp: dict[bytes, float] | None = None, end_logp: float = math.log(0.05), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per row of docs; rows of the fold are held out of counts and model.
+
+    With piece_logp, the natural logarithms of the pieces of a unigram vocabulary (SPACE being a word's start), these are
+    the model, with end_logp for an end; every byte should be a piece. Else the pieces of model_path are counted.
+    """
+    sc = docs.sparkSession.sparkContext
+    kind = docs.schema[id_col].dataType.simpleString()
+    blocks = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_blocks(folds, fold), _BLOCK.format(id=kind)), "lm-blocks")
     counts = blocks.select(F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("n")))).groupBy("word").agg(F.sum("n").alias("c"))
     counts = written(counts, "lm-counts")
     sums = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("ends"), F.lit(0)).alias("ends")).first()
     n, ends = sums["tokens"] + sums["ends"], sums["ends"]
     v = counts.filter("c > 0").count() + (ends > 0)
 
-    with open(model_path, "rb") as f:
-        model = sc.broadcast(f.read())  # a vocabulary file, of fixed size
-    rows = counts.filter("c > 0").mapInArrow(_piece_counts(model), "piece binary, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
-    seen = {bytes(r["piece"]): r["n"] for r in rows}  # at most one for each piece of the vocabulary
-    pieces = vocabulary(model_path)
-    total = sum(seen.get(p, 0) for p in pieces) + ends + len(pieces) + 1
-    logs = {p: math.log((seen.get(p, 0) + 1) / total) for p in pieces}
-    end_logp = math.log((ends + 1) / total)
-
-    scored = counts.mapInArrow(_word_scores(sc.broadcast(logs)), "word binary, c long, logp double")
-    asked = blocks.select("block", F.posexplode("words").alias("at", "word"))
-    answers = asked.join(scored, "word").select(F.col("block").alias("of"), "at", "c", "logp")
+    if piece_logp is None:
+        try:
+            with open(model_path, "rb") as f:
+                model = sc.broadcast(f.read())  # a vocabulary file, of fixed size
+        except OSError as e:
+            raise ValueError(f"the vocabulary {model_path} can't be read on the driver; give its place as model_path, or scores as piece_logp") from e
+        rows = counts.filter("c > 0").mapInArrow(_piece_counts(model), "piece binary, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+        seen = {bytes(r["piece"]): r["n"] for r in rows}  # at most one for each piece of the vocabulary
+        pieces = vocabulary(model_path)
+        total = sum(seen.get(p, 0) for p in pieces) + ends + len(pieces) + 1
+        piece_logp = {p: math.log((seen.get(p, 0) + 1) / total) for p in pieces}
+        end_logp = math.log((ends + 1) / total)
+
+    scored = written(counts.mapInArrow(_word_scores(sc.broadcast(piece_logp)), "word binary, c long, logp double"), "lm-scores")
+    top = scored.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
+    frequent = sc.broadcast((top["word"].to_pylist(), top["c"].to_numpy(), top["logp"].to_numpy()))
+    rest = written(blocks.select("block", "words", "doc", "held", "sizes", "at", "times").mapInArrow(_partly(frequent, n, v, ends, end_logp), _REST.format(id=kind)), "lm-rest")
+    answers = rest.select("block", F.posexplode("words").alias("place", "word")).join(scored, "word").select(F.col("block").alias("of"), "place", "c", "logp")
     found = (
-        blocks.select("block", "words", "doc", "held", "sizes", F.col("at"), "times")
+        rest.withColumn("width", F.size("words"))
+        .drop("words")
         .groupBy("block")
         .cogroup(answers.groupBy("of"))
-        .applyInPandas(_score(n, v, ends, end_logp), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, train_tokens long")
+        .applyInArrow(_score(n, v), f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, train_tokens long")
     )
-    return found.select(F.col("doc_id").alias(id_col), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return found.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -3,6 +3,7 @@ import random
 import zlib
 from collections import Counter
 
+import pytest
 
 from quillspark.llm import lm as L
 
@@ -51,13 +52,37 @@ def base(docs):
 
 
 def test_base_scores_and_blocks(spark, docs_of, monkeypatch):
-    for size in (L.BLOCK_BYTES, 300):
+    for size, frequent in ((L.BLOCK_BYTES, L.FREQUENT), (300, 3), (300, 0)):
         monkeypatch.setattr(L, "BLOCK_BYTES", size)
+        monkeypatch.setattr(L, "FREQUENT", frequent)
         got = L.lm_scores(docs_of(rows()).repartition(3)).collect()
         assert sorted(((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got), key=str) == base(rows())
         assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
 
 
+def test_scores_are_sums_over_all_segmentations(spark, docs_of, monkeypatch):
+    """With a given unigram vocabulary, against segmentations one by one; with frequent words and without."""
+    r = random.Random(9)
+    texts = [None, "", *(" ".join("".join(r.choice("abé") for _ in range(r.randint(1, 6))) for _ in range(r.randint(1, 9))) for _ in range(40))]
+    want = {i: (sum(math.log(every(L.SPACE + w)) for w in (t or "").encode().split()) - 2.0) / math.log(10) for i, t in enumerate(texts)}
+    for frequent in (L.FREQUENT, 5):
+        monkeypatch.setattr(L, "FREQUENT", frequent)
+        got = L.lm_scores(docs_of(list(enumerate(texts))), piece_logp=VOCABULARY, end_logp=-2.0).collect()
+        assert len(got) == len(want) and all(abs(x["score"] - want[x["doc_id"]]) < 1e-9 for x in got)
+
+
+def test_ids_keep_their_type(spark, docs_of):
+    d = docs_of([(9007199254740993, "a b"), (None, "a"), (3, "b")])
+    assert {r["doc_id"] for r in L.lm_scores(d.coalesce(1)).collect()} == {9007199254740993, None, 3}
+    named = d.selectExpr("'x' || doc_id AS doc_id", "text")
+    assert {r["doc_id"] for r in L.lm_scores(named.coalesce(1)).collect()} == {"x9007199254740993", None, "x3"}
+
+
+def test_missing_vocabulary_is_named(spark, docs_of):
+    with pytest.raises(ValueError, match="model_path"):
+        L.lm_scores(docs_of(["a"]), model_path="/nowhere/x.model")
+
+
 def test_model_knows_its_language(spark, docs_of):
     r = random.Random(5)
     text = lambda s: " ".join("".join(r.choice(s) for _ in range(2)) for _ in range(30))

@@ -1,21 +1,26 @@
 """Exact top-k inner products by aggregation of sorted lists without random access.
 
 Vectors become integers, floor(scale * x). Candidates are dealt into blocks of
-about `block` rows and queries into blocks of about `query_block`; each pair of
-blocks is worked on by one task call. In a block of candidates every component
-is a sorted list. For a query the lists are read from the end that its sign
-prefers, in steps, all to the same depth. What has been read of a candidate,
-with the worst or the best that the unread ends of the other lists allow, gives
-its lower and upper bound. Once the k-th largest lower bound exceeds the upper
-bounds of all outsiders but a few, reading stops, and the scores of the
-candidates that are left are resolved. Each query keeps k rows of a block; a last rank over
-blocks decides. Scores are integers, so the result is exact; ties go to the
-smaller id.
+about `block` rows and queries into blocks of about `query_block`. In a block of
+candidates every component is a sorted list. For a query the lists are read from
+the end that its sign prefers, step by step, all to the same depth. What has
+been read of a candidate, with the worst or the best that the unread ends of the
+other lists allow, gives its lower and upper bound; only candidates whose upper
+bound reaches the k-th largest lower bound stay, and reading goes on for these
+alone. It stops when the outsiders' upper bounds are all under that, which is
+when no more than k stay or, where scores are tied, all lists are read as deep
+as the ones that stay need; then the lists have given their final scores.
+
+Each query first meets one block of candidates. The k-th score that it finds
+there goes along to the other blocks as a lower bound, so that these return a
+row only where it can still count. A last rank decides. Scores are integers, so
+the result is exact; ties go to the smaller id.
 
 Vectors that are null or hold null or non-finite components take no part, nor
-do rows without id. Shorter vectors count as ending in zeros. Rows that share
-a query's id are its own rows and no candidates for it; a query that is
-repeated is answered once.
+do rows without id; ids are of any type that has an order. Shorter vectors count
+as ending in zeros. Rows that share a query's id are its own rows and no
+candidates for it; a query that is repeated is answered once. Components beyond
+2**31 after scaling raise an error, as their products might not fit.
 """
 
 from __future__ import annotations
@@ -23,95 +28,96 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.llm.common import written
+
 
 def quantised(vectors: DataFrame, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(vec_id, v): rows that take part, v an array of longs."""
     x = F.transform(F.col(vector_col), lambda c: c.cast("double"))
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
-    return vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & finite).select(
-        F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * scale).cast("long")).alias("v")
-    )
-
-
-def _matrix(arrays, width: int):
-    import numpy as np
-
-    out = np.zeros((len(arrays), width), dtype=np.int64)  # no component of one that is shorter
-    lengths = np.array([len(a) for a in arrays])
-    if len(arrays) and (lengths == width).all():
-        return np.stack(list(arrays)).astype(np.int64)
-    for i, a in enumerate(arrays):
-        out[i, : len(a)] = a
-    return out
+    whole = lambda c: F.when(F.abs(c * scale) < 2.0**31, F.floor(c * scale).cast("long")).otherwise(F.raise_error(F.lit("a component is too large for exact scores")).cast("long"))
+    return vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & finite).select(F.col(id_col).alias("vec_id"), F.transform(x, whole).alias("v"))
 
 
 class SortedLists:
-    """The lists of one block of candidates: each component's rows and values, from the least and from the greatest on."""
+    """The lists of one block of candidates: each component's rows in order of value, and each row's place in each list."""
 
-    def __init__(self, ids, v):
+    def __init__(self, v):
         import numpy as np
 
-        by_id = np.argsort(ids, kind="stable")
-        self.ids, self.v, self.n = ids[by_id], v[by_id], len(ids)
-        order = np.argsort(self.v.T, axis=1, kind="stable").astype(np.int32)
-        values = np.take_along_axis(self.v.T, order, axis=1).astype(np.float64)
-        self.rows = np.stack([order, order[:, ::-1]])
-        self.values = np.stack([values, values[:, ::-1]])
-        self.components = np.arange(self.v.shape[1])
-        self.depth = 0
-
-    def bounds(self, q, depth: int):
-        """Upper and lower bounds of all rows once each list is read to a depth, from the end that q's sign prefers."""
-        import numpy as np
+        self.n, width = v.shape
+        order = np.argsort(v, axis=0, kind="stable")
+        self.v = v
+        self.place = np.empty((self.n, width), dtype=np.int32)
+        np.put_along_axis(self.place, order, np.arange(self.n, dtype=np.int32)[:, None], axis=0)
+        self.sorted = np.take_along_axis(v, order, axis=0)
 
-        side = (q >= 0).astype(np.int64)
-        weight = q.astype(np.float64)[:, None]
-        rows = self.rows[side, self.components, :depth]
-        read = self.values[side, self.components, :depth] * weight
-        edge, worst = read[:, -1:], self.values[1 - side, self.components, :1] * weight
-        rows = rows.ravel()
-        upper = edge.sum() + np.bincount(rows, (read - edge).ravel(), self.n)
-        lower = worst.sum() + np.bincount(rows, (read - worst).ravel(), self.n)
-        return upper, lower
-
-    def top(self, query_id: int, q, k: int):
-        """Row numbers and scores of the k best, best first."""
+    def top(self, q, mine, k: int, floor: int | None = None):
+        """(row numbers, scores) of the k best of the rows `mine`, by score alone and with all that tie with the k-th; of those under `floor` some may be left out."""
         import numpy as np
 
-        n, mine = self.n, self.ids != query_id
-        depth, alive = max(k, n // 16, self.depth), np.flatnonzero(mine)
-        # Bounds are sums of products in floating point: exact up to 2**53, and given room beyond.
-        room = 1e-9 * float(np.abs(q.astype(np.float64)).sum()) * float(np.abs(self.values).max(initial=0))
-        while depth < n and len(alive) > k:
-            upper, lower = self.bounds(q, depth)
-            reached = lower[mine]
-            least = np.partition(reached, len(reached) - k)[len(reached) - k] if len(reached) >= k else -np.inf
-            alive = np.flatnonzero(mine & (upper >= least - (room if room > 1e3 else 0)))
-            if len(alive) <= max(4 * k, n // 4):  # few enough to look up all of them
-                self.depth = depth - n // 64  # the next query begins where this one could almost stop
-                break
-            depth += max(n // 16, 1)
-        score = self.v[alive] @ q
-        order = np.lexsort((self.ids[alive], -score))[:k]
-        return alive[order], score[order]
-
-
-def _answers(k: int):
-    def run(key, queries, rows):
+        used = np.flatnonzero(q)
+        if not len(used) or self.n <= k:
+            return mine, self.v[mine] @ q
+        weight = q[used]
+        down = weight > 0  # whether a list is read from its greatest value on
+        depth, alive = max(k, self.n // 8), mine
+        worst = np.where(down, self.sorted[0, used], self.sorted[-1, used]) * weight
+        # What is read of a row: its value where its place is within the depth, from the end the sign prefers.
+        place = np.where(down, self.n - 1 - self.place[np.ix_(alive, used)], self.place[np.ix_(alive, used)])
+        product = self.v[np.ix_(alive, used)] * weight
+        while True:
+            read = place < depth
+            edge = np.where(down, self.sorted[self.n - min(depth, self.n), used], self.sorted[min(depth, self.n) - 1, used]) * weight
+            seen = np.where(read, product, 0).sum(axis=1)
+            lower = seen + (~read) @ worst
+            upper = seen + (~read) @ edge
+            least = np.partition(lower, len(lower) - k)[len(lower) - k] if len(lower) >= k else None
+            least = floor if least is None else least if floor is None else max(least, floor)
+            if least is not None:
+                stay = upper >= least
+                alive, place, product, lower, upper = alive[stay], place[stay], product[stay], lower[stay], upper[stay]
+            if depth >= self.n or (lower == upper).all():
+                return alive, lower
+            depth = min(2 * depth, self.n)
+
+
+def _matrix_of(table, name: str, width: int):
+    import numpy as np
+
+    column = table.column(name).combine_chunks()
+    lengths = np.diff(column.offsets.to_numpy())
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(lengths), width), dtype=np.int64)  # no component of one that is shorter
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    out[owner, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
+    return out
+
+
+def _answers(k: int, id_type):
+    def run(queries, rows):
         import numpy as np
-        import pandas as pd
-
-        out = {"query_id": [], "vec_id": [], "score": []}
-        if len(queries) and len(rows):
-            width = max(max(map(len, queries["v"])), max(map(len, rows["v"])))
-            v, asked = _matrix(rows["v"].to_numpy(), width), _matrix(queries["v"].to_numpy(), width)
-            lists = SortedLists(rows["vec_id"].to_numpy(), v)
-            for query_id, q in zip(queries["vec_id"].to_numpy(), asked, strict=True):
-                at, score = lists.top(query_id, q, k)
-                out["query_id"].append(np.full(len(at), query_id))
-                out["vec_id"].append(lists.ids[at])
-                out["score"].append(score.astype(np.int64))
-        return pd.DataFrame({n: np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for n, x in out.items()})
+        import pyarrow as pa
+
+        found, asked_by, scores = [], [], []
+        ids, query_ids = rows.column("row_id").to_numpy(), queries.column("vec_id").to_numpy()
+        if len(ids) and len(query_ids):
+            width = max(int(np.diff(c.combine_chunks().offsets.to_numpy()).max()) for c in (queries.column("v"), rows.column("row_v")))
+            v, asked = _matrix_of(rows, "row_v", width), _matrix_of(queries, "v", width)
+            lists = SortedLists(v)
+            floors = queries.column("floor").to_pylist()
+            for i, (query_id, q, floor) in enumerate(zip(query_ids, asked, floors, strict=True)):
+                at, score = lists.top(q, np.flatnonzero(ids != query_id), k, floor)
+                if floor is not None:
+                    at, score = at[score >= floor], score[score >= floor]
+                order = np.lexsort((ids[at], -score))[:k]
+                found.append(at[order])
+                asked_by.append(np.full(len(order), i))
+                scores.append(score[order])
+        found, asked_by, scores = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, dtype=np.int64) for x in (found, asked_by, scores))
+        return pa.Table.from_arrays(
+            [queries.column("vec_id").take(pa.array(asked_by)).cast(id_type), rows.column("row_id").take(pa.array(found)).cast(id_type), pa.array(scores)], names=["query_id", "vec_id", "score"]
+        )
 
     return run
 
@@ -120,17 +126,26 @@ def top_k(
     vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, block: int = 8192, query_block: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the rows for which is_query, a condition on column vec_id, holds."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = vectors.schema[id_col].dataType
     rows = quantised(vectors, scale, id_col, vector_col)
     counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q")).first()
     n_blocks, q_blocks = max(1, -(-counts["n"] // block)), max(1, -(-counts["q"] // query_block))
-    place = F.xxhash64("vec_id", "v")
+    home = F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int")
     queries = rows.filter(is_query).dropDuplicates(["vec_id"]).withColumn("q_block", F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks)).cast("int"))
-    queries = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    rows = rows.withColumn("block", F.pmod(place, F.lit(n_blocks)).cast("int")).withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
-    found = (
-        queries.groupBy("block", "q_block")
-        .cogroup(rows.groupBy("block", "q_block"))
-        .applyInPandas(_answers(k), "query_id long, vec_id long, score long")
-    )
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_blocks)).cast("int"))
+
+    def met(queries, rows):
+        rows = rows.select("block", F.col("vec_id").alias("row_id"), F.col("v").alias("row_v"), F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q_block"))
+        answers = _answers(k, to_arrow_type(kind))
+        return queries.groupBy("block", "q_block").cogroup(rows.groupBy("block", "q_block")).applyInArrow(answers, f"query_id {kind.simpleString()}, vec_id {kind.simpleString()}, score long")
+
+    found = met(queries.withColumn("block", home).withColumn("floor", F.lit(None).cast("long")), rows)
+    if n_blocks > 1:
+        found = written(found, "topk-first")
+        floors = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))
+        others = queries.join(floors, "vec_id", "left").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).filter(F.col("block") != home)
+        found = found.unionByName(met(others, rows))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

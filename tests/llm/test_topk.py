@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from quillspark.llm import topk as K
@@ -35,3 +36,32 @@ def test_repeated_ids_and_nothing(spark):
     got = sorted((x["rank"], x["vec_id"], x["score"]) for x in K.top_k(df, F.col("vec_id") % 100 == 0).collect())
     assert got == [(1, 1, 3 * 1024 * 1024), (2, 1, 2 * 1024 * 1024)]
     assert K.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_ids_of_text_and_too_large_components(spark):
+    r = random.Random(4)
+    rows = [(f"v{i:03}", [float(r.randint(-9, 9)) for _ in range(4)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id string, embedding array<float>")
+    want = {}
+    for i, q in rows:
+        if i.endswith("0"):
+            s = sorted((-(1024 * 1024) * int(sum(a * b for a, b in zip(q, v))), j) for j, v in rows if j != i)[:5]
+            want[i] = [(n, j, -x) for n, (x, j) in enumerate(s, 1)]
+    for block in (8192, 7):
+        got = {}
+        for x in K.top_k(df, F.col("vec_id").endswith("0"), 5, block=block).collect():
+            got.setdefault(x["query_id"], []).append((x["rank"], x["vec_id"], x["score"]))
+        assert {q: sorted(v) for q, v in got.items()} == want
+    with pytest.raises(Exception, match="too large"):
+        K.top_k(spark.createDataFrame([(1, [1e30])], "vec_id long, embedding array<double>"), F.lit(True)).collect()
+
+
+def test_reading_stops_early():
+    """With one candidate far ahead of the others, bounds leave it alone long before the lists end."""
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    v = r.integers(-100, 100, (4000, 8))
+    v[17] = 1000
+    at, score = K.SortedLists(v).top(np.full(8, 3), np.arange(4000), 1)
+    assert at.tolist() == [17] and score.tolist() == [24000]

@@ -2,9 +2,12 @@
 
 A text is a first layer. Each layer is scanned with the patterns below, then
 unwrapped: percent escapes and Unicode escapes over the whole layer, base64
-runs (and the gzip or zlib streams in them, however nested) one by one, also
-joined over single line ends, and from after a slash, hyphen, underscore or line
-end where the start of a run holds nothing. New
+runs (and the gzip, zlib or raw deflate streams in them, all members of them and
+however nested) one by one, also joined over single line ends, and from after a
+slash, hyphen, underscore or line end where the start of a run holds nothing.
+Bytes that are no UTF-8, or have control characters, are read as Latin-1, of
+runs that hold neither text nor a stream at all four alignments of base64; NULs
+are dropped, so that UTF-16 is read too. New
 layers join the worklist unless a layer with the same content was seen in this
 document, so that decoding ends at a fixpoint and cycles close. Every layer
 carries, for each of its characters, the range of the original text that it
@@ -16,7 +19,9 @@ end where no pattern, escape or run can go on; only where LONGEST characters
 have no such place, a piece ends anywhere and the next one repeats its end.
 
 Nulls count as empty texts. Repeated rows give repeated results. A document
-needs no other, so the work is one narrow pass without a shuffle.
+needs no other, so the work is one narrow pass without a shuffle. Texts of any
+length are scanned whole; a layer decoded from one takes 8 bytes a character
+beside its text, and layers of a document are in memory one after another.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ import codecs
 import hashlib
 import re
 import zlib
+from array import array
 from itertools import accumulate, chain
 
 from pyspark.sql import DataFrame
@@ -45,6 +51,8 @@ _WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]+)+={0,2}")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 _GLUE = re.compile(r"[/_-]")
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+#: What bytes that aren't text must have to be read as Latin-1: characters in a row, or with NULs between them.
+_LEGIBLE = re.compile(rb"[\x09\x0a\x0d\x20-\x7e]{12,}|(?:[\x09\x0a\x0d\x20-\x7e]\x00){12,}")
 _URLSAFE = str.maketrans("-_", "+/")
 #: Where a compressed text may be cut: after a character that is in no pattern, between plain words, after a line end that joins no run.
 _CUT = re.compile(r"""[^A-Za-z0-9+/_=.\-%\\{}:"'\x20\r\n]|(?<=[.,;:!?"'\x20])\r?\n|\s[A-Za-z]+\x20(?=[A-Za-z])""")
@@ -67,34 +75,42 @@ def _zipped(head: bytes) -> bool:
     return head[:2] == b"\x1f\x8b" or (head[:1] == b"\x78" and len(head) > 2 and (head[0] << 8 | head[1]) % 31 == 0)
 
 
-def _unzipped(source):
-    """What a stream holds, in chunks; zlib.error if it is none or has no end."""
-    d = zlib.decompressobj(47)
+class _Raw(bytes):
+    """Bytes that begin with a deflate stream without a header."""
+
+
+def _unzipped(source, wbits: int = 47):
+    """What a stream and the members after it hold, in chunks; zlib.error if it is none or has no end."""
+    d, whole = zlib.decompressobj(wbits), False
     for data in source:
-        while not d.eof:
+        while data or not d.eof:
+            if d.eof:  # a further member, or else what isn't the stream's
+                if not _zipped(data):
+                    return
+                d = zlib.decompressobj(wbits)
             out = d.decompress(data, CHUNK)
-            data = d.unconsumed_tail
+            data = d.unused_data if d.eof else d.unconsumed_tail
+            whole = whole or d.eof
             if out:
                 yield out
-            if not data and len(out) < CHUNK:
+            if not d.eof and not data and len(out) < CHUNK:
                 break
-        if d.eof:
-            return
-    raise zlib.error("no end")
+    if not whole:
+        raise zlib.error("no end")
 
 
 def _chunks(data: bytes, depth: int):
     """What is in `depth` streams around each other."""
-    source = iter((data,))
-    for _ in range(depth):
-        source = _unzipped(source)
+    source, raw = iter((data,)), isinstance(data, _Raw)
+    for i in range(depth):
+        source = _unzipped(source, -15 if raw and not i else 47)
     return source
 
 
 def _streams(data: bytes) -> tuple[int, bytes]:
     """How many streams are around each other, until one holds none or repeats; and the digest of what the last one holds."""
     depth, seen, last, head = 0, set(), b"", data[:3]
-    while _zipped(head):
+    while _zipped(head) or (not depth and isinstance(data, _Raw)):
         digest, head = hashlib.sha256(), b""
         try:
             for part in _chunks(data, depth + 1):
@@ -110,24 +126,24 @@ def _streams(data: bytes) -> tuple[int, bytes]:
     return depth, last
 
 
+def _deflated(data: bytes) -> bool:
+    """Whether bytes begin as a raw deflate stream of something legible does."""
+    try:
+        return bool(_LEGIBLE.search(zlib.decompressobj(-15).decompress(data, 256)))
+    except zlib.error:
+        return False
+
+
 def _texts(chunks):
-    """Chunks as text; ValueError if they are none."""
-    decoder = codecs.getincrementaldecoder("utf-8")()
+    """Chunks as text without NULs, what is no UTF-8 replaced."""
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
     for part in chunks:
-        text = decoder.decode(part)
-        if _CONTROL.search(text):
-            raise ValueError("control character")
-        yield text
-    decoder.decode(b"", True)
+        yield decoder.decode(part).replace("\0", "")
+    yield decoder.decode(b"", True)
 
 
 def _pieces(data: bytes, depth: int):
-    """The text in streams, in pieces; nothing if it is no text."""
-    try:
-        for _ in _texts(_chunks(data, depth)):
-            pass
-    except ValueError:
-        return
+    """The text in streams, in pieces."""
     rest = ""
     for part in _texts(_chunks(data, depth)):
         rest += part
@@ -155,13 +171,13 @@ class _Layer:
     def span(self, a: int, b: int) -> tuple[int, int]:
         return (a, b) if self.starts is None else (self.starts[a], max(self.ends[a:b]))
 
-    def replaced(self, pieces: list[tuple[int, int, list[tuple[str, int, int]]]]) -> _Layer:
-        """With each range (a, b) of pieces replaced by characters, which come from ranges of this layer."""
-        out, starts, ends, at = [], [], [], 0
-        for a, b, chars in [*pieces, (len(self.text), len(self.text), [])]:
+    def replaced(self, pieces) -> _Layer:
+        """With each range (a, b) of pieces (a, b, list of (character, start, end)) replaced by characters, which come from ranges of this layer."""
+        out, starts, ends, at = [], array("i"), array("i"), 0
+        for a, b, chars in chain(pieces, [(len(self.text), len(self.text), [])]):
             out.append(self.text[at:a])
-            starts += range(at, a) if self.starts is None else self.starts[at:a]
-            ends += range(at + 1, a + 1) if self.ends is None else self.ends[at:a]
+            starts.extend(range(at, a) if self.starts is None else self.starts[at:a])
+            ends.extend(range(at + 1, a + 1) if self.ends is None else self.ends[at:a])
             for c, x, y in chars:
                 out.append(c)
                 s, e = self.span(x, y)
@@ -172,34 +188,37 @@ class _Layer:
 
 
 def _percent(layer: _Layer) -> _Layer | None:
-    pieces = []
-    for m in _PERCENT.finditer(layer.text):
-        data, at = bytes.fromhex(m[0].replace("%", "")), m.start()
-        chars = []
-        for c in data.decode("utf-8", "surrogateescape"):
-            n = 1 if "\udc80" <= c <= "\udcff" else len(c.encode("utf-8"))
-            if "\udc80" <= c <= "\udcff":  # no UTF-8: the escape stays as it is
-                chars += [(x, at + i, at + i + 1) for i, x in enumerate(layer.text[at : at + 3])]
-            else:
-                chars.append((c, at, at + 3 * n))
-            at += 3 * n
-        pieces.append((m.start(), m.end(), chars))
-    return layer.replaced(pieces) if pieces else None
+    def pieces():
+        for m in _PERCENT.finditer(layer.text):
+            data, at = bytes.fromhex(m[0].replace("%", "")), m.start()
+            chars = []
+            for c in data.decode("utf-8", "surrogateescape"):
+                n = 1 if "\udc80" <= c <= "\udcff" else len(c.encode("utf-8"))
+                if "\udc80" <= c <= "\udcff":  # no UTF-8: the escape stays as it is
+                    chars += [(x, at + i, at + i + 1) for i, x in enumerate(layer.text[at : at + 3])]
+                else:
+                    chars.append((c, at, at + 3 * n))
+                at += 3 * n
+            yield m.start(), m.end(), chars
+
+    return layer.replaced(pieces()) if _PERCENT.search(layer.text) else None
 
 
 def _escapes(layer: _Layer) -> _Layer | None:
-    pieces, high = [], None
-    for m in _ESCAPE.finditer(layer.text):
-        code = int(next(x for x in m.groups() if x), 16)
-        if high and high[1] == m.start() and 0xDC00 <= code < 0xE000:
-            pieces.append((high[0], m.end(), [(chr(0x10000 + ((high[2] - 0xD800) << 10) + code - 0xDC00), high[0], m.end())]))
-            high = None
-        elif 0xD800 <= code < 0xDC00:
-            high = (m.start(), m.end(), code)
-        elif code < 0x110000 and not 0xDC00 <= code < 0xE000:
-            high = None
-            pieces.append((m.start(), m.end(), [(chr(code), m.start(), m.end())]))
-    return layer.replaced(pieces) if pieces else None
+    def pieces():
+        high = None
+        for m in _ESCAPE.finditer(layer.text):
+            code = int(next(x for x in m.groups() if x), 16)
+            if high and high[1] == m.start() and 0xDC00 <= code < 0xE000:
+                yield high[0], m.end(), [(chr(0x10000 + ((high[2] - 0xD800) << 10) + code - 0xDC00), high[0], m.end())]
+                high = None
+            elif 0xD800 <= code < 0xDC00:
+                high = (m.start(), m.end(), code)
+            elif code < 0x110000 and not 0xDC00 <= code < 0xE000:
+                high = None
+                yield m.start(), m.end(), [(chr(code), m.start(), m.end())]
+
+    return layer.replaced(pieces()) if _ESCAPE.search(layer.text) else None
 
 
 def _runs(text: str):
@@ -235,7 +254,7 @@ def _bad(data: bytes, final: bool = True) -> int | None:
 
 
 def _opened(run: str, lines: list[int]):
-    """(first character, bytes, depth, digest) of what a run holds, from its start or else from after a mark or line end in it; None if nothing."""
+    """(first character, bytes, depth, digest) of what a run holds, from its start or else from after a mark or line end in it, or as a raw stream; None if nothing."""
     dead = [-1] * 4
     for k in chain((0,), sorted({*lines, *(m.end() for m in _GLUE.finditer(run))})):
         if k and len(run) - k < 16:
@@ -248,9 +267,30 @@ def _opened(run: str, lines: list[int]):
             return k, data, depth, digest
         # From what begins in step before the bad byte, the same bytes come again.
         dead[k % 4] = max(dead[k % 4], k + 4 * ((bad or 0) // 3))
+    for k in sorted({0, 1, 2, 3, *lines, *(m.end() for m in _GLUE.finditer(run))}):
+        if len(run) - k >= 16 and (_zipped(_bytes(run[k : k + 4])) or _deflated(_bytes(run[k : k + 512]))):
+            data = _bytes(run[k:])
+            data = data if _zipped(data) else _Raw(data)
+            depth, digest = _streams(data)
+            if depth:
+                return k, data, depth, digest
     return None
 
 
+def _decoded(layer: _Layer, at, k: int, data: bytes, text: str | None) -> _Layer:
+    """The layer of bytes that characters from at[k] on decode to: their text, or without one Latin-1; NULs dropped."""
+    chars, starts, ends, i = [], array("i"), array("i"), 0
+    for c in data.decode("latin-1") if text is None else text:
+        n = 1 if text is None else len(c.encode("utf-8"))
+        if c != "\0":
+            s, e = layer.span(at[k + 8 * i // 6], at[k + (8 * (i + n) - 1) // 6] + 1)
+            chars.append(c)
+            starts.append(s)
+            ends.append(e)
+        i += n
+    return _Layer("".join(chars), starts, ends)
+
+
 def _base64_layers(layer: _Layer):
     """Layers; of streams (start, end, bytes, depth, digest) instead."""
     ended = False
@@ -259,21 +299,17 @@ def _base64_layers(layer: _Layer):
             continue
         ended = False
         if (found := _opened(run, lines)) is None:
+            for k in range(4):
+                data = _bytes(run[k:])
+                if _LEGIBLE.search(data):
+                    yield _decoded(layer, at, k, data, None)
             continue
         k, data, depth, digest = found
         if depth:
             ended = True
             yield (*layer.span(at[k], at[-1] + 1), data, depth, digest)
-            continue
-        starts, ends, i = [], [], 0
-        text = data.decode("utf-8")
-        for c in text:
-            n = len(c.encode("utf-8"))
-            s, e = layer.span(at[k + 8 * i // 6], at[k + (8 * (i + n) - 1) // 6] + 1)
-            starts.append(s)
-            ends.append(e)
-            i += n
-        yield _Layer(text, starts, ends)
+        else:
+            yield _decoded(layer, at, k, data, data.decode("utf-8"))
 
 
 def _unwrapped(first: _Layer, found: set, seen: set) -> list[tuple]:

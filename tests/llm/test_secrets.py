@@ -111,7 +111,7 @@ def test_long_streams_are_scanned_in_pieces():
         assert S.all_spans(f"{b} after") == [(0, k, len(b)) for k in sorted(kinds)]
     assert S.redacted(f"{b} after") == "[REDACTED] after"
     b = base64.b64encode(gzip.compress(fill.encode() * 2 + b"\0" + KEY.encode())).decode()
-    assert S.all_spans(b) == S.base_spans(b)
+    assert S.all_spans(b) == [(0, 1, len(b))]
 
 
 def test_pieces_cut_no_pattern(monkeypatch):
@@ -147,3 +147,76 @@ def test_wrapped_and_glued_runs():
             b = base64.b64encode(data).decode().rstrip("=")
             (s, k, e), = S.all_spans(f"{glue}{b}")
             assert (s, k, e) == (len(glue), 0, len(glue) + len(b)), glue
+
+
+def deflated(data):
+    z = zlib.compressobj(wbits=-15)
+    return z.compress(data) + z.flush()
+
+
+def test_members_raw_streams_and_bytes_that_are_no_text():
+    line = b"password=hunter2222 and some more words"
+    whole = {
+        "second member": gzip.compress(b"nothing in here") + gzip.compress(line),
+        "raw deflate": deflated(line * 3),
+        "raw in gzip": gzip.compress(zlib.compress(line)),
+    }
+    for name, data in whole.items():
+        b = base64.b64encode(data).decode()
+        assert [(s, k) for s, k, _ in S.all_spans(f"see {b} end")] == [(4, 0)], name
+    for name, data in {"control": line + b"\x01", "Latin-1": "é ".encode("latin-1") + line, "UTF-16": line.decode().encode("utf-16-le"), "big": line.decode().encode("utf-16"), "random head": bytes(range(128, 158)) + line}.items():
+        b = base64.b64encode(data).decode().rstrip("=")
+        got = S.all_spans(f"see {b} end")
+        assert [k for _, k, _ in got] == [0] and 4 <= got[0][0] < got[0][2] <= 4 + len(b), name
+    for glue in ("a/", "abc/", "ab/", "x", "xy", "xyz"):
+        b = base64.b64encode(line * 2).decode().rstrip("=")
+        assert 0 in {k for _, k, _ in S.all_spans(glue + b)}, glue
+
+
+def layers_of(text, depth=3):
+    """Every text that a chain of decoders makes of a text, one by one and whole, without places."""
+    if not depth:
+        return {text}
+    found = {text, urllib.parse.unquote(text), re.sub(r"\\u([0-9a-f]{4})", lambda m: chr(int(m[1], 16)), text)}
+    for run in re.findall(r"[A-Za-z0-9+/]{16,}={0,2}", text):
+        try:
+            data = base64.b64decode(run.rstrip("=") + "=" * (-len(run.rstrip("=")) % 4))
+        except ValueError:
+            continue
+        for f in (bytes, gzip.decompress, zlib.decompress):
+            try:
+                found.add(f(data).decode())
+            except (ValueError, OSError, zlib.error, EOFError):
+                pass
+    return found.union(*(layers_of(x, depth - 1) for x in found - {text}))
+
+
+def test_chains_against_a_plain_decoder():
+    """Whatever chain of encoders hides a secret, its kinds are those that decoding everything shows."""
+    import random
+
+    r = random.Random(3)
+    encoders = [
+        lambda t: "".join(f"%{b:02X}" for b in t.encode()),
+        lambda t: "".join(f"\\u{ord(c):04x}" for c in t),
+        lambda t: base64.b64encode(t.encode()).decode(),
+        lambda t: base64.b64encode(gzip.compress(t.encode())).decode(),
+        lambda t: base64.b64encode(zlib.compress(t.encode())).decode(),
+    ]
+    for _ in range(60):
+        text = r.choice(["token=abcdefgh", KEY, "no secret in this one", "api_key: zzzzzzzz"])
+        for _ in range(r.randint(1, 3)):
+            text = f"{r.choice(['', 'x ', 'né '])}{r.choice(encoders)(text)}{r.choice(['', ' y'])}"
+        want = {k for layer in layers_of(text) for _, k, _ in brute(layer)}
+        assert {k for _, k, _ in S.all_spans(text)} == want, text
+
+
+def test_very_long_texts_take_bounded_memory():
+    import tracemalloc
+
+    text = "a%41" * 500_000 + " token=abcdefgh"
+    tracemalloc.start()
+    got = S.all_spans(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[-1] == (len(text) - 14, 0, len(text)) and peak < 60 * len(text)

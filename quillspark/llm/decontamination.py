@@ -7,10 +7,12 @@ vocabulary, so that only runs of known words are hashed; each window whose hash
 is in the set is then compared word for word.
 
 The windows are broadcast in blocks of at most `block_words` words. One block
-is the rule, as test sets are small; a larger one is met by a pass over the
-documents for each block, whose hits are united by document. Null texts have
-no words, repeated rows are rows of their own, and documents of any length are
-worked on whole.
+is the rule, as test sets are small; of a larger one each block is met by a pass
+over the documents, which is written before the next block is sent and the last
+one freed; hits are united by document. Null texts have no words, repeated rows
+are rows of their own, and documents of any length are worked on whole. Items
+with a null id have windows that are hit like others, but name no item, so
+n_items and items_sha256 leave them out. Empty tables give no hits, or no rows.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.llm.common import written
+
 _KEPT = bytes(c | 0x20 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 #: Words of benchmark windows that one broadcast holds: about 100 MB in a worker.
 BLOCK_WORDS = 4_000_000
@@ -202,27 +206,29 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: st
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sets = [spark.sparkContext.broadcast(vars(s)) for s in ngram_sets(benchmark, n, item_col, text_col, block_words)]
-    found = [rows.mapInArrow(_hits(s), f"id {kind}, {_SCHEMA}") for s in sets or [None]]
-    if len(found) > 1:
+    sets = ngram_sets(benchmark, n, item_col, text_col, block_words)
+    state, following = next(sets, None), next(sets, None)
+    sent = None if state is None else spark.sparkContext.broadcast(vars(state))
+    if following is None:
+        found = rows.mapInArrow(_hits(sent), f"id {kind}, {_SCHEMA}")
+    else:
         # A row is known by its id and text, of which copies all have the same hits.
-        keyed = [
-            docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h")).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-                _hits(s), f"id struct<id:{kind},h:bigint>, {_SCHEMA}"
-            )
-            for s in sets
-        ]
-        parts = keyed[0].withColumn("part", F.lit(0))
-        for i, k in enumerate(keyed[1:], 1):
-            parts = parts.unionByName(k.withColumn("part", F.lit(i)))
+        keyed = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h")).alias("id"), F.col(text_col).alias("text"))
+        parts, i = None, 0
+        while sent is not None:
+            part = written(keyed.mapInArrow(_hits(sent), f"id struct<id:{kind},h:bigint>, {_SCHEMA}").withColumn("part", F.lit(i)), "hits")
+            sent.destroy()
+            sent = None if following is None else spark.sparkContext.broadcast(vars(following))
+            following, i = next(sets, None), i + 1
+            parts = part if parts is None else parts.unionByName(part)
         merged, items = _united()
         united = parts.groupBy("id").agg(
             F.first("n_words").alias("n_words"), merged.alias("ranges"), items.alias("items"), F.count_if(F.col("part") == 0).cast("int").alias("rows")
         )
         united = united.select(F.explode(F.sequence(F.lit(1), F.col("rows"))), "*").select("id.id", "n_words", F.col("ranges.starts").alias("starts"), F.col("ranges.ends").alias("ends"), "items")
-        found = [united]
+        found = united
     hit = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
-    return found[0].select(
+    return found.select(
         F.col("id").alias(id_col),
         "n_words",
         hit.alias("n_hit"),
@@ -234,20 +240,27 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: st
     )
 
 
+def _filtered(docs: DataFrame, sets, text_col: str, drop: bool) -> DataFrame:
+    context = docs.sparkSession.sparkContext
+    state = next(sets, None)
+    while state is not None:
+        sent = context.broadcast(vars(state))
+        docs = docs.mapInArrow(_filter(sent, text_col, drop), docs.schema)
+        state = next(sets, None)
+        if state is not None:
+            docs = written(docs, "filtered")
+            sent.destroy()
+    return docs
+
+
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10, text_col: str = "text", item_col: str = "item_id", block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of docs in which no window occurs."""
-    spark = docs.sparkSession
-    for s in ngram_sets(benchmark, n, item_col, text_col, block_words):
-        docs = docs.mapInArrow(_filter(spark.sparkContext.broadcast(vars(s)), text_col, drop=True), docs.schema)
-    return docs
+    return _filtered(docs, ngram_sets(benchmark, n, item_col, text_col, block_words), text_col, drop=True)
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, text_col: str = "text", item_col: str = "item_id", block_words: int = BLOCK_WORDS) -> DataFrame:
     """docs with the hit words, and what is between them, cut out of their texts."""
-    spark = docs.sparkSession
-    for s in ngram_sets(benchmark, n, item_col, text_col, block_words):
-        docs = docs.mapInArrow(_filter(spark.sparkContext.broadcast(vars(s)), text_col, drop=False), docs.schema)
-    return docs
+    return _filtered(docs, ngram_sets(benchmark, n, item_col, text_col, block_words), text_col, drop=False)
 
 
 def cut_ranges(text: str, starts: list[int], ends: list[int]) -> str:

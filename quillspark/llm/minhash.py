@@ -318,7 +318,8 @@ def _bags(batches):
 
 def _compared(rows: DataFrame, texts: DataFrame, size: int, least: float, threshold: float | None, bags: DataFrame | None = None) -> DataFrame:
     """Pairs across components of rows (g, rid, component), each g dealt out in blocks of about size texts by size texts."""
-    sizes = rows.groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.mode("component").alias("home"), F.count(F.lit(1)).alias("n")).filter("x <> y")
+    shares = rows.groupBy("g", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = shares.groupBy("g").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("n", "component")).alias("home"), F.sum("n").alias("n")).filter("parts > 1")
     mixed = written(rows.join(sizes.select("g", "home", "n"), "g").withColumn("away", F.col("component") != F.col("home")), "mixed")
     aways = mixed.groupBy("g").agg(F.count_if("away").alias("m"))
     blocks = lambda c: F.ceil(F.col(c) / size).cast("int")
@@ -422,13 +423,14 @@ def _classes(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> D
     placed = signed.select("id", "rid").join(found.withColumnRenamed("node", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
     # Both are written first, so that their join has two shuffled sides, of which Spark can split a large class's.
     placed = written(placed, "placed")
-    classes = written(placed.groupBy("component").agg(F.min("id").alias("class_id")), "classes")
-    return placed.join(classes, "component").select("id", "rid", "component", "class_id")
+    texts_of = placed.groupBy("component", "rid").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    classes = written(texts_of.groupBy("component").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n_texts"), F.sum("n").alias("n_docs")), "classes")
+    return placed.join(classes, "component").select("id", "rid", "component", "class_id", "n_texts", "n_docs")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, rid, class_id), one row per row of docs: the number of its words' text and the least id of its class."""
-    return _classes(docs, threshold, id_col, text_col).select(F.col("id").alias(id_col), "rid", "class_id")
+    """(id, rid, class_id, n_texts, n_docs), one row per row of docs: the number of its words' text, the least id of its class, and how many different texts and documents the class has."""
+    return _classes(docs, threshold, id_col, text_col).select(F.col("id").alias(id_col), "rid", "class_id", "n_texts", "n_docs")
 
 
 def _with_rid(text_col: str, rid_col: str):

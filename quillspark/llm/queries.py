@@ -49,7 +49,7 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id")
+    return minhash.near_duplicates(read(spark, sf_dir, "documents")).drop("rid")
 
 
 #: A conversation whose texts are the template's own marks.

@@ -154,3 +154,39 @@ def test_components_that_are_not_final_raise(spark):
     with pytest.raises(RuntimeError):
         components(path, most_rounds=2)
     assert {r["component"] for r in components(path).collect()} == {0}
+
+
+def test_class_sizes_and_recall_against_all_pairs(spark):
+    """Over the driver's small documents: every pair at 0.8 or more, found by its rarest runs, is in one class; classes count their texts and documents."""
+    import os
+    from collections import Counter, defaultdict
+
+    import pytest
+
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        pytest.skip("the driver's tables are not here")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    out = M.near_duplicates(docs).collect()
+    bags, hashes = {}, M.WordHashes()
+    for r in docs.collect():
+        bags[r["doc_id"]] = M.runs_of(M.words_of(r["text"]), hashes)
+    often = Counter(x for b in bags.values() for x in b[0].tolist())
+    first = defaultdict(set)
+    for i, (x, n) in bags.items():
+        order = sorted(zip(x.tolist(), n.tolist(), strict=True), key=lambda p: (often[p[0]], p[0]))
+        room = 0.2 * sum(n.tolist())  # a pair at 0.8 shares one of the rarest runs that make up over a fifth of a bag
+        for x, n in order:
+            first[x].add(i)
+            room -= n
+            if room < 0:
+                break
+    pairs = {(a, b) for s in first.values() for a in s for b in s if a < b}
+    close = [(a, b) for a, b in pairs if (lambda v: v[0] >= 0.8 * v[1] - 1e-9)(M.overlap(bags[a], bags[b]))]
+    of = {r["doc_id"]: r["class_id"] for r in out}
+    assert len(close) > 50
+    assert sum(of[a] == of[b] for a, b in close) == len(close)
+    n_docs, texts = Counter(of.values()), defaultdict(set)
+    for r in out:
+        texts[r["class_id"]].add(r["rid"])
+    assert all(r["n_docs"] == n_docs[r["class_id"]] and r["n_texts"] == len(texts[r["class_id"]]) for r in out)

@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from quillspark.llm import decontamination, minhash, mixing, secrets, toxicity
-from quillspark.llm.common import read, scratch_dir
+from quillspark.llm.common import read, scratch, scratch_dir
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,16 +44,17 @@ STAGES = [
     ("source_mixing", mix_sources),
 ]
 
-# Kernel machines, signatures and decoding are beyond SQL; tests hold run() against brute force.
+# Kernel machines, signatures and decoding are beyond SQL. Tests hold each stage against its operator, and the operators against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mix of sf_dir's documents; what each stage leaves is written to the shared folder and read again."""
+    """The mix of sf_dir's documents; what each stage leaves is written to the shared folder and read again, scratch tables of a stage are removed after it."""
     base = f"{scratch_dir(spark)}/quillspark/pipeline-{uuid.uuid4().hex}"
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         out = f"{base}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(out)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(out)
         docs = spark.read.parquet(out)
     return docs

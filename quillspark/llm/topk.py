@@ -6,10 +6,12 @@ candidates every component is a sorted list. For a query the lists are read from
 the end that its sign prefers, step by step, all to the same depth. What has
 been read of a candidate, with the worst or the best that the unread ends of the
 other lists allow, gives its lower and upper bound; only candidates whose upper
-bound reaches the k-th largest lower bound stay, and reading goes on for these
-alone. It stops when the outsiders' upper bounds are all under that, which is
-when no more than k stay or, where scores are tied, all lists are read as deep
-as the ones that stay need; then the lists have given their final scores.
+bound reaches the k-th largest lower bound stay. Reading stops when the
+outsiders' upper bounds are all under that and k stay, whose scores are then
+resolved from what is left of the lists; or, where scores are tied or close,
+when the lists end, where both bounds are the score. What a depth gives a row is
+linear in the query's positive and negative components, so the bounds of all of
+a block's queries at that depth are two matrix products.
 
 Each query first meets one block of candidates. The k-th score that it finds
 there goes along to the other blocks as a lower bound, so that these return a
@@ -39,8 +41,12 @@ def quantised(vectors: DataFrame, scale: int = 1024, id_col: str = "vec_id", vec
     return vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & finite).select(F.col(id_col).alias("vec_id"), F.transform(x, whole).alias("v"))
 
 
+#: Queries whose bounds are in memory at once, and the steps in which lists are read: the shares of them.
+TOGETHER, STEPS = 128, (8, 4, 2, 1)
+
+
 class SortedLists:
-    """The lists of one block of candidates: each component's rows in order of value, and each row's place in each list."""
+    """The lists of one block of candidates: each component's values in order, and each row's place in each list."""
 
     def __init__(self, v):
         import numpy as np
@@ -51,35 +57,56 @@ class SortedLists:
         self.place = np.empty((self.n, width), dtype=np.int32)
         np.put_along_axis(self.place, order, np.arange(self.n, dtype=np.int32)[:, None], axis=0)
         self.sorted = np.take_along_axis(v, order, axis=0)
+        self.read_to: dict[int, tuple] = {}
 
-    def top(self, q, mine, k: int, floor: int | None = None):
-        """(row numbers, scores) of the k best of the rows `mine`, by score alone and with all that tie with the k-th; of those under `floor` some may be left out."""
+    def read(self, depth: int):
+        """What reading to a depth, from the greatest and from the least value on, leaves to multiply: rows for the upper bound with its edges, and for the lower one."""
         import numpy as np
 
-        used = np.flatnonzero(q)
-        if not len(used) or self.n <= k:
-            return mine, self.v[mine] @ q
-        weight = q[used]
-        down = weight > 0  # whether a list is read from its greatest value on
-        depth, alive = max(k, self.n // 8), mine
-        worst = np.where(down, self.sorted[0, used], self.sorted[-1, used]) * weight
-        # What is read of a row: its value where its place is within the depth, from the end the sign prefers.
-        place = np.where(down, self.n - 1 - self.place[np.ix_(alive, used)], self.place[np.ix_(alive, used)])
-        product = self.v[np.ix_(alive, used)] * weight
-        while True:
-            read = place < depth
-            edge = np.where(down, self.sorted[self.n - min(depth, self.n), used], self.sorted[min(depth, self.n) - 1, used]) * weight
-            seen = np.where(read, product, 0).sum(axis=1)
-            lower = seen + (~read) @ worst
-            upper = seen + (~read) @ edge
-            least = np.partition(lower, len(lower) - k)[len(lower) - k] if len(lower) >= k else None
-            least = floor if least is None else least if floor is None else max(least, floor)
-            if least is not None:
-                stay = upper >= least
-                alive, place, product, lower, upper = alive[stay], place[stay], product[stay], lower[stay], upper[stay]
-            if depth >= self.n or (lower == upper).all():
-                return alive, lower
-            depth = min(2 * depth, self.n)
+        if depth not in self.read_to:
+            from_top, from_end = self.place >= self.n - depth, self.place < depth
+            found = []
+            for high, low in ((self.sorted[self.n - depth], self.sorted[depth - 1]), (self.sorted[0], self.sorted[-1])):
+                found += [np.hstack([np.where(from_top, self.v - high, 0), np.where(from_end, self.v - low, 0)]), np.concatenate([high, low])]
+            self.read_to = {depth: tuple(found)}
+        return self.read_to[depth]
+
+    def top(self, queries, others, k: int, floors):
+        """For each query (row numbers, scores) of its k best rows and those that tie with them, less the rows `others` of each; of those under its floor some may be left out."""
+        import numpy as np
+
+        found = [None] * len(queries)
+        split = np.hstack([np.maximum(queries, 0), np.minimum(queries, 0)])
+        for share in STEPS:
+            open_ = [i for i, f in enumerate(found) if f is None]
+            if not open_:
+                break
+            depth = -(-self.n // share)
+            above, edge, below, worst = self.read(depth)
+            for a in range(0, len(open_), TOGETHER):
+                some = open_[a : a + TOGETHER]
+                upper = above @ split[some].T + split[some] @ edge
+                lower = below @ split[some].T + split[some] @ worst if depth < self.n else upper.copy()
+                for j, i in enumerate(some):
+                    mine = np.ones(self.n, dtype=bool)
+                    mine[others[i]] = False
+                    reached = lower[mine, j]
+                    least = np.partition(reached, len(reached) - k)[len(reached) - k] if len(reached) >= k else None
+                    least = floors[i] if least is None else least if floors[i] is None else max(least, floors[i])
+                    stay = np.flatnonzero(mine if least is None else mine & (upper[:, j] >= least))
+                    if len(stay) <= k or depth == self.n:
+                        found[i] = stay, self.v[stay] @ queries[i] if depth < self.n else upper[stay, j]
+        return found
+
+
+def _exact(*matrices):
+    """The matrices as numbers whose products and sums are exact."""
+    import numpy as np
+
+    most = max(m.shape[1] for m in matrices)
+    for m in matrices:
+        most *= 2 * max(int(np.abs(m).max(initial=0)), 1)
+    return [m.astype(np.float64 if most < 1 << 53 else np.int64 if most < 1 << 62 else object) for m in matrices]
 
 
 def _matrix_of(table, name: str, width: int):
@@ -104,10 +131,11 @@ def _answers(k: int, id_type):
         if len(ids) and len(query_ids):
             width = max(int(np.diff(c.combine_chunks().offsets.to_numpy()).max()) for c in (queries.column("v"), rows.column("row_v")))
             v, asked = _matrix_of(rows, "row_v", width), _matrix_of(queries, "v", width)
-            lists = SortedLists(v)
+            v, asked = _exact(v, asked)
             floors = queries.column("floor").to_pylist()
-            for i, (query_id, q, floor) in enumerate(zip(query_ids, asked, floors, strict=True)):
-                at, score = lists.top(q, np.flatnonzero(ids != query_id), k, floor)
+            others = [np.flatnonzero(ids == x) for x in query_ids]
+            for i, ((at, score), floor) in enumerate(zip(SortedLists(v).top(asked, others, k, floors), floors, strict=True)):
+                score = score.astype(np.int64)
                 if floor is not None:
                     at, score = at[score >= floor], score[score >= floor]
                 order = np.lexsort((ids[at], -score))[:k]

@@ -56,12 +56,35 @@ def test_ids_of_text_and_too_large_components(spark):
         K.top_k(spark.createDataFrame([(1, [1e30])], "vec_id long, embedding array<double>"), F.lit(True)).collect()
 
 
-def test_reading_stops_early():
+def test_reading_stops_early(monkeypatch):
     """With one candidate far ahead of the others, bounds leave it alone long before the lists end."""
     import numpy as np
 
     r = np.random.default_rng(3)
-    v = r.integers(-100, 100, (4000, 8))
+    v = r.integers(-100, 100, (4000, 8)).astype(float)
     v[17] = 1000
-    at, score = K.SortedLists(v).top(np.full(8, 3), np.arange(4000), 1)
+    monkeypatch.setattr(K, "STEPS", (8, 0))  # a second step would divide by nothing
+    (at, score), = K.SortedLists(v).top(np.full((1, 8), 3.0), [np.zeros(0, dtype=int)], 1, [None])
     assert at.tolist() == [17] and score.tolist() == [24000]
+
+
+def test_bounds_hold():
+    """At every depth each row's score is between its bounds, and both are the score where lists end."""
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    v, q = r.integers(-50, 50, (200, 6)).astype(float), r.integers(-9, 9, (5, 6)).astype(float)
+    lists, split = K.SortedLists(v), np.hstack([np.maximum(q, 0), np.minimum(q, 0)])
+    for depth in (1, 20, 77, 199, 200):
+        above, edge, below, worst = lists.read(depth)
+        upper, lower = above @ split.T + split @ edge, below @ split.T + split @ worst
+        assert (lower <= v @ q.T).all() and (v @ q.T <= upper).all()
+    assert (upper == lower).all()
+
+
+def test_large_components_stay_exact(spark):
+    big = float(2**30)
+    rows = [(100, [big, 1.0, big]), (1, [big, 3.0, big]), (2, [big, 2.0, big]), (3, [big, 2.0, -big])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(x["rank"], x["vec_id"], x["score"]) for x in K.top_k(df, F.col("vec_id") == 100, 3, scale=1).orderBy("rank").collect()]
+    assert got == [(1, 1, 2 * 2**60 + 3), (2, 2, 2 * 2**60 + 2), (3, 3, 2)]

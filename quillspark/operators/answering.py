@@ -38,7 +38,7 @@ def extractive(prompt: str) -> str:
     head, _, body = passages.partition("\n")
     if not head.startswith("["):
         return json.dumps({"status": "insufficient_evidence", "answer": None, "cited_chunk_ids": []})
-    return json.dumps({"status": "answered", "answer": body.split(". ")[0][:500], "cited_chunk_ids": [head[1:-1]]}, ensure_ascii=False)
+    return json.dumps({"status": "answered", "answer": body.split(". ")[0], "cited_chunk_ids": [head[1:-1]]}, ensure_ascii=False)
 
 
 def generated(prompts: DataFrame, generator: Generator, prompt: str = "prompt") -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,8 +104,9 @@ def idempotency_violations(df: DataFrame, cleaner: Callable[[Column | str], Colu
 
 def dedupe_by_longest(df: DataFrame, key: str = "사건번호", text: str = "content", serial: str = "판례일련번호", order: str = "pos") -> DataFrame:
     """df with kept (boolean) and excluded_reason: of the rows of a key, blank keys being one, the longest text stays, the earliest among equals."""
-    w = Window.partitionBy(F.coalesce(F.col(key), F.lit(""))).orderBy(F.desc(F.length(text)), order)
-    first = F.first(F.coalesce(F.col(serial), F.lit("?"))).over(w)
-    ranked = df.withColumn("kept", F.row_number().over(w) == 1).withColumn("~keeper", first)
-    reason = F.concat(F.lit("사건번호 중복(보존본: 판례일련번호 "), F.col("~keeper"), F.lit(")"))
-    return ranked.withColumn("excluded_reason", F.when(~F.col("kept"), reason)).drop("~keeper")
+    name = F.coalesce(F.col(key), F.lit(""))
+    # The longest is found by sums that tasks make in part, so a key that many rows share is nobody's alone.
+    best = df.groupBy(name.alias("~key")).agg(F.max_by(F.struct(F.col(order).alias("at"), F.coalesce(F.col(serial), F.lit("?")).alias("keeper")), F.struct(F.length(text).alias("n"), (-F.col(order)).alias("early"))).alias("~best"))
+    ranked = df.withColumn("~key", name).join(best, "~key").withColumn("kept", F.col(order).eqNullSafe(F.col("~best.at")))
+    reason = F.concat(F.lit("사건번호 중복(보존본: 판례일련번호 "), F.col("~best.keeper"), F.lit(")"))
+    return ranked.withColumn("excluded_reason", F.when(~F.col("kept"), reason)).drop("~key", "~best")

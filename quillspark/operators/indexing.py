@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.operators.chunking import CHUNKING_VERSION
-from quillspark.sources.readers import exists
+from quillspark.sources.readers import exists, recovered, replace_folder
 
 INDEX_VERSION = "index-v2"
 
@@ -35,15 +35,22 @@ def upsert(path: str, documents: DataFrame, key: str = "chunk_id") -> None:
     bad = documents.groupBy(key).count().filter(f"count > 1 OR {key} IS NULL").limit(20).collect()
     if bad:
         raise ValueError(f"rejected documents: {[r[0] for r in bad]}")
-    old = spark.read.parquet(path) if exists(spark, path) else documents.limit(0)
+    old = spark.read.parquet(path) if exists(spark, recovered(spark, path)) else documents.limit(0)
     merged = old.join(documents.select(key), key, "left_anti").unionByName(documents, allowMissingColumns=True)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    staging, final = f"{path}.next", hadoop(path)
-    merged.write.mode("overwrite").parquet(staging)
-    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(final, True)
-    if not fs.rename(hadoop(staging), final):
-        raise OSError(f"{staging} can't be moved to {path}")
+    merged.write.mode("overwrite").parquet(f"{path}.next")
+    replace_folder(spark, f"{path}.next", path)
+
+
+def with_vectors(chunks: DataFrame, vectors: DataFrame, order: str, position: str = "pos", vector: str = "embedding") -> DataFrame:
+    """chunks with the vector of their place in order (vectors: position from 0, vector); another number of vectors raises."""
+    n, m = chunks.count(), vectors.count()
+    if n != m:
+        raise ValueError(f"{m} vectors for {n} chunks")
+    ranged = chunks.repartitionByRange(order).withColumn("~part", F.spark_partition_id())
+    within = Window.partitionBy("~part").orderBy(order)
+    before = ranged.groupBy("~part").agg(F.count(F.lit(1)).alias("~n")).select("~part", F.coalesce(F.sum("~n").over(Window.orderBy("~part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("~before"))
+    placed = ranged.withColumn("~own", F.row_number().over(within)).join(F.broadcast(before), "~part").withColumn("~pos", F.col("~before") + F.col("~own") - 1)
+    return placed.join(vectors.select(F.col(position).alias("~pos"), F.col(vector)), "~pos").select(*chunks.columns, vector)
 
 
 def in_batches(rows: DataFrame, order: list[str], size: int, within: list[str]) -> DataFrame:

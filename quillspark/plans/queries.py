@@ -127,7 +127,11 @@ def reason_counts(spark, sf):
     return _decided(spark, sf).groupBy("decision", "reasons").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(
+    """WITH c AS (SELECT doc_id, CASE lang WHEN 'en' THEN '의료법' WHEN 'de' THEN '약사법' END AS body, CASE source WHEN 'src1' THEN '화장품법' WHEN 'src2' THEN '민법' END AS ref FROM documents)
+    SELECT doc_id, CASE WHEN ref = '화장품법' THEN 'core' WHEN ref = '민법' THEN CASE WHEN body IS NULL THEN 'excluded' ELSE 'candidate' END WHEN body IS NOT NULL THEN 'core' ELSE 'excluded' END AS domain_label,
+    CASE WHEN ref = '화장품법' THEN ref ELSE coalesce(body, '') END AS laws FROM c"""
+)
 def linkage_label(spark, sf):
     """The texts with law citations of our own added, so that each branch of the rule has rows."""
     cite = F.when(F.col("lang") == "en", F.concat(F.lit("의료법 제27조 "), "text")).when(F.col("lang") == "de", F.concat(F.lit("구 약사법 제1조, "), "text")).otherwise(F.col("text"))
@@ -138,7 +142,8 @@ def linkage_label(spark, sf):
 
 @query("SELECT d.doc_id, d.lang FROM documents d SEMI JOIN (SELECT doc_id FROM labels WHERE quality = 1) l ON d.doc_id = l.doc_id")
 def default_corpus(spark, sf):
-    return table(spark, sf, "documents").join(table(spark, sf, "labels").filter("quality = 1"), "doc_id", "left_semi").select("doc_id", "lang")
+    good = table(spark, sf, "labels").filter("quality = 1").select("doc_id").distinct().withColumn("inDefaultCorpus", F.lit(True))
+    return validation.default_corpus(table(spark, sf, "documents").join(good, "doc_id", "left")).select("doc_id", "lang")
 
 
 @query(
@@ -208,8 +213,8 @@ def coverage_full_outer(spark, sf):
 @query("SELECT 'lang' AS axis, lang AS key, count(*) AS n FROM documents GROUP BY lang UNION ALL SELECT 'source', source, count(*) FROM documents GROUP BY source")
 def manifest_coverage(spark, sf):
     d = table(spark, sf, "documents")
-    sets = d.groupingSets([["lang"], ["source"]], "lang", "source").agg(F.grouping("lang").alias("no_lang"), F.count(F.lit(1)).alias("n"))
-    return sets.select(F.when(F.col("no_lang") == 0, "lang").otherwise("source").alias("axis"), F.when(F.col("no_lang") == 0, F.col("lang")).otherwise(F.col("source")).alias("key"), "n")
+    axis = lambda c: validation.coverage(d, F.col(c)).select(F.lit(c).alias("axis"), "key", F.col("recordCount").alias("n"))
+    return axis("lang").unionByName(axis("source"))
 
 
 @query(
@@ -303,10 +308,10 @@ def term_stats(spark, sf):
 
 
 _BM25 = rf"""{_TERMS}, s AS (SELECT count(*) AS n, avg(len(ts)) AS avgdl FROM t WHERE len(ts) > 0),
-    q AS (SELECT DISTINCT item_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')) AS term FROM benchmark),
+    q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')) AS term FROM benchmark) GROUP BY item_id, term),
     df AS (SELECT term, count(*) AS df FROM p GROUP BY term),
-    sc AS (SELECT item_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * (tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl)))), 6) AS score FROM q JOIN p USING (term) JOIN df USING (term), s GROUP BY item_id, doc_id),
-    bm AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc QUALIFY rank <= 50)"""
+    sc AS (SELECT item_id, doc_id, sum(times * CAST(round(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * (tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / avgdl))) * 1e12) AS BIGINT)) AS whole FROM q JOIN p USING (term) JOIN df USING (term), s GROUP BY item_id, doc_id),
+    bm AS (SELECT item_id, doc_id, round(CAST(whole AS DOUBLE) / 1e12, 6) AS score, row_number() OVER (PARTITION BY item_id ORDER BY whole DESC, doc_id) AS rank FROM sc QUALIFY rank <= 50)"""
 
 
 def _lexical(spark, sf, k=50):
@@ -318,17 +323,14 @@ def bm25_topk(spark, sf):
     return _lexical(spark, sf)
 
 
-_DIMS = 64
-
-
 def _prototypes(spark, sf):
     """Of each label the componentwise greatest vector."""
-    e = table(spark, sf, "embeddings").groupBy("label")
-    return e.agg(F.array(*(F.max(F.col("embedding")[i]) for i in range(_DIMS))).alias("embedding"))
+    e = table(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.max("x").alias("x"))
+    return e.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("embedding"))
 
 
-_KNN = f"""pr AS (SELECT label, [{", ".join(f"max(embedding[{i}])" for i in range(1, _DIMS + 1))}]::DOUBLE[] AS qv FROM embeddings GROUP BY label),
-    kn AS (SELECT p.label AS q, e.vec_id AS doc, round(list_cosine_similarity(e.embedding::DOUBLE[], p.qv), 4) AS score, row_number() OVER (PARTITION BY p.label ORDER BY score DESC, e.vec_id) AS rank FROM embeddings e, pr p QUALIFY rank <= 50)"""
+_KNN = """px AS (SELECT label, i, max(embedding[i]) AS x FROM embeddings, unnest(generate_series(1, len(embedding))) AS t(i) GROUP BY label, i), pr AS (SELECT label, list(x ORDER BY i)::DOUBLE[] AS qv FROM px GROUP BY label),
+    kn AS (SELECT p.label AS q, e.vec_id AS doc, list_cosine_similarity(e.embedding::DOUBLE[], p.qv) AS whole, round(whole, 4) AS score, row_number() OVER (PARTITION BY p.label ORDER BY whole DESC, e.vec_id) AS rank FROM embeddings e, pr p QUALIFY rank <= 50)"""
 
 
 @query(f"WITH {_KNN} SELECT q AS label, doc, score, CAST(rank AS INTEGER) AS rank FROM kn")
@@ -420,18 +422,6 @@ def bigram_overlap(spark, sf):
     return evaluation.overlap(q, chunks, "item_id").select("item_id", F.round("ratio", 9).alias("ratio"))
 
 
-@query(f"WITH {_BM25}, {_GOLD} SELECT g.item_id, g.doc_id FROM gold g SEMI JOIN bm ON g.item_id = bm.item_id AND g.doc_id = bm.doc_id")
-def cited_semi(spark, sf):
-    cited = _gold(spark, sf).select("item_id", F.explode("relevant").alias("doc"))
-    return cited.join(_lexical(spark, sf), ["item_id", "doc"], "left_semi").select("item_id", F.col("doc").alias("doc_id"))
-
-
-@query(f"WITH {_BM25}, {_GOLD} SELECT g.item_id, g.doc_id FROM gold g ANTI JOIN bm ON g.item_id = bm.item_id AND g.doc_id = bm.doc_id")
-def cited_anti(spark, sf):
-    cited = _gold(spark, sf).select("item_id", F.explode("relevant").alias("doc"))
-    return cited.join(_lexical(spark, sf), ["item_id", "doc"], "left_anti").select("item_id", F.col("doc").alias("doc_id"))
-
-
 @query(
     """WITH s AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 200), f AS (SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events)
     SELECT user_id, event_id, epoch_us(ts) AS at FROM f WHERE n = 1 AND user_id NOT IN (SELECT user_id FROM s)"""
@@ -479,3 +469,7 @@ def grounded_answers(spark, sf):
     )
     a = answering.answers(table(spark, sf, "benchmark").select("item_id", "text"), _fused(spark, sf, retrieval.WEIGHTS), docs.withColumn("chunk_id", F.col("chunk_id").cast("string")), question="item_id")
     return a.select("item_id", "status", "answer", F.size("citations").alias("n_citations"), F.size("hits").alias("n_hits"))
+
+
+#: What the other modules of this package ask for.
+lexical, gold, BM25, GOLD = _lexical, _gold, _BM25, _GOLD

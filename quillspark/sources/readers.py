@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import xml.etree.ElementTree as ET
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.functions import text as tx
-from quillspark.sources.schemas import strings, typed
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -60,41 +62,94 @@ def write_by_label(rows: DataFrame, path: str, label: str = "domain_label") -> N
 
 # XML responses that were fetched and kept, one a row.
 
-ARTICLES = typed({"조문": {"조문단위": [strings("조문번호 조문가지번호 조문여부 조문제목 조문시행일자 조문내용", **{"항": [{"항내용": "string", "호": [{"호내용": "string"}]}]})]}})
-APPENDICES = typed({"별표": {"별표단위": [strings("별표번호 별표가지번호 별표구분 별표제목 별표시행일자", **{"별표내용": ["string"]})]}})
 
+# The fields of a law's header and where they are, the fields of its units, and the kind of unit that is an article.
+HEADER = {"법령명": "법령명_한글", "법령구분": "법종구분", "소관부처": "소관부처", "공포일자": "공포일자", "시행일자": "시행일자", "법령ID": "법령ID"}
+ARTICLE_FIELDS = ["조문번호", "조문가지번호", "조문제목", "조문시행일자"]
+APPENDIX_FIELDS = ["별표번호", "별표가지번호", "별표구분", "별표제목", "별표시행일자"]
+ARTICLE_KIND = "조문"
+
+
+def _units(fields: list[str], parse):
+    """A column function: of each XML response the law's header and its units, as an array of structs. A response that can't be read raises."""
+    names = [*HEADER, *fields, "content"]
+    schema = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+
+    @F.pandas_udf(schema)
+    def read(xml: pd.Series) -> pd.Series:
+        out = []
+        for text in xml:
+            if text is None:
+                out.append(None)
+                continue
+            try:
+                root = ET.fromstring(text)
+            except ET.ParseError as e:
+                raise ValueError(f"a law's response is no XML: {text[:80]!r}") from e
+            info = root.find("기본정보")
+            header = {n: ((info.findtext(tag) or "").strip() if info is not None else "") for n, tag in HEADER.items()}
+            out.append([header | unit for unit in parse(root, fields)])
+        return pd.Series(out)
+
+    return read
+
+
+def _fields(unit, names: list[str]) -> dict:
+    return {n: (unit.findtext(n) or "").strip() for n in names}
 
-def well_formed(xml: Column, root: str) -> Column:
-    """The text of an XML response, or null if it can't be parsed up to its root's end."""
-    return F.when(F.rtrim(xml).endswith(f"</{root}>"), xml)
+
+def _articles(root, fields: list[str]) -> list[dict]:
+    found = []
+    for unit in root.iter("조문단위"):
+        if (unit.findtext("조문여부") or "").strip() == ARTICLE_KIND:
+            parts = [(unit.findtext("조문내용") or "").strip(), *("".join(p.itertext()).strip() for p in unit.findall("항"))]
+            if content := "\n".join(p for p in parts if p):
+                found.append(_fields(unit, fields) | {"content": content})
+    if not found:
+        raise ValueError("a law's response has no article")
+    return found
+
+
+def _appendices(root, fields: list[str]) -> list[dict]:
+    parts = lambda unit: ["".join(c.itertext()) for c in unit.findall("별표내용")]
+    return [_fields(u, fields) | {"content": "\n".join(p for p in parts(u) if p.strip())} for u in root.iter("별표단위")]
 
 
 def law_articles(responses: DataFrame, xml: str = "xml") -> DataFrame:
-    """responses with one row for each article: number, branch, title, date and content, with its paragraphs and items on lines below."""
-    parsed = responses.withColumn("~x", F.from_xml(F.col(xml), ARTICLES, {"rowTag": "법령"})).withColumn("~u", F.explode("~x.조문.조문단위"))
-    none = F.array().cast("array<string>")
-    lines = F.flatten(
-        F.transform(
-            F.coalesce(F.col("~u.항"), F.array().cast(parsed.schema["~u"].dataType["항"].dataType)),
-            lambda p: F.concat(F.array(F.coalesce(p["항내용"], F.lit(""))), F.coalesce(F.transform(p["호"], lambda i: F.coalesce(i["호내용"], F.lit(""))), none)),
-        )
-    )
-    content = F.array_join(F.filter(F.transform(F.concat(F.array(F.coalesce(F.col("~u.조문내용"), F.lit(""))), lines), tx.strip), lambda t: t != ""), "\n")
+    """responses with one row for each article that has text: the law's header, number, branch, title, date and content, which is all text of its paragraphs.
+
+    Units that aren't articles are left out; a response that is no XML, or has no article, raises.
+    """
     own = [c for c in responses.columns if c != xml]
-    fields = ["조문번호", "조문가지번호", "조문제목", "조문시행일자"]
-    return parsed.select(*own, F.lit("law_article").alias("doc_type"), *(F.col(f"~u.{f}").alias(f) for f in fields), content.alias("content"))
+    return responses.select(*own, F.lit("law_article").alias("doc_type"), F.inline(_units(ARTICLE_FIELDS, _articles)(F.col(xml))))
 
 
 def law_appendices(responses: DataFrame, xml: str = "xml") -> DataFrame:
-    """responses with one row for each appendix unit and a reason (form, empty, deleted) where it is dropped."""
-    parsed = responses.withColumn("~x", F.from_xml(F.col(xml), APPENDICES, {"rowTag": "법령"})).withColumn("~u", F.explode("~x.별표.별표단위"))
+    """responses with one row for each appendix unit: the law's header, its fields, content, contentCleaned, locator, and a reason (form, empty, deleted) where it is dropped."""
+    from quillspark.operators import cleaning
+
     own = [c for c in responses.columns if c != xml]
-    fields = ["별표번호", "별표가지번호", "별표구분", "별표제목", "별표시행일자"]
-    rows = parsed.select(*own, F.lit("law_appendix").alias("doc_type"), *(F.col(f"~u.{f}").alias(f) for f in fields), F.array_join(F.coalesce(F.col("~u.별표내용"), F.array().cast("array<string>")), "\n").alias("content"))
+    rows = responses.select(*own, F.lit("law_appendix").alias("doc_type"), F.inline(_units(APPENDIX_FIELDS, _appendices)(F.col(xml))))
+    rows = rows.withColumn("contentCleaned", F.when(tx.strip("content") == "", "").otherwise(cleaning.clean_instrument("content")["text"]))
     reason = F.when(~tx.appendix_unit("별표구분"), "form").when(tx.strip("content") == "", "empty").when(tx.deleted_appendix("content"), "deleted")
     return rows.withColumn("locator", tx.appendix_locator("별표번호", "별표가지번호")).withColumn("reason", reason)
 
 
+def moment(value: Column) -> Column:
+    """An ISO timestamp to whole seconds, UTC where it names no zone; null for null, an error for what is none."""
+    zoned = F.when(value.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), value).otherwise(F.concat(value, F.lit("Z")))
+    return F.date_trunc("second", zoned.cast("timestamp"))
+
+
+def to_review(found: DataFrame, raw: DataFrame, reviewed: DataFrame, key: str = "serial") -> DataFrame:
+    """The raw rows of the serials found that were not reviewed yet; a serial without a raw row raises."""
+    pending = found.select(key).distinct().join(reviewed.select(key), key, "left_anti")
+    missing = [r[0] for r in pending.join(raw.select(key), key, "left_anti").limit(20).collect()]
+    if missing:
+        raise KeyError(f"no raw rows for {missing}")
+    return raw.join(pending, key, "left_semi")
+
+
 def resolve_law(found: DataFrame, name: str, kind: str, strict: bool = True, partition: str = "query") -> DataFrame:
     """Of each query's results (법령명, 법령구분, pos) the one with name and kind, else with the name, else, if not strict, the first."""
     rank = F.when((F.col("법령명") == name) & (F.col("법령구분") == kind), 0).when(F.col("법령명") == name, 1).otherwise(2)
@@ -140,18 +195,37 @@ def new_artifacts(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     return rows.join(stored.select("path"), "path", "left_anti")
 
 
+def replace_folder(spark: SparkSession, staging: str, path: str) -> None:
+    """Puts a finished folder in a path's place. The old one stays beside it until then, and comes back if that fails."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, final, old = hadoop(staging), hadoop(path), hadoop(f"{path}.previous")
+    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(final):
+        fs.delete(old, True)
+        if not fs.rename(final, old):
+            raise OSError(f"{path} can't be moved away")
+    if not fs.rename(new, final):
+        if fs.exists(old):
+            fs.rename(old, final)
+        raise OSError(f"{staging} can't be moved to {path}")
+    fs.delete(old, True)
+
+
+def recovered(spark: SparkSession, path: str) -> str:
+    """The path, after what an interrupted replacement left beside it is back in its place."""
+    if not exists(spark, path) and exists(spark, f"{path}.previous"):
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        final = hadoop(path)
+        final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(hadoop(f"{path}.previous"), final)
+    return path
+
+
 def publish(rows: DataFrame, path: str, complete: bool = True) -> None:
     """Writes beside the path and moves the result there; an incomplete result raises and leaves what is there."""
     if not complete:
         raise ValueError("an incomplete collection is not published")
-    spark = rows.sparkSession
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    staging, final = f"{path}.staging", hadoop(path)
-    rows.write.mode("overwrite").json(staging)
-    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(final, True)
-    if not fs.rename(hadoop(staging), final):
-        raise OSError(f"{staging} can't be moved to {path}")
+    rows.write.mode("overwrite").json(f"{path}.staging")
+    replace_folder(rows.sparkSession, f"{path}.staging", path)
 
 
 def ordered_markdown(blocks: DataFrame, document: str, position: str, content: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Paginated searches and document services, asked by tasks through an injected transport.
 
 A transport is a function of a URL, or of a body, that returns text. It runs in
-tasks, which Spark may run again: responses are kept under the hash of what was
-asked, so that a later run reads them instead of asking.
+tasks, which Spark may run again, so what it asks must bear being asked twice. A
+response that can't be read stops the job: no search or detail ends silently.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def get(url: str, params: dict[str, str] | None = None, tries: int = 3, pause: f
         try:
             with opener(target, timeout=30) as r:
                 return r.read()
-        except OSError:
+        except Exception:
             if n == tries:
                 raise
             sleep(pause * n)
@@ -43,17 +43,29 @@ def well_formed(text: str | bytes):
         return None
 
 
+class IncompleteSearch(RuntimeError):
+    """A search that can't be read to its end."""
+
+
 def pages(fetch: Callable[[str, int], str | bytes], keyword: str, total: str = "totalCnt", item: str = "prec", fields: dict[str, str] | None = None) -> Iterator[dict]:
-    """Items of a search, page by page until `total` are seen, a page is empty or can't be parsed, or MOST_PAGES are read."""
+    """Items of a search, page by page until `total` are seen or a page is empty. A page that can't be parsed, or more than MOST_PAGES, raise."""
     seen = 0
     for page in range(1, MOST_PAGES + 1):
         root = well_formed(fetch(keyword, page))
-        found = [] if root is None else root.findall(f".//{item}")
+        if root is None:
+            raise IncompleteSearch(f"page {page} of the search for {keyword!r} is no XML")
+        found = root.findall(f".//{item}")
         for x in found:
-            yield {name: (x.findtext(tag) or "").strip() for name, tag in (fields or {}).items()}
+            yield {name: _text(x.find(tag)) for name, tag in (fields or {}).items()}
         seen += len(found)
         if not found or seen >= int(root.findtext(f".//{total}") or 0):
             return
+    raise IncompleteSearch(f"the search for {keyword!r} has more than {MOST_PAGES} pages")
+
+
+def _text(element) -> str:
+    """All text inside an element, that of nested ones too."""
+    return "" if element is None else "".join(element.itertext()).strip()
 
 
 def searched(keywords: DataFrame, fetch: Callable[[str, int], str | bytes], fields: dict[str, str], keyword: str = "keyword", item: str = "prec", total: str = "totalCnt") -> DataFrame:
@@ -70,7 +82,7 @@ def searched(keywords: DataFrame, fetch: Callable[[str, int], str | bytes], fiel
 
 
 def detailed(serials: DataFrame, fetch: Callable[[str], str | bytes], fields: dict[str, str], serial: str = "serial", body: str = "content") -> DataFrame:
-    """(serial, fields, raw): the detail of each serial; one whose body is empty, or that can't be parsed, is left out."""
+    """(serial, fields, raw): the detail of each serial; one whose body is empty is left out, one that can't be parsed raises."""
 
     def run(batches):
         for pdf in batches:
@@ -78,7 +90,9 @@ def detailed(serials: DataFrame, fetch: Callable[[str], str | bytes], fields: di
             for s in pdf[serial]:
                 raw = fetch(s)
                 root = well_formed(raw)
-                row = {} if root is None else {name: (root.findtext(f".//{tag}") or "").strip() for name, tag in fields.items()}
+                if root is None:
+                    raise IncompleteSearch(f"the detail of {s!r} is no XML")
+                row = {name: _text(root.find(f".//{tag}")) for name, tag in fields.items()}
                 if row.get(body):
                     rows.append({serial: s, **row, "raw": raw.decode() if isinstance(raw, bytes) else raw})
             yield pd.DataFrame(rows, columns=[serial, *fields, "raw"])

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspark.functions import responses as R
-from quillspark.operators import answering, cleaning, evaluation, records, release, retrieval, selection, validation
+from quillspark.operators import answering, cleaning, evaluation, indexing, records, release, retrieval, selection, validation
 from quillspark.plans import queries
 from quillspark.sources import readers, schemas
 
@@ -148,6 +148,40 @@ def test_retrieval_and_fusion(spark):
         retrieval.checked_index(v, 3)
 
 
+def test_ranks_are_by_whole_values(spark):
+    v = spark.createDataFrame([(1, [1.0, 0.004]), (2, [1.0, 0.0]), (3, None)], "doc int, embedding array<double>")
+    q = spark.createDataFrame([("q", [1.0, 0.0])], "question string, embedding array<double>")
+    assert [(r["doc"], r["score"]) for r in retrieval.knn(q, v).orderBy("rank").collect()] == [(2, 1.0), (1, 1.0)]
+    assert retrieval.knn(q.limit(0), v).count() == 0
+    with pytest.raises(Exception, match="finite numbers"):
+        retrieval.knn(q, spark.createDataFrame([(1, [1.0])], "doc int, embedding array<double>")).collect()
+    docs = spark.createDataFrame([(1, "cat cat dog"), (2, "dog dog cat")], "doc int, text string")
+    asked = spark.createDataFrame([("a", "cat dog dog dog")], "question string, text string")
+    assert [r["doc"] for r in retrieval.bm25(asked, docs).orderBy("rank").collect()] == [2, 1]
+
+
+def test_joins_by_place_reviews_and_groups(spark):
+    chunks = spark.createDataFrame([(f"c{i:02}", i) for i in range(30)], "chunk_id string, n int")
+    vectors = spark.createDataFrame([(i, [float(i)]) for i in range(30)], "pos long, embedding array<double>")
+    assert all(r["embedding"] == [float(r["n"])] for r in indexing.with_vectors(chunks, vectors, "chunk_id").collect())
+    with pytest.raises(ValueError, match="29 vectors"):
+        indexing.with_vectors(chunks, vectors.limit(29), "chunk_id")
+    serials = lambda *s: spark.createDataFrame([(x,) for x in s], "serial string")
+    assert [r[0] for r in readers.to_review(serials("a", "b", "b"), serials("a", "b", "c"), serials("a")).collect()] == ["b"]
+    with pytest.raises(KeyError, match="z"):
+        readers.to_review(serials("z"), serials("a"), serials("a"))
+    assert validation.shared_groups(spark.createDataFrame([("g",), ("g",), ("h",), (None,), (None,)], "sourceGroupId string")).first()[0] == 1
+    at = spark.createDataFrame([("2024-01-02T03:04:05.9",), ("2024-01-02T03:04:05+09:00",), (None,)], "t string").select(F.unix_timestamp(readers.moment(F.col("t"))).alias("s")).collect()
+    assert [r["s"] for r in at] == [1704164645, 1704132245, None]
+
+
+def test_replacement_survives_a_crash(spark, tmp_path):
+    path = str(tmp_path / "index")
+    spark.range(2).selectExpr("'k' || id AS chunk_id").write.parquet(f"{path}.previous")
+    indexing.upsert(path, spark.createDataFrame([("z",)], "chunk_id string"))
+    assert {r[0] for r in spark.read.parquet(path).collect()} == {"k0", "k1", "z"}
+
+
 def test_knn_in_blocks(spark, monkeypatch):
     v = spark.createDataFrame([(i, [float(i % 7), float(i % 5), 1.0]) for i in range(60)], "doc int, embedding array<float>")
     q = v.select(F.col("doc").alias("question"), "embedding").limit(20)
@@ -245,9 +279,12 @@ def test_sources(spark, tmp_path):
         readers.read_jsonl(spark, str(tmp_path / "none"), simple, missing_ok=False)
     d = readers.described_files(spark, [str(good)], "records").first()
     assert d["byteSize"] == good.stat().st_size
-    xml = "<법령><조문><조문단위><조문번호>1</조문번호><조문내용>제1조</조문내용><항><항내용>① 가</항내용><호><호내용>1. 나</호내용></호></항></조문단위><조문단위><조문번호>2</조문번호><조문내용>제2조</조문내용></조문단위></조문></법령>"
+    xml = "<법령><조문><조문단위><조문번호>1</조문번호><조문여부>조문</조문여부><조문내용>제1조</조문내용><항><항내용>① 가</항내용>\n<호><호내용>1. 나</호내용>\n<목><목내용>가. 다</목내용></목></호></항></조문단위><조문단위><조문번호>2</조문번호><조문여부>조문</조문여부><조문내용>제2조</조문내용></조문단위><조문단위><조문번호>1</조문번호><조문여부>전문</조문여부><조문내용>제1장</조문내용></조문단위></조문></법령>"
     rows = readers.law_articles(spark.createDataFrame([("m", xml)], "mst string, xml string")).orderBy("조문번호").collect()
-    assert [r["content"] for r in rows] == ["제1조\n① 가\n1. 나", "제2조"]
+    assert [r["content"] for r in rows] == ["제1조\n① 가\n1. 나\n가. 다", "제2조"]
+    for broken in (xml[:-9], "<법령></법령>"):
+        with pytest.raises(Exception, match="no XML|no article"):
+            readers.law_articles(spark.createDataFrame([(broken,)], "xml string")).collect()
     app = "<법령><별표><별표단위><별표번호>0001</별표번호><별표구분>별표</별표구분><별표내용>표 내용</별표내용></별표단위><별표단위><별표번호>2</별표번호><별표구분>서식</별표구분><별표내용>x</별표내용></별표단위></별표></법령>"
     got = {r["별표번호"]: (r["reason"], r["locator"]) for r in readers.law_appendices(spark.createDataFrame([(app,)], "xml string")).collect()}
     assert got == {"0001": (None, "별표 1"), "2": ("form", "별표 2")}

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from quillspark.plans import queries, registry  # noqa: F401
+from quillspark.plans import collected, queries, registry  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables are not here")

@@ -21,7 +21,13 @@ def test_searches(spark):
     assert services.discovered(found, aliases).count() == 250
     d = services.detailed(found.limit(3).select("serial"), lambda s: "<x><c>text</c></x>" if s != "1" else "<x><c></c></x>", {"content": "c"})
     assert {r["content"] for r in d.collect()} == {"text"}
-    assert list(services.pages(lambda k, p: "<broken", "a")) == []
+    with pytest.raises(services.IncompleteSearch):
+        list(services.pages(lambda k, p: "<broken", "a"))
+    endless = lambda k, p: "<r><totalCnt>99999999</totalCnt><prec><id>1</id></prec></r>"
+    with pytest.raises(services.IncompleteSearch, match="pages"):
+        list(services.pages(endless, "a"))
+    nested = services.detailed(found.limit(1).select("serial"), lambda s: "<x><c>te<b>xt</b> all</c></x>", {"content": "c"})
+    assert nested.first()["content"] == "text all"
 
 
 def test_retries():

@@ -77,17 +77,15 @@ class Hasher:
         np.cumsum(self.table[data] * self.power[: len(data)], out=out[1:])
         return out
 
-    def strings(self, sums, start, stop):
-        """Hashes of the strings [start, stop)."""
-        return (sums[stop] - sums[start]) * self.back[start]
-
 
 def segments(texts: list[bytes], length: int, hasher: Hasher):
     """(text number, first window, windows, anchor hash, segment hash), an array each, for texts of at most BUFFER bytes in all."""
     import numpy as np
+    import xxhash
 
     sizes = np.array([len(t) for t in texts])
-    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    whole = b"".join(texts)
+    data = np.frombuffer(whole, dtype=np.uint8)
     offsets = np.cumsum(sizes) - sizes
     have = np.flatnonzero(sizes >= length)
     if not len(have):
@@ -112,7 +110,9 @@ def segments(texts: list[bytes], length: int, hasher: Hasher):
     at = np.flatnonzero(new)
     windows = np.diff(np.append(at, len(starts)))
     first, anchor = starts[at], anchor[at]
-    body = hasher.strings(sums, first, first + windows + length - 1)
+    # Copies are told by this hash and the anchor's, so it is one of all bytes that can't be played with as sums of powers can.
+    ends_at = (first + windows + length - 1).tolist()
+    body = np.fromiter((xxhash.xxh3_64_intdigest(whole[a:b]) for a, b in zip(first.tolist(), ends_at, strict=True)), dtype=np.uint64, count=len(first))
     body = mix64(body ^ (windows.astype(np.uint64) << np.uint64(32)) ^ (anchor - first).astype(np.uint64))
     text = have[np.searchsorted(ends, at, side="right")]
     return text, first - offsets[text], windows, grams[anchor], body
@@ -491,7 +491,7 @@ def deduplicate(docs: DataFrame, length: int = 200, keep_first: bool = True, wit
     if keep_first:
         found = found.withColumn("first", F.struct("order", "dk", "at") == F.col("least")).drop("least")
     found = written(found, "suffix-found")
-    docs_z = rows.mapInArrow(_packed, f"dk long, id {kind}, z binary")
+    docs_z = written(rows.mapInArrow(_packed, f"dk long, id {kind}, z binary"), "suffix-texts")
     ranges = repeated(found, docs_z, length, keep_first)
     by_text = ranges.groupBy("dk").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
     out = docs_z.join(by_text, "dk", "left").select("id", "z", "ranges")

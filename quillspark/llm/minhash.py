@@ -444,11 +444,20 @@ def _with_rid(text_col: str, rid_col: str):
     return run
 
 
+def _free(name: str, columns: list[str]) -> str:
+    """The name, with marks before it while a column has it, in whatever case."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name = "~" + name
+    return name
+
+
 def one_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose ids name their classes, one row for each class, of several texts with that id the one of least rid; a class that has no id keeps a row without."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("~rid", T.LongType())])
+    rid, place = (_free(n, docs.columns) for n in ("~rid", "~key"))
+    schema = T.StructType([*docs.schema.fields, T.StructField(rid, T.LongType())])
     found = _classes(docs, threshold, id_col, text_col)
-    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
-    kept = found.filter(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("component", key("id").alias("~key")).agg(F.min("rid").alias("~rid")).select("~key", "~rid")
-    named = docs.mapInArrow(_with_rid(text_col, "~rid"), schema).withColumn("~key", key(id_col))
-    return named.join(kept, ["~key", "~rid"], "left_semi").dropDuplicates(["~key", "~rid"]).select(*docs.columns)
+    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    kept = found.filter(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("component", key("id").alias(place)).agg(F.min("rid").alias(rid)).select(place, rid)
+    named = docs.mapInArrow(_with_rid(text_col, rid), schema).withColumn(place, key(id_col))
+    return named.join(kept, [place, rid], "left_semi").dropDuplicates([place, rid]).select(*docs.columns)

@@ -115,6 +115,7 @@ def test_runs_and_overlap():
 def test_repeated_ids_null_ids_extra_columns(spark, docs_of):
     rows = [(1, "a b c d e f g"), (1, "z y x w v u"), (None, "a b c d e f g"), (None, "q q q q q"), (3, "Z y x w v u")]
     d = docs_of(rows).withColumnRenamed("lang", "sig").withColumnRenamed("source", "rid")
+    d = d.selectExpr("*", "1 as `~RID`", "'x' as `~key`")
     out = sorted(((r["doc_id"], r["class_id"]) for r in M.near_duplicates(d).collect()), key=str)
     assert out == sorted([(1, 1), (1, 1), (None, 1), (None, None), (3, 1)], key=str)
     kept = M.one_of_each(d)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import chat, decontamination, lm, minhash, mixing, secrets, suffix_dedup, topk, toxicity, urls
+from quillspark.llm import chat, decontamination, fim, lm, minhash, mixing, secrets, suffix_dedup, topk, toxicity, urls
 from quillspark.llm.common import read
 
 
@@ -64,6 +64,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(conversations.unionByName(extra))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fim_digests(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,5 +81,6 @@ QUERIES = {
         op8_exact_top_k,
         op9_near_duplicates,
         op10_chat_format,
+        op13_fill_in_middle,
     )
 }

@@ -88,7 +88,16 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
-
+FILL_IN_MIDDLE = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h, CAST(length(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+k AS (SELECT *, {_HEX("h", 1, 8)} % (n + 1) AS x, {_HEX("h", 9, 8)} % (n + 1) AS y, least(x, y) AS a, greatest(x, y) AS b FROM d),
+f AS (
+    SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR {_HEX("h", 17, 8)} % 100 >= 90 THEN 'plain' WHEN {_HEX("h", 25, 8)} % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+        substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM k)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256 FROM f
+"""
 
 ORACLE_SQL: dict[str, str] = {
     "op3_url_filter": URLS,
@@ -96,4 +105,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_benchmark_decontamination": LEAKS,
     "op8_exact_top_k": TOP,
     "op10_chat_format": CHATS,
+    "op13_fill_in_middle": FILL_IN_MIDDLE,
 }

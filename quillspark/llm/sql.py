@@ -88,6 +88,34 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
+# The CRC-32 of a text of ASCII characters, byte by byte and bit by bit.
+_CRC = (
+    "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({0}, ''), lambda s: CAST(ascii(s) AS BIGINT))), "
+    "lambda c, b: list_reduce(list_prepend(xor(c, b), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), CAST(4294967295 AS BIGINT))"
+)
+
+TRIE = f"""
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT c, count(*) AS n FROM t GROUP BY c),
+s AS (SELECT n.c, n.n, n.c - n.c % 100 AS base, {_CRC.format("CAST(n.c AS VARCHAR)")} % 6 AS h FROM n),
+p AS (SELECT s.*, least(h, coalesce(b.n, 0)) AS m FROM s LEFT JOIN n b ON b.c = s.base),
+r AS (
+    SELECT p.c, pos, role, text FROM p JOIN t ON t.c = p.base AND pos <= m
+    UNION ALL SELECT p.c, pos - h + m, role, text FROM p JOIN t USING (c) WHERE pos > h),
+k AS (
+    SELECT c, pos AS d, length(text) AS chars, string_agg(sha256(length(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY pos ROWS UNBOUNDED PRECEDING) AS path FROM r
+    UNION ALL SELECT c, 0, 0, '' FROM n),
+last AS (SELECT c, max(d) AS l FROM k GROUP BY c),
+node AS (SELECT path, min(c) AS conv_id, min(d) AS d, count(*) AS n_convs, min(chars) AS chars FROM k GROUP BY path),
+kids AS (SELECT left(path, len(path) - 64) AS path, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1),
+ends AS (SELECT path, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM k JOIN last USING (c) WHERE d = l GROUP BY path),
+sums AS (
+    SELECT k.path, count(*) FILTER (WHERE kids.path IS NULL) AS n_leaves, sum((x.n_convs - 1) * x.chars) AS saved
+    FROM node x JOIN k ON k.c = x.conv_id AND k.d <= x.d LEFT JOIN kids ON kids.path = x.path GROUP BY k.path)
+SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, x.n_convs, CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM node x JOIN sums USING (path) LEFT JOIN kids USING (path) LEFT JOIN ends USING (path) LEFT JOIN node up ON x.d > 0 AND up.path = left(x.path, len(x.path) - 64)
+"""
+
 FILL_IN_MIDDLE = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h, CAST(length(coalesce(text, '')) AS BIGINT) AS n FROM documents),
 k AS (SELECT *, {_HEX("h", 1, 8)} % (n + 1) AS x, {_HEX("h", 9, 8)} % (n + 1) AS y, least(x, y) AS a, greatest(x, y) AS b FROM d),
@@ -105,5 +133,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_benchmark_decontamination": LEAKS,
     "op8_exact_top_k": TOP,
     "op10_chat_format": CHATS,
+    "op12_prefix_trie": TRIE,
     "op13_fill_in_middle": FILL_IN_MIDDLE,
 }

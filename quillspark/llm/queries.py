@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import chat, decontamination, fim, lm, minhash, mixing, secrets, suffix_dedup, topk, toxicity, trie, urls
+from quillspark.llm import chat, decontamination, fim, lm, minhash, mixing, secrets, sigtree, suffix_dedup, topk, toxicity, trie, urls
 from quillspark.llm.common import read
 
 
@@ -64,6 +64,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(conversations.unionByName(extra))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sigtree.jaccard_components(read(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.rebuilt_trie(read(spark, sf_dir, "conversations"))
 
@@ -85,6 +89,7 @@ QUERIES = {
         op8_exact_top_k,
         op9_near_duplicates,
         op10_chat_format,
+        op11_jaccard_join,
         op12_prefix_trie,
         op13_fill_in_middle,
     )

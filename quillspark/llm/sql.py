@@ -88,6 +88,18 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
+JACCARD = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS g FROM w, unnest(generate_series(1, greatest(1, len(ws) - 2))) AS t(i) WHERE len(ws) > 0),
+s AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS k FROM g GROUP BY doc_id),
+k AS (SELECT k, min(n) AS n, min(doc_id) AS d FROM s GROUP BY k),
+e AS (SELECT d, n, g FROM k JOIN g ON g.doc_id = k.d),
+l AS (SELECT x.d AS a, y.d AS b FROM e x JOIN e y ON x.g = y.g AND x.d <> y.d GROUP BY x.d, y.d, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))),
+r AS (SELECT d AS a, d AS b FROM k UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS least FROM r GROUP BY a)
+SELECT doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(least, doc_id) AS component_id FROM documents LEFT JOIN s USING (doc_id) LEFT JOIN k USING (k) LEFT JOIN c ON c.a = k.d
+"""
+
 # The CRC-32 of a text of ASCII characters, byte by byte and bit by bit.
 _CRC = (
     "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({0}, ''), lambda s: CAST(ascii(s) AS BIGINT))), "
@@ -133,6 +145,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_benchmark_decontamination": LEAKS,
     "op8_exact_top_k": TOP,
     "op10_chat_format": CHATS,
+    "op11_jaccard_join": JACCARD,
     "op12_prefix_trie": TRIE,
     "op13_fill_in_middle": FILL_IN_MIDDLE,
 }

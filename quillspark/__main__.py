@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> int:
         indexing.create(spark, o.index, docs)
         indexing.upsert(o.index, docs)
     elif o.command == "search":
-        docs = spark.read.parquet(o.index).withColumn("doc", F.col("chunk_id"))
+        docs = indexing.read_index(spark, o.index).withColumn("doc", F.col("chunk_id"))
         questions = readers.read_questions(spark, o.questions, None).select("id", F.col("question").alias("text"))
         boosts = {f: b for f, b in retrieval.BOOSTS.items() if f in docs.columns}
         retrieval.bm25(questions, docs, "id", "text", "doc", boosts).write.mode("overwrite").parquet(o.out)

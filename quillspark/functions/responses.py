@@ -8,10 +8,10 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillspark.sources.schemas import strings, typed
+from quillspark.sources.schemas import typed
 
 ANSWER = typed({"status": "string", "answer": "string", "cited_chunk_ids": ["string"], "error": "string"})
-VERDICT = typed(strings("grounding justification error"))
+VERDICT = typed({"grounding": "string", "justification": "string", "error": "string"})
 # Fixed values.
 STATUSES = ("answered", "out_of_scope", "insufficient_evidence", "dependency_unavailable")
 GROUNDINGS = ("grounded", "partially_grounded", "unsupported")

@@ -57,7 +57,7 @@ def br_count(c: Column | str) -> Column:
     return F.regexp_count(col(c), F.lit(r"(?i)<br\s*/?>")).cast("long")
 
 
-#: Tags whose names start with a Latin letter; amendment notes in angle brackets are none.
+# Fixed value: tags whose names start with a Latin letter; amendment notes in angle brackets are none.
 TAG = r"</?[A-Za-z][A-Za-z0-9]*[^>]*>"
 
 
@@ -69,6 +69,7 @@ def tag_count(c: Column | str) -> Column:
     return F.regexp_count(col(c), F.lit(TAG)).cast("long")
 
 
+# Fixed value.
 IMAGE = r"<img[^>]*>\s*(?:</img>)?"
 
 

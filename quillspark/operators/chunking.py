@@ -24,6 +24,7 @@ CHUNKING_VERSION = "chunk-v2"
 TARGET = tx.TARGET_CHARS
 
 _HEADING = re.compile("【([^】]*)】")
+# List markers by level, ends of sentences, numbered items.
 _MARKERS = (("digit", re.compile(r"(\d{1,2})\.(?!\d)(?!\s*\d{1,2}\.)")), ("hangul", re.compile(r"([가-힣])\.")), ("paren", re.compile(r"(\(\d+\))")))
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
 _ITEM = re.compile(rf"(?:^|\n)([ⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]+|\d{{1,3}}|[{tx.ITEM_LETTERS}])\.\s")

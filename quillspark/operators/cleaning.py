@@ -16,10 +16,11 @@ from pyspark.sql import types as T
 
 from quillspark.functions import text as tx
 
+# Fixed value.
 VERSION = "kit-clean-v2"
 AMENDMENT = r"(?U)\s*<(?:개정|신설|전문개정)[^>]*>"
 _TOKEN = r"(?:[①-⑮]|\d{1,3}\.|[가-힣]\.)"
-#: A line with nothing but a number before a line that begins with it.
+# Fixed value: a line with nothing but a number before a line that begins with it.
 TWICE = rf"(?md)^({_TOKEN})[ \t]*\n(?=\1)"
 
 
@@ -103,10 +104,15 @@ def idempotency_violations(df: DataFrame, cleaner: Callable[[Column | str], Colu
 
 
 def dedupe_by_longest(df: DataFrame, key: str = "사건번호", text: str = "content", serial: str = "판례일련번호", order: str = "pos") -> DataFrame:
-    """df with kept (boolean) and excluded_reason: of the rows of a key, blank keys being one, the longest text stays, the earliest among equals."""
+    """df with kept (boolean) and excluded_reason: of the rows of a key, blank keys being one, the longest text stays, the earliest among equals, then that of the least serial.
+
+    Rows that have the same length, place and serial are one row that is repeated; they stay or go together.
+    """
     name = F.coalesce(F.col(key), F.lit(""))
+    # Null texts come last, and null serials after others.
+    rank = F.struct((-F.coalesce(F.length(text), F.lit(-1))).alias("n"), F.col(order).alias("at"), F.col(serial).isNull().alias("none"), F.col(serial).alias("serial"))
     # The longest is found by sums that tasks make in part, so a key that many rows share is nobody's alone.
-    best = df.groupBy(name.alias("~key")).agg(F.max_by(F.struct(F.col(order).alias("at"), F.coalesce(F.col(serial), F.lit("?")).alias("keeper")), F.struct(F.length(text).alias("n"), (-F.col(order)).alias("early"))).alias("~best"))
-    ranked = df.withColumn("~key", name).join(best, "~key").withColumn("kept", F.col(order).eqNullSafe(F.col("~best.at")))
-    reason = F.concat(F.lit("사건번호 중복(보존본: 판례일련번호 "), F.col("~best.keeper"), F.lit(")"))
+    best = df.groupBy(name.alias("~key")).agg(F.min(rank).alias("~best"))
+    ranked = df.withColumn("~key", name).join(best, "~key").withColumn("kept", rank.eqNullSafe(F.col("~best")))
+    reason = F.concat(F.lit("사건번호 중복(보존본: 판례일련번호 "), F.coalesce(F.col("~best.serial").cast("string"), F.lit("?")), F.lit(")"))
     return ranked.withColumn("excluded_reason", F.when(~F.col("kept"), reason)).drop("~key", "~best")

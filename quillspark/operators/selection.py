@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as tx
-from quillspark.sources.schemas import strings, typed
+from quillspark.sources.schemas import texts, typed
 
 # The laws of the corpus and the terms of the selection policy.
 LAWS = ["약사법", "의료법", "개인정보 보호법", "의료기기법", "표시ㆍ광고의 공정화에 관한 법률", "화장품법", "공중위생관리법", "안마사에 관한 규칙"]
@@ -18,7 +18,7 @@ OUTSIDE_TERMS = ["숙박업", "숙박업소", "목욕장업", "세탁업", "위
 SEARCHED = ["사건명", "판시사항", "판결요지", "참조조문", "content"]
 POLICY = "precedent-selection-v1"
 
-#: A law's name before an article number.
+# Fixed value: the pattern of a law's name before an article number.
 LAW_NAME = r"(?U)(?:^|[\s,/])(?:구\s+)?([가-힣ㆍ·][가-힣ㆍ·\s]*?(?:법률|법|규칙))\s*(?:\([^)]*\))?\s*제\d+조"
 
 
@@ -114,8 +114,11 @@ def selected(df: DataFrame, decisions: DataFrame, serial: str = "판례일련번
     return df.join(decisions.filter("decision = 'include'").select(F.col("case_serial").alias(serial)), serial, "left_semi")
 
 
-REVIEW = typed(strings("decision confidence domainCategory legalIssue rationale", evidence=[strings("field quote")]))
+# The fields of a review and of its evidence, and the fields that are reviewed.
+REVIEW_FIELDS = ["decision", "confidence", "domainCategory", "legalIssue", "rationale"]
+EVIDENCE_FIELDS = ["field", "quote"]
 REVIEWED_FIELDS = ["caseName", "headnote", "holding", "referencedProvisions", "body"]
+REVIEW = typed(texts(REVIEW_FIELDS) | {"evidence": [texts(EVIDENCE_FIELDS)]})
 
 
 def review_case(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quillspark.functions import identity as ids
 from quillspark.functions import responses as rs
 from quillspark.functions import text as tx
-from quillspark.operators import answering, chunking, indexing, release, retrieval, validation
+from quillspark.operators import answering, chunking, indexing, ordering, release, retrieval, validation
 from quillspark.operators import records as recs
 from quillspark.plans import queries as base
 from quillspark.plans.registry import query, table
@@ -138,12 +138,7 @@ def term_lookup(spark, sf):
 def vectors_by_place(spark, sf):
     """Vectors that come back from a service in the order of the chunks, joined by place."""
     e = table(spark, sf, "embeddings")
-    n = e.count()
-    back = e.select(F.col("vec_id").alias("pos"), "embedding") if e.filter(F.col("vec_id") >= n).isEmpty() else None
-    if back is None:  # ids with holes have no place of their own
-        from pyspark.sql import Window
-
-        back = e.select((F.row_number().over(Window.orderBy("vec_id")) - 1).alias("pos"), "embedding")
+    back = ordering.numbered(e.select("vec_id", "embedding"), ["vec_id"]).select("pos", "embedding")
     return indexing.with_vectors(e.select("vec_id", "label"), back, "vec_id").select("vec_id", F.col("embedding")[0].cast("double").alias("head"))
 
 

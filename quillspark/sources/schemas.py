@@ -18,30 +18,43 @@ def typed(spec) -> T.DataType:
     return T.StructType([T.StructField(n, typed(s)) for n, s in spec.items()])
 
 
-def strings(names: str, **others) -> dict:
-    return {n: "string" for n in names.split()} | others
-
-
-JUDGEMENT = strings("caseSerial caseName caseNumber court caseCategory decidedOn judgementType headnote holding referencedProvisions referencedPrecedents")
-GUIDE = strings("issuingAuthority issuingDivision officialNumber officialNumberScheme edition issuedOn", pageCount="int", legallyBinding="boolean", nonBindingStatement="string")
-STATUTE = strings(
-    "unitKind lawName lawId mst instrumentKind responsibleMinistry promulgationNumber promulgatedOn effectiveOn unitEffectiveOn chapterTitle sectionTitle "
-    "articleNumber articleBranchNumber articleTitle appendixNumber appendixBranchNumber appendixTitle"
-)
+def texts(names: list[str]) -> dict:
+    return {n: "string" for n in names}
+
+
+# The fields of records, of their parts and of manifests.
+JUDGEMENT_FIELDS = [
+    "caseSerial", "caseName", "caseNumber", "court", "caseCategory", "decidedOn", "judgementType", "headnote", "holding", "referencedProvisions", "referencedPrecedents",
+]
+GUIDE_FIELDS = ["issuingAuthority", "issuingDivision", "officialNumber", "officialNumberScheme", "edition", "issuedOn"]
+STATUTE_FIELDS = [
+    "unitKind", "lawName", "lawId", "mst", "instrumentKind", "responsibleMinistry", "promulgationNumber", "promulgatedOn", "effectiveOn", "unitEffectiveOn", "chapterTitle", "sectionTitle",
+    "articleNumber", "articleBranchNumber", "articleTitle", "appendixNumber", "appendixBranchNumber", "appendixTitle",
+]
+EXTRACTION_FIELDS = ["tool", "engine", "model", "outputFormat"]
+PROVENANCE_FIELDS = ["provider", "publisherStatement", "sourceUrl", "sourceReference"]
+HEAD_FIELDS = ["documentId", "sourceGroupId", "documentKind", "title", "text", "contentHash"]
+ADMISSION_FIELDS = ["admission", "attribution", "usage"]
+LINKED_LAW_FIELDS = ["lawName", "strength"]
+FILE_FIELDS = ["path", "kind", "sha256"]
+LICENCE_FIELDS = ["subject", "terms"]
+
+JUDGEMENT = texts(JUDGEMENT_FIELDS)
+GUIDE = texts(GUIDE_FIELDS) | {"pageCount": "int", "legallyBinding": "boolean", "nonBindingStatement": "string"}
+STATUTE = texts(STATUTE_FIELDS)
 VARIANTS = {"judgement": JUDGEMENT, "official_guide": GUIDE, "statute": STATUTE}
-EXTRACTION = strings("tool engine model outputFormat", performedAt="timestamp", settings=["string"])
-PROVENANCE = strings("provider publisherStatement sourceUrl sourceReference", acquiredAt="timestamp", extraction=EXTRACTION, rawArtifactPath="string", rawArtifactHash="string")
+EXTRACTION = texts(EXTRACTION_FIELDS) | {"performedAt": "timestamp", "settings": ["string"]}
+PROVENANCE = texts(PROVENANCE_FIELDS) | {"acquiredAt": "timestamp", "extraction": EXTRACTION, "rawArtifactPath": "string", "rawArtifactHash": "string"}
 #: A record; its identity holds one of three variants, the others being null.
 RECORD = typed(
-    strings("documentId sourceGroupId documentKind title text contentHash", identity=VARIANTS, provenance=PROVENANCE)
-    | strings("admission attribution usage", inDefaultCorpus="boolean", linkedLaws=[strings("lawName strength")], limitations=["string"])
+    texts(HEAD_FIELDS) | {"identity": VARIANTS, "provenance": PROVENANCE} | texts(ADMISSION_FIELDS) | {"inDefaultCorpus": "boolean", "linkedLaws": [texts(LINKED_LAW_FIELDS)], "limitations": ["string"]}
 )
 _COUNTS = [{"key": "string", "recordCount": "bigint"}]
 MANIFEST = typed(
     {"datasetVersion": "string", "schemaVersion": "string", "frozenAt": "timestamp", "deliveryId": "string", "deliveredBy": "string"}
-    | {"files": [strings("path kind sha256", byteSize="bigint", recordCount="bigint")]}
+    | {"files": [texts(FILE_FIELDS) | {"byteSize": "bigint", "recordCount": "bigint"}]}
     | {f"coverageBy{k}": _COUNTS for k in ("DocumentKind", "Provider", "Usage")}
-    | {"dispositions": [{"subject": "string", "included": "boolean", "reason": "string"}], "licences": [strings("subject terms", attributionRequired="boolean", restrictedUse="boolean")], "knownGaps": ["string"]}
+    | {"dispositions": [{"subject": "string", "included": "boolean", "reason": "string"}], "licences": [texts(LICENCE_FIELDS) | {"attributionRequired": "boolean", "restrictedUse": "boolean"}], "knownGaps": ["string"]}
 )
 
 

@@ -175,13 +175,6 @@ def test_joins_by_place_reviews_and_groups(spark):
     assert [r["s"] for r in at] == [1704164645, 1704132245, None]
 
 
-def test_replacement_survives_a_crash(spark, tmp_path):
-    path = str(tmp_path / "index")
-    spark.range(2).selectExpr("'k' || id AS chunk_id").write.parquet(f"{path}.previous")
-    indexing.upsert(path, spark.createDataFrame([("z",)], "chunk_id string"))
-    assert {r[0] for r in spark.read.parquet(path).collect()} == {"k0", "k1", "z"}
-
-
 def test_knn_in_blocks(spark, monkeypatch):
     v = spark.createDataFrame([(i, [float(i % 7), float(i % 5), 1.0]) for i in range(60)], "doc int, embedding array<float>")
     q = v.select(F.col("doc").alias("question"), "embedding").limit(20)

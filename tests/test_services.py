@@ -57,7 +57,7 @@ def test_index(spark, tmp_path):
     assert indexing.create(spark, path, docs) and not indexing.create(spark, path, docs)
     indexing.upsert(path, docs)
     indexing.upsert(path, spark.createDataFrame([("b", "3"), ("c", "4")], "chunk_id string, text string"))
-    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [("a", "1"), ("b", "3"), ("c", "4")]
+    assert sorted(tuple(r) for r in indexing.read_index(spark, path).collect()) == [("a", "1"), ("b", "3"), ("c", "4")]
     with pytest.raises(ValueError):
         indexing.upsert(path, docs.union(docs))
     assert indexing.index_name("x", "v2.1") == "x-v2-1-chunk-v2-index-v2"

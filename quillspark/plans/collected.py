@@ -214,3 +214,26 @@ def cited_semi(spark, sf):
 )
 def cited_anti(spark, sf):
     return _cited(spark, sf).select("item_id", "status", F.array_join("limitations", "|").alias("limitation"))
+
+
+@query(
+    """SELECT doc_id, length(text) AS tokens_in, least(length(text), 400) AS tokens_out, length(text) > 400 AS truncated, CASE WHEN length(text) <= 400 THEN left(text, 20) END AS said
+    FROM documents WHERE text IS NOT NULL"""
+)
+def model_accounting(spark, sf):
+    """What a model reads, writes and is cut off at, a call for each document; it repeats the document's start."""
+
+    def model(prompt, max_tokens):
+        whole = len(prompt) <= max_tokens
+        return answering.Reply(prompt[:20], len(prompt), min(len(prompt), max_tokens), "end_turn" if whole else "max_tokens")
+
+    said = answering.replied(table(spark, sf, "documents").filter("text IS NOT NULL").select("doc_id", "text"), model, 400, "text")
+    return said.select("doc_id", F.col("tokens_in"), F.col("tokens_out"), F.col("error").isNotNull().alias("truncated"), F.col("raw").alias("said"))
+
+
+@query("SELECT doc_id, CAST(length(coalesce(text, '')) AS DOUBLE) AS head, length(coalesce(text, '')) AS tokens FROM documents")
+def paced_vectors(spark, sf):
+    """Vectors of all documents within a limit that eight tasks share; the vector of a text is its length."""
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    vectors = answering.paced(d, lambda texts: [[float(len(t))] for t in texts], 1, limit=10**12, tasks=8)
+    return vectors.select("doc_id", F.col("embedding")[0].cast("double").alias("head"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("tokens"))

@@ -7,14 +7,18 @@ query works on all rows and whole texts.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import identity as ids
 from quillspark.functions import text as tx
 from quillspark.operators import answering, chunking, cleaning, containment, evaluation, retrieval, selection, validation
+from quillspark.operators import lexical as lexical_index
 from quillspark.plans.registry import query, table
 from quillspark.sources import readers, schemas
+from quillspark.sources.scratch import shared_folder
 
 TERMS = ["the", "token", "secret", "idiot", "der", "que"]
 _TERM_LIST = "[" + ", ".join(f"'{t}'" for t in TERMS) + "]"
@@ -323,6 +327,14 @@ def bm25_topk(spark, sf):
     return _lexical(spark, sf)
 
 
+@query(f"WITH {_BM25} SELECT item_id, doc_id AS doc, score, CAST(rank AS INTEGER) AS rank FROM bm")
+def bm25_kept(spark, sf):
+    """The same hits from an index that is built once and read in part."""
+    path = f"{shared_folder(spark)}/quillspark/lexical-{uuid.uuid4().hex}"
+    lexical_index.build(table(spark, sf, "documents").withColumnRenamed("doc_id", "doc"), path)
+    return lexical_index.Search(table(spark, sf, "benchmark"), path, "item_id").hits
+
+
 def _prototypes(spark, sf):
     """Of each label the componentwise greatest vector."""
     e = table(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.max("x").alias("x"))

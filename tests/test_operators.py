@@ -200,8 +200,10 @@ def test_answers(spark):
     a = by(json.dumps({"status": "answered", "answer": "x", "cited_chunk_ids": ["zz"]}))
     assert a[1]["status"] == "insufficient_evidence" and "never retrieved: zz" in a[1]["limitations"][0] and len(a[1]["hits"]) == 2
     assert by(json.dumps({"status": "out_of_scope", "answer": "x"}))[1]["status"] == "out_of_scope"
+    a = by("not json")
+    assert a[1]["status"] is None and "no JSON" in a[1]["error"] and a[1]["answer"] is None and a[2]["status"] == "insufficient_evidence"
     with pytest.raises(Exception, match="no JSON"):
-        by("not json")
+        answering.answers(q, fused, docs, lambda p: "not json", strict=True).collect()
 
     def down(p):
         raise ConnectionError("gone")

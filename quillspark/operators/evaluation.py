@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as tx
+from quillspark.operators.ordering import numbered
+from quillspark.sources.readers import replace_folder
 
 CURVE = (1, 3, 5, 10, 20)
 
@@ -86,3 +90,51 @@ def answer_metrics(results: DataFrame, usd_in: float = 3.0, usd_out: float = 15.
 def latencies(results: DataFrame, column: str = "latency_ms") -> DataFrame:
     q = F.percentile(column, F.array(*map(F.lit, (0.5, 0.95, 0.99))))
     return results.agg(F.min(column).alias("min"), q.alias("~q"), F.max(column).alias("max")).select("min", *(F.col("~q")[i].alias(n) for i, n in enumerate(("p50", "p95", "p99"))), "max")
+
+
+def write_document(path: str, parts: dict[str, DataFrame], lists: dict[str, tuple[DataFrame, list]]) -> None:
+    """One JSON document in a folder of text files that are its pieces in order: an object for each part (a table of one row), then an array for each list (rows, order).
+
+    Lists are written by as many tasks as they have ranges, each row a line, so nothing is gathered in one place; concatenated in the order of
+    their names, the files are the document. Nulls are written. A part of another number of rows raises. The new document takes the old one's
+    place when it is whole.
+    """
+    lines, names = None, [*parts, *lists]
+    if not names:
+        raise ValueError("a document needs a part or a list")
+
+    def add(df: DataFrame) -> None:
+        nonlocal lines
+        lines = df if lines is None else lines.unionByName(df)
+
+    spark = None
+    piece = lambda df, section, at, text: df.select(F.lit(section).alias("section"), at.cast("long").alias("at"), text.alias("value"))
+    as_json = lambda df: F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"ignoreNullFields": "false"})
+    for i, name in enumerate(names):
+        head = ("{" if i == 0 else ",") + json.dumps(name, ensure_ascii=False) + ":"
+        if name in parts:
+            df = parts[name]
+            spark = df.sparkSession
+            rows = df.limit(2).collect()
+            if len(rows) != 1:
+                raise ValueError(f"{name} must have one row")
+            one = spark.createDataFrame(rows, df.schema)
+            add(piece(one, 2 * i, F.lit(0), F.concat(F.lit(head), as_json(one))))
+        else:
+            df, order = lists[name]
+            spark = df.sparkSession
+            placed = numbered(df, order, "~place")
+            add(piece(spark.range(1), 2 * i, F.lit(-1), F.lit(head + "[")))
+            comma = F.when(F.col("~place") > 0, ",").otherwise("")
+            add(piece(placed, 2 * i, F.col("~place"), F.concat(comma, as_json(df))))
+            add(piece(spark.range(1), 2 * i + 1, F.lit(0), F.lit("]")))
+    add(piece(spark.range(1), 2 * len(names), F.lit(0), F.lit("}")))
+    lines.orderBy("section", "at").select("value").write.mode("overwrite").text(f"{path}.staging")
+    replace_folder(spark, f"{path}.staging", path)
+
+
+def read_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A document that write_document wrote, as one row; for documents that fit a row."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = files.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("file", "value"))), lambda f: f["value"]), "").alias("value"))
+    return whole.select(F.from_json("value", schema).alias("d")).select("d.*")

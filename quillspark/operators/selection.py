@@ -15,6 +15,9 @@ ISSUE_TERMS = [
     "무면허 의료행위", "의료행위", "의료광고", "표시광고", "과대광고", "거짓광고", "광고", "위생관리", "영업신고", "업무범위", "자격", "개인정보", "민감정보", "얼굴정보", "효능", "판매",
 ]
 OUTSIDE_TERMS = ["숙박업", "숙박업소", "목욕장업", "세탁업", "위생관리용역업"]
+# What decisions are searched by, and publishers whose decisions are left out (none so far).
+KEYWORDS = ["약사법", "의료법", "개인정보 보호법", "의료기기법", "표시광고", "화장품", "공중위생관리법", "안마사", "미용", "과대광고", "무면허 의료행위"]
+DENIED_PUBLISHERS: list[str] = []
 SEARCHED = ["사건명", "판시사항", "판결요지", "참조조문", "content"]
 POLICY = "precedent-selection-v1"
 
@@ -168,3 +171,8 @@ def target_linkage(found: DataFrame, rows: DataFrame, serial: str = "판례일
     all_links = F.map_from_arrays(F.array(*map(F.lit, laws)), F.array(*(law_linkage(references, body, law) for law in laws)))
     joined = rows.join(targets, F.col(serial) == F.col("serial")).withColumn("~links", all_links)
     return joined.withColumn("linkage", F.map_from_arrays(F.col("ragTargets"), F.transform("ragTargets", lambda t: F.coalesce(F.try_element_at(F.col("~links"), t), F.lit("unlinked"))))).drop("~links", "serial")
+
+
+def allowed(rows: DataFrame, publisher: str, denied: list[str] = DENIED_PUBLISHERS) -> DataFrame:
+    """rows but those of publishers that are left out; a row without publisher stays."""
+    return rows.filter(~tx.strip(F.coalesce(F.col(publisher), F.lit(""))).isin(denied)) if denied else rows

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import identity as ids
 from quillspark.functions import text as tx
+from quillspark.operators.ordering import numbered
 from quillspark.operators.records import sentinel_type
 
 # Fixed values.
@@ -92,17 +93,36 @@ def manifest_violations(manifest: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _findings(df: DataFrame, severity: str, code: str, message: Column, document: Column | None = None) -> DataFrame:
-    return df.select(F.lit(severity).alias("severity"), F.lit(code).alias("code"), message.alias("message"), (F.lit(None) if document is None else document).cast("string").alias("document_id"))
+#: The rules of a release in the order in which they report.
+RULES = [
+    "duplicate_ids", "duplicate_decisions", "records", "record_count", "coverageByDocumentKind", "coverageByProvider", "coverageByUsage", "totalByDocumentKind", "totalByUsage",
+]
 
 
-def duplicate_ids(records: DataFrame) -> DataFrame:
+def _order(rule: str, pos: Column | None = None, sub: Column | None = None, keys: list[Column] = ()) -> Column:
+    """Where a finding stands among all: by rule, then the record's place and the rule's number within it, then keys."""
+    none = F.array().cast("array<string>")
+    return F.struct(
+        F.lit(RULES.index(rule)).alias("rule"), (F.lit(0) if pos is None else pos).cast("long").alias("pos"), (F.lit(0) if sub is None else sub).cast("int").alias("sub"), (F.array(*(k.cast("string") for k in keys)) if keys else none).alias("keys"),
+    )
+
+
+FINDING = ["severity", "code", "message", "document_id"]
+
+
+def _findings(df: DataFrame, severity: str, code: str | Column, message: Column, document: Column | None = None, order: Column | None = None) -> DataFrame:
+    return df.select(
+        F.lit(severity).alias("severity"), (F.lit(code) if isinstance(code, str) else code).alias("code"), message.alias("message"), (F.lit(None) if document is None else document).cast("string").alias("document_id"), order.alias("~order")
+    )
+
+
+def _duplicate_ids(records: DataFrame) -> DataFrame:
     seen = records.groupBy("documentId").count().filter("count > 1")
-    return _findings(seen, "error", "duplicate_document_id", F.format_string("documentId appears %d times; it must be unique", "count"), F.col("documentId"))
+    message = F.format_string("documentId appears %d times; it must be unique", "count")
+    return _findings(seen, "error", "duplicate_document_id", message, F.col("documentId"), _order("duplicate_ids", keys=[F.col("documentId")]))
 
 
-def duplicate_decisions(records: DataFrame) -> DataFrame:
-    """Judgements with one number, court and date: a warning that says whether they share a group (no group being one of its own)."""
+def _duplicate_decisions(records: DataFrame) -> DataFrame:
     j = F.col("identity.judgement")
     clusters = (
         records.filter(j.isNotNull())
@@ -112,10 +132,11 @@ def duplicate_decisions(records: DataFrame) -> DataFrame:
     )
     what = F.concat(F.lit("one decision ("), F.concat_ws(" ", "c", "n", "d"), F.lit(") in "), F.array_join("docs", ", "))
     grouped = (F.col("groups") == 1) & (F.col("none") == 0)
-    return _findings(clusters.filter(~grouped), "warning", "ungrouped_duplicate_decision", what).unionByName(_findings(clusters.filter(grouped), "warning", "duplicate_decision", what))
+    code = F.when(grouped, "duplicate_decision").otherwise("ungrouped_duplicate_decision")
+    return _findings(clusters, "warning", code, what, None, _order("duplicate_decisions", keys=[F.col("n"), F.col("c"), F.col("d")]))
 
 
-def record_findings(records: DataFrame) -> DataFrame:
+def _record_findings(records: DataFrame, position: str | None = None) -> DataFrame:
     j, doc = F.col("identity.judgement"), F.col("documentId")
     bare = reduce(lambda a, f: a & (F.coalesce(j[f], F.lit("")) == ""), ("headnote", "holding", "referencedProvisions", "referencedPrecedents"), F.lit(True))
     rules = [
@@ -125,8 +146,24 @@ def record_findings(records: DataFrame) -> DataFrame:
         ("warning", "body_only_judgement", j.isNotNull() & bare, F.lit("no summary fields; only the body is supplied")),
         ("warning", "no_core_linkage", (F.size("linkedLaws") > 0) & ~F.exists("linkedLaws", lambda x: x["strength"] == "core"), F.lit("linked laws, but none of them core")),
     ]
-    fired = F.array_compact(F.array(*(F.when(cond, F.struct(F.lit(s).alias("severity"), F.lit(c).alias("code"), m.alias("message"))) for s, c, cond, m in rules)))
-    return records.select(F.inline(fired), doc.alias("document_id"))
+    place = None if position is None else F.col(position)
+    one = lambda i, s, c, m: F.struct(F.lit(s).alias("severity"), F.lit(c).alias("code"), m.alias("message"), F.lit(i).alias("~sub"))
+    fired = F.array_compact(F.array(*(F.when(cond, one(i, s, c, m)) for i, (s, c, cond, m) in enumerate(rules))))
+    rows = records.select(F.inline(fired), doc.alias("document_id"), (F.lit(0) if place is None else place).alias("~pos"))
+    return rows.select(*FINDING, _order("records", F.col("~pos"), F.col("~sub")).alias("~order"))
+
+
+def duplicate_ids(records: DataFrame) -> DataFrame:
+    return _duplicate_ids(records).select(*FINDING)
+
+
+def duplicate_decisions(records: DataFrame) -> DataFrame:
+    """Judgements with one number, court and date: a warning that says whether they share a group (no group being one of its own)."""
+    return _duplicate_decisions(records).select(*FINDING)
+
+
+def record_findings(records: DataFrame) -> DataFrame:
+    return _record_findings(records).select(*FINDING)
 
 
 def coverage(records: DataFrame, key: Column) -> DataFrame:
@@ -142,23 +179,37 @@ def coverage_difference(claimed: DataFrame, actual: DataFrame) -> DataFrame:
 AXES = {"DocumentKind": "documentKind", "Provider": "provenance.provider", "Usage": "usage"}
 
 
-def release_findings(records: DataFrame, manifest: DataFrame) -> DataFrame:
-    """All findings of a release, in no order; never raises for what it finds."""
-    found = [duplicate_ids(records), duplicate_decisions(records), record_findings(records)]
+def _release_findings(records: DataFrame, manifest: DataFrame, position: str | None = None) -> DataFrame:
+    found = [_duplicate_ids(records), _duplicate_decisions(records), _record_findings(records, position)]
     total = records.agg(F.count(F.lit(1)).alias("n"))
     claimed = manifest.select(F.coalesce(F.aggregate(F.filter("files", lambda f: f["kind"] == "records"), F.lit(0).cast("long"), lambda s, f: s + f["recordCount"]), F.lit(0)).alias("c"))
     off = total.crossJoin(claimed).filter("n <> c")  # one row each
-    found.append(_findings(off, "error", "record_count_mismatch", F.format_string("manifest claims %d record(s) across its files, but %d were supplied", "c", "n")))
+    found.append(_findings(off, "error", "record_count_mismatch", F.format_string("manifest claims %d record(s) across its files, but %d were supplied", "c", "n"), order=_order("record_count")))
     for axis, key in AXES.items():
         entries = manifest.select(F.inline(f"coverageBy{axis}"))
         diff = coverage_difference(entries, coverage(records, F.col(key)))
-        found.append(_findings(diff, "error", "coverage_mismatch", F.format_string(f"coverageBy{axis}: %s is claimed %d times and supplied %d times", "key", "claimed", "actual")))
+        what = F.format_string(f"coverageBy{axis}: %s is claimed %d times and supplied %d times", "key", "claimed", "actual")
+        found.append(_findings(diff, "error", "coverage_mismatch", what, order=_order(f"coverageBy{axis}", keys=[F.col("key")])))
         if axis != "Provider":
-            off = total.crossJoin(entries.agg(F.coalesce(F.sum("recordCount"), F.lit(0)).alias("c"))).filter("n <> c")
-            found.append(_findings(off, "error", "coverage_total_mismatch", F.format_string(f"coverageBy{axis} totals %d, but %d record(s) were supplied", "c", "n")))
+            off = total.crossJoin(entries.agg(F.coalesce(F.sum("recordCount"), F.lit(0)).alias("c"))).filter("n <> c")  # one row each
+            found.append(_findings(off, "error", "coverage_total_mismatch", F.format_string(f"coverageBy{axis} totals %d, but %d record(s) were supplied", "c", "n"), order=_order(f"totalBy{axis}")))
     return reduce(DataFrame.unionByName, found)
 
 
+def release_findings(records: DataFrame, manifest: DataFrame) -> DataFrame:
+    """All findings of a release, in no order; never raises for what it finds."""
+    return _release_findings(records, manifest).select(*FINDING)
+
+
+def ordered_findings(records: DataFrame, manifest: DataFrame, position: str = "pos") -> DataFrame:
+    """(place, severity, code, message, document_id): all findings, numbered from 0 in the order in which the rules report.
+
+    Repeated ids come first, by id, then decisions by number, court and date, then what each record breaks, in the records' order (column position), then
+    counts, coverages by key, and totals. Code points order texts.
+    """
+    return numbered(_release_findings(records, manifest, position), ["~order", "code", "message"], "place").select("place", *FINDING)
+
+
 def summary(findings: DataFrame) -> DataFrame:
     return findings.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
 

@@ -6,17 +6,20 @@ events play records, admissions and logs, as in plans.queries.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions import identity as ids
 from quillspark.functions import responses as rs
 from quillspark.functions import text as tx
-from quillspark.operators import answering, chunking, indexing, ordering, release, retrieval, validation
+from quillspark.operators import answering, chunking, evaluation, indexing, ordering, release, retrieval, validation
 from quillspark.operators import records as recs
 from quillspark.plans import queries as base
 from quillspark.plans.registry import query, table
-from quillspark.sources import readers
+from quillspark.sources import artifacts, readers
+from quillspark.sources.scratch import shared_folder
 
 _ACQUIRED = "2024-01-01 00:00:00"
 
@@ -153,12 +156,13 @@ def moments(spark, sf):
     return e.select("event_id", F.unix_timestamp(readers.moment(F.col("t"))).alias("at"))
 
 
-@query("SELECT doc_id, 'artifacts/' || substr(sha256(text), 1, 2) || '/' || sha256(text) || '.xml' AS path FROM documents")
+@query("SELECT doc_id, 'source-native/' || source || '/' || sha256(text) || '.xml' AS path, 'sha256:' || sha256(text) AS hash FROM documents")
 def artifact_paths(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", readers.artifact_path(F.col("text").cast("binary")).alias("path"))
+    content = F.col("text").cast("binary")
+    return table(spark, sf, "documents").select("doc_id", artifacts.artifact_path(content, F.col("source")).alias("path"), artifacts.artifact_hash(content).alias("hash"))
 
 
-@query("SELECT doc_id, CAST(i * 20 + 1 AS INTEGER) AS first, CAST(least(i * 20 + 20, greatest(n_chars % 97, 0)) AS INTEGER) AS last FROM documents, unnest(generate_series(0, greatest(n_chars % 97 - 1, 0) // 20)) AS t(i)")
+@query("SELECT doc_id, CAST(i * 20 + 1 AS INTEGER) AS first, CAST(least(i * 20 + 20, greatest(n_chars % 97, 0)) AS INTEGER) AS last FROM documents, unnest(generate_series(0, greatest(n_chars % 97 - 1, 0) // 20)) AS t(i) WHERE n_chars % 97 > 0")
 def page_ranges(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", F.explode(readers.page_ranges((F.col("n_chars") % 97).cast("int"))).alias("r"))
     return d.select("doc_id", F.col("r.first").alias("first"), F.col("r.last").alias("last"))
@@ -237,3 +241,42 @@ def paced_vectors(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "text")
     vectors = answering.paced(d, lambda texts: [[float(len(t))] for t in texts], 1, limit=10**12, tasks=8)
     return vectors.select("doc_id", F.col("embedding")[0].cast("double").alias("head"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("tokens"))
+
+
+@query(
+    """WITH d AS (SELECT doc_id AS pos, * FROM documents UNION ALL SELECT 1000000000 + doc_id, * FROM documents WHERE doc_id < 20), n AS (SELECT count(*) AS n, count(*) FILTER (source <> 'src4') AS c FROM d),
+    p AS (SELECT source, count(*) AS n FROM d WHERE source = 'src4' GROUP BY source), f AS (
+    SELECT 0 AS rule, 0 AS pos, 0 AS sub, CAST(doc_id AS VARCHAR) AS key, 'error' AS severity, 'duplicate_document_id' AS code, 'documentId appears 2 times; it must be unique' AS message, CAST(doc_id AS VARCHAR) AS document_id FROM documents WHERE doc_id < 20
+    UNION ALL SELECT 1, 0, 0, CAST(doc_id AS VARCHAR), 'warning', 'ungrouped_duplicate_decision',
+        'one decision (' || source || ' ' || doc_id || ' ' || CASE WHEN lang = 'fr' THEN '00010101' ELSE '20200101' END || ') in ' || doc_id || ', ' || doc_id, NULL FROM documents WHERE doc_id < 20
+    UNION ALL SELECT 2, pos, 0, '', 'error', 'content_hash_mismatch', 'contentHash does not match the supplied text', CAST(doc_id AS VARCHAR) FROM d WHERE lang = 'es'
+    UNION ALL SELECT 2, pos, 1, '', 'warning', 'sentinel_decision_date', 'decidedOn is the placeholder 00010101', CAST(doc_id AS VARCHAR) FROM d WHERE lang = 'fr'
+    UNION ALL SELECT 2, pos, 3, '', 'warning', 'body_only_judgement', 'no summary fields; only the body is supplied', CAST(doc_id AS VARCHAR) FROM d WHERE lang = 'de'
+    UNION ALL SELECT 2, pos, 4, '', 'warning', 'no_core_linkage', 'linked laws, but none of them core', CAST(doc_id AS VARCHAR) FROM d WHERE source = 'src2'
+    UNION ALL SELECT 3, 0, 0, '', 'error', 'record_count_mismatch', 'manifest claims 7 record(s) across its files, but ' || n || ' were supplied', NULL FROM n WHERE n <> 7
+    UNION ALL SELECT 4, 0, 0, 'judgement', 'error', 'coverage_mismatch', 'coverageByDocumentKind: judgement is claimed ' || c || ' times and supplied ' || n || ' times', NULL FROM n WHERE n <> c
+    UNION ALL SELECT 5, 0, 0, source, 'error', 'coverage_mismatch', 'coverageByProvider: ' || source || ' is claimed 0 times and supplied ' || n || ' times', NULL FROM p
+    UNION ALL SELECT 6, 0, 0, 'index_eligible', 'error', 'coverage_mismatch', 'coverageByUsage: index_eligible is claimed ' || c || ' times and supplied ' || n || ' times', NULL FROM n WHERE n <> c
+    UNION ALL SELECT 7, 0, 0, '', 'error', 'coverage_total_mismatch', 'coverageByDocumentKind totals ' || c || ', but ' || n || ' record(s) were supplied', NULL FROM n WHERE n <> c
+    UNION ALL SELECT 8, 0, 0, '', 'error', 'coverage_total_mismatch', 'coverageByUsage totals ' || c || ', but ' || n || ' record(s) were supplied', NULL FROM n WHERE n <> c)
+    SELECT row_number() OVER (ORDER BY rule, pos, sub, key) - 1 AS place, severity, code, message, document_id FROM f"""
+)
+def ordered_release(spark, sf):
+    """The findings of that release in the order in which the rules report them, with messages and documents."""
+    r = base.records(spark, sf).withColumn("pos", F.col("documentId").cast("long"))
+    r = r.unionByName(r.filter("pos < 20").withColumn("pos", F.col("pos") + 1_000_000_000))
+    return validation.ordered_findings(r, _released(spark, sf)[1])
+
+
+@query(
+    f"""WITH {base.BM25}, {base.GOLD}, r AS (SELECT g.item_id, min(b.rank) AS first FROM gold g LEFT JOIN bm b ON g.item_id = b.item_id AND g.doc_id = b.doc_id AND b.rank <= 10 GROUP BY g.item_id)
+    SELECT avg(CASE WHEN first IS NULL THEN 0.0 ELSE 1.0 END) AS recall, avg(coalesce(1.0 / first, 0.0)) AS mrr, count(*) AS n, count(*) AS questions, CAST(sum(item_id) AS BIGINT) AS ids FROM r"""
+)
+def evaluation_document(spark, sf):
+    """An evaluation written as one JSON document and read back: its aggregate, and how many questions it lists."""
+    scores = evaluation.scored(base.gold(spark, sf), base.lexical(spark, sf), "item_id")
+    path = f"{shared_folder(spark)}/quillspark/evaluation-{uuid.uuid4().hex}"
+    evaluation.write_document(path, {"aggregate": evaluation.recall_mrr(scores)}, {"per_question": (scores.select("item_id", "hit", "rr"), ["item_id"])})
+    whole = evaluation.read_document(spark, path, "aggregate struct<recall:double,mrr:double,n:long>, per_question array<struct<item_id:long,hit:double,rr:double>>")
+    ids = F.aggregate("per_question", F.lit(0).cast("long"), lambda s, q: s + q["item_id"])
+    return whole.select("aggregate.*", F.size("per_question").cast("long").alias("questions"), ids.alias("ids"))

@@ -46,9 +46,9 @@ def described_files(spark: SparkSession, paths: list[str], kind: str) -> DataFra
 
 
 def write_jsonl(rows: DataFrame, path: str, order: list[str] | None = None, keep_nulls: bool = True) -> None:
-    """JSON lines. With an order they go to one file in it, without to many."""
+    """JSON lines of all columns. With an order, the files are numbered in it."""
     options = {"ignoreNullFields": "false" if keep_nulls else "true"}
-    text = F.to_json(F.struct(*(c for c in rows.columns if not order or c not in order or c not in ("pos",))), options).alias("value")
+    text = F.to_json(F.struct(*rows.columns), options).alias("value")
     if order:
         # Ordered in parallel; files are numbered in that order, so no single task writes all.
         rows.orderBy(*order).select(text).write.mode("overwrite").text(path)
@@ -172,8 +172,8 @@ def first_publisher(found: DataFrame, key: str = "serial", publisher: str = "pub
 
 
 def hydrated(rows: DataFrame, publishers: DataFrame, key: str, publisher: str) -> DataFrame:
-    """rows with empty publishers filled by lookup; one that stays empty raises."""
-    known = publishers.select(F.col(key).alias("~k"), F.col(publisher).alias("~p"))
+    """rows with empty publishers filled by lookup, of several of a key the least; one that stays empty raises."""
+    known = publishers.filter(tx.strip(F.coalesce(F.col(publisher), F.lit(""))) != "").groupBy(F.col(key).alias("~k")).agg(F.min(publisher).alias("~p"))
     out = rows.join(known, F.col(key) == F.col("~k"), "left").withColumn(publisher, F.coalesce(F.nullif(F.col(publisher), F.lit("")), F.col("~p"))).drop("~k", "~p")
     left = [r[0] for r in out.filter(F.col(publisher).isNull()).select(key).limit(20).collect()]
     if left:
@@ -181,15 +181,12 @@ def hydrated(rows: DataFrame, publishers: DataFrame, key: str, publisher: str) -
     return out
 
 
-def artifact_path(content: Column, suffix: str = ".xml") -> Column:
-    digest = F.sha2(content, 256)
-    return F.concat(F.lit("artifacts/"), F.substring(digest, 1, 2), F.lit("/"), digest, F.lit(suffix))
-
-
-def new_artifacts(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+def new_artifacts(incoming: DataFrame, stored: DataFrame, kind: str = "precedent") -> DataFrame:
     """incoming (content) with paths by hash, those not stored (path, content); a stored path with other content raises."""
-    rows = incoming.withColumn("path", artifact_path(F.col("content"))).dropDuplicates(["path"])
-    broken = [r[0] for r in stored.filter(F.col("path") != artifact_path(F.col("content"))).select("path").limit(20).collect()]
+    from quillspark.sources.artifacts import artifact_path
+
+    rows = incoming.withColumn("path", artifact_path(F.col("content"), kind)).dropDuplicates(["path"])
+    broken = [r[0] for r in stored.filter(F.col("path") != artifact_path(F.col("content"), kind)).select("path").limit(20).collect()]
     if broken:
         raise ValueError(f"stored artifacts whose content is another: {broken}")
     return rows.join(stored.select("path"), "path", "left_anti")
@@ -234,5 +231,6 @@ def ordered_markdown(blocks: DataFrame, document: str, position: str, content: s
 
 
 def page_ranges(pages: Column, size: int = 20) -> Column:
-    """array<struct<first, last>> of page ranges of a document."""
-    return F.transform(F.sequence(F.lit(1), F.greatest(pages, F.lit(1)), F.lit(size)), lambda a: F.struct(a.alias("first"), F.least(a + size - 1, pages).alias("last")))
+    """array<struct<first, last>> of page ranges of a document; none where there are no pages."""
+    ranges = F.transform(F.sequence(F.lit(1), F.greatest(pages, F.lit(1)), F.lit(size)), lambda a: F.struct(a.alias("first"), F.least(a + size - 1, pages).alias("last")))
+    return F.filter(ranges, lambda r: r["first"] <= r["last"])

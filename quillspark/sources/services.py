@@ -48,7 +48,7 @@ class IncompleteSearch(RuntimeError):
 
 
 def pages(fetch: Callable[[str, int], str | bytes], keyword: str, total: str = "totalCnt", item: str = "prec", fields: dict[str, str] | None = None) -> Iterator[dict]:
-    """Items of a search, page by page until `total` are seen or a page is empty. A page that can't be parsed, or more than MOST_PAGES, raise."""
+    """Items of a search, page by page until `total` are seen or a page is empty. A page that can't be parsed or doesn't say the total, or more than MOST_PAGES, raise."""
     seen = 0
     for page in range(1, MOST_PAGES + 1):
         root = well_formed(fetch(keyword, page))
@@ -58,7 +58,10 @@ def pages(fetch: Callable[[str, int], str | bytes], keyword: str, total: str = "
         for x in found:
             yield {name: _text(x.find(tag)) for name, tag in (fields or {}).items()}
         seen += len(found)
-        if not found or seen >= int(root.findtext(f".//{total}") or 0):
+        count = (root.findtext(f".//{total}") or "").strip()
+        if not count.isdigit():
+            raise IncompleteSearch(f"page {page} of the search for {keyword!r} doesn't say how many items there are")
+        if not found or seen >= int(count):
             return
     raise IncompleteSearch(f"the search for {keyword!r} has more than {MOST_PAGES} pages")
 

@@ -30,37 +30,52 @@ def artifact_path(content: Column, kind: Column | str, suffix: str = ".xml") ->
     return F.concat(F.lit(f"{FOLDER}/"), kind, F.lit("/"), F.sha2(content, 256), F.lit(suffix))
 
 
+def opened(root: str):
+    """(files, base): the store of a folder that tasks reach by themselves, and the folder in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+
+
+def read_whole(files, path: str) -> bytes | None:
+    """What a file holds, or None if there is none."""
+    from pyarrow import fs
+
+    if files.get_file_info(path).type == fs.FileType.NotFound:
+        return None
+    with files.open_input_stream(path) as f:
+        return f.read()
+
+
+def write_whole(files, base: str, path: str, content: bytes) -> None:
+    """A file under base that has its name when it is whole; one that ends early leaves nothing under it."""
+    final, part = f"{base}/{path}", f"{base}/{STAGING}/{uuid.uuid4().hex}"
+    for name in (final, part):
+        files.create_dir(name.rpartition("/")[0], recursive=True)
+    with files.open_output_stream(part) as f:
+        f.write(content)
+    files.move(part, final)
+
+
 def _store(root: str):
-    """(path, stored): writes the rows' files that aren't there. What a task writes is whole before it has its name, so a task that ends early leaves nothing under a name."""
+    """(row, stored): writes the rows' files that aren't there."""
 
     def run(batches):
         import pyarrow as pa
-        from pyarrow import fs
 
-        files, base = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
-        folders = set()
+        files, base = opened(root)
         for batch in batches:
             stored = []
             for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
                 path, content = path.as_py(), content.as_py()
                 if content is None:
                     raise ValueError("an artifact without content")
-                final = f"{base}/{path}"
-                there = files.get_file_info(final).type != fs.FileType.NotFound
-                if there:
-                    with files.open_input_stream(final) as f:
-                        if hashlib.sha256(f.read()).digest() != hashlib.sha256(content).digest():
-                            raise CorruptArtifact(f"{path} holds something else")
-                else:
-                    for folder in (final.rpartition("/")[0], f"{base}/{STAGING}"):
-                        if folder not in folders:
-                            files.create_dir(folder, recursive=True)
-                            folders.add(folder)
-                    part = f"{base}/{STAGING}/{uuid.uuid4().hex}"
-                    with files.open_output_stream(part) as f:
-                        f.write(content)
-                    files.move(part, final)  # another attempt's file of this name has the same content
-                stored.append(not there)
+                there = read_whole(files, f"{base}/{path}")
+                if there is None:
+                    write_whole(files, base, path, content)  # another attempt's file of this name has the same content
+                elif hashlib.sha256(there).digest() != hashlib.sha256(content).digest():
+                    raise CorruptArtifact(f"{path} holds something else")
+                stored.append(there is None)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(stored, pa.bool_())], names=["row", "stored"])
 
     return run

@@ -1,9 +1,9 @@
 """Secret scanning with a recursive decoding worklist.
 
 A text is a first layer. Each layer is scanned with the patterns below, then
-unwrapped: percent escapes and Unicode escapes over the whole layer, base64
-runs (and the gzip, zlib or raw deflate streams in them, all members of them and
-however nested) one by one, also joined over single line ends, and from after a
+unwrapped: percent escapes, Unicode escapes and HTML character references over
+the whole layer, base64 runs (and the gzip, zlib, bzip2 or raw deflate streams in
+them, all members of them and however nested) one by one, also joined over single line ends, and from after a
 slash, hyphen, underscore or line end where the start of a run holds nothing.
 Bytes that are no UTF-8, or have control characters, are read as Latin-1, of
 runs that hold neither text nor a stream at all four alignments of base64; NULs
@@ -16,7 +16,9 @@ came from; spans found in a layer are mapped back through it.
 All of a compressed stream comes from the same range. So it is unfolded and
 scanned in pieces, however long it is, and only the kinds found are kept. Pieces
 end where no pattern, escape or run can go on; only where LONGEST characters
-have no such place, a piece ends anywhere and the next one repeats its end.
+have no such place, a piece ends anywhere and the next one repeats its end. Of a
+stream that is cut off, what comes before its end counts. Bytes are a raw deflate
+stream, which no mark tells, if they are one from the first to the last.
 
 Nulls count as empty texts. Repeated rows give repeated results. A document
 needs no other, so the work is one narrow pass without a shuffle. Texts of any
@@ -27,6 +29,7 @@ beside its text, and layers of a document are in memory one after another.
 from __future__ import annotations
 
 import base64
+import bz2
 import codecs
 import hashlib
 import re
@@ -46,6 +49,9 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
+_REFERENCE = re.compile(r"&(?:#(?:[xX]([0-9A-Fa-f]{1,6})|([0-9]{1,7}))|(amp|lt|gt|quot|apos));")
+# The references that every markup language names.
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]+)+={0,2}")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+")
@@ -55,7 +61,7 @@ _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 _LEGIBLE = re.compile(rb"[\x09\x0a\x0d\x20-\x7e]{12,}|(?:[\x09\x0a\x0d\x20-\x7e]\x00){12,}")
 _URLSAFE = str.maketrans("-_", "+/")
 #: Where a compressed text may be cut: after a character that is in no pattern, between plain words, after a line end that joins no run.
-_CUT = re.compile(r"""[^A-Za-z0-9+/_=.\-%\\{}:"'\x20\r\n]|(?<=[.,;:!?"'\x20])\r?\n|\s[A-Za-z]+\x20(?=[A-Za-z])""")
+_CUT = re.compile(r"""[^A-Za-z0-9+/_=.\-%\\{}&#;:"'\x20\r\n]|(?<=[.,;:!?"'\x20])\r?\n|\s[A-Za-z]+\x20(?=[A-Za-z])""")
 #: Bytes unfolded at once; characters of a piece; of one that has no place to cut; and what is then repeated.
 CHUNK, PIECE, LONGEST, OVERLAP = 1 << 18, 1 << 20, 32 << 20, 1 << 20
 
@@ -71,31 +77,58 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _zipped(head: bytes) -> bool:
-    """Whether bytes begin as a gzip or zlib stream does."""
-    return head[:2] == b"\x1f\x8b" or (head[:1] == b"\x78" and len(head) > 2 and (head[0] << 8 | head[1]) % 31 == 0)
+    """Whether bytes begin as a gzip, zlib or bzip2 stream does."""
+    return head[:3] == b"BZh" or head[:2] == b"\x1f\x8b" or (head[:1] == b"\x78" and len(head) > 2 and (head[0] << 8 | head[1]) % 31 == 0)
 
 
 class _Raw(bytes):
     """Bytes that begin with a deflate stream without a header."""
 
 
+class _Bzip2:
+    """A bzip2 stream as zlib's objects unfold theirs."""
+
+    def __init__(self):
+        self.stream, self.unconsumed_tail = bz2.BZ2Decompressor(), b""
+
+    eof = property(lambda self: self.stream.eof)
+    unused_data = property(lambda self: self.stream.unused_data)
+
+    def decompress(self, data: bytes, most: int) -> bytes:
+        try:
+            return self.stream.decompress(data, most)
+        except OSError as e:
+            raise zlib.error(str(e)) from None
+
+
+def _opener(head: bytes, wbits: int):
+    return _Bzip2() if wbits > 0 and head[:3] == b"BZh" else zlib.decompressobj(wbits)
+
+
 def _unzipped(source, wbits: int = 47):
-    """What a stream and the members after it hold, in chunks; zlib.error if it is none or has no end."""
-    d, whole = zlib.decompressobj(wbits), False
+    """What a stream and the members after it hold, in chunks; zlib.error if it is none, or a raw one that isn't whole to its last byte."""
+    d, whole, some, head = None, False, False, b""
     for data in source:
+        if d is None:
+            head += data
+            if len(head) < 3:
+                continue
+            d, data = _opener(head, wbits), head
         while data or not d.eof:
             if d.eof:  # a further member, or else what isn't the stream's
+                if wbits < 0:
+                    raise zlib.error("more than a stream")
                 if not _zipped(data):
                     return
-                d = zlib.decompressobj(wbits)
+                d = _opener(data, wbits)
             out = d.decompress(data, CHUNK)
             data = d.unused_data if d.eof else d.unconsumed_tail
-            whole = whole or d.eof
+            whole, some = whole or d.eof, some or bool(out)
             if out:
                 yield out
             if not d.eof and not data and len(out) < CHUNK:
                 break
-    if not whole:
+    if not whole and (wbits < 0 or not some):
         raise zlib.error("no end")
 
 
@@ -126,12 +159,14 @@ def _streams(data: bytes) -> tuple[int, bytes]:
     return depth, last
 
 
-def _deflated(data: bytes) -> bool:
-    """Whether bytes begin as a raw deflate stream of something legible does."""
+def _deflated(run: str) -> bool:
+    """Whether a base64 run may be a raw deflate stream, by its first bytes: those of most others are none."""
+    d = zlib.decompressobj(-15)
     try:
-        return bool(_LEGIBLE.search(zlib.decompressobj(-15).decompress(data, 256)))
+        d.decompress(_bytes(run[:512]), CHUNK)
     except zlib.error:
         return False
+    return not (d.eof and len(run) > 512)
 
 
 def _texts(chunks):
@@ -221,6 +256,16 @@ def _escapes(layer: _Layer) -> _Layer | None:
     return layer.replaced(pieces()) if _ESCAPE.search(layer.text) else None
 
 
+def _references(layer: _Layer) -> _Layer | None:
+    def pieces():
+        for m in _REFERENCE.finditer(layer.text):
+            code = int(m[1], 16) if m[1] else int(m[2]) if m[2] else ord(_NAMED[m[3]])
+            if 0 < code < 0x110000 and not 0xD800 <= code < 0xE000:
+                yield m.start(), m.end(), [(chr(code), m.start(), m.end())]
+
+    return layer.replaced(pieces()) if _REFERENCE.search(layer.text) else None
+
+
 def _runs(text: str):
     """(characters, their places in the text, where lines begin) of base64 runs, in groups: each alone, and joined over single line ends, without the last line and with it."""
     for m in _BASE64.finditer(text):
@@ -267,8 +312,14 @@ def _opened(run: str, lines: list[int]):
             return k, data, depth, digest
         # From what begins in step before the bad byte, the same bytes come again.
         dead[k % 4] = max(dead[k % 4], k + 4 * ((bad or 0) // 3))
+    refused = set()  # heads that are no stream's; runs of one pattern repeat them
     for k in sorted({0, 1, 2, 3, *lines, *(m.end() for m in _GLUE.finditer(run))}):
-        if len(run) - k >= 16 and (_zipped(_bytes(run[k : k + 4])) or _deflated(_bytes(run[k : k + 512]))):
+        head = run[k : k + 512]
+        if len(head) < 16 or head in refused:
+            continue
+        if not (_zipped(_bytes(head[:4])) or _deflated(head)):
+            refused.add(head)
+        else:
             data = _bytes(run[k:])
             data = data if _zipped(data) else _Raw(data)
             depth, digest = _streams(data)
@@ -326,6 +377,8 @@ def _unwrapped(first: _Layer, found: set, seen: set) -> list[tuple]:
             new.append(x)
         if "\\" in layer.text and (x := _escapes(layer)):
             new.append(x)
+        if "&" in layer.text and (x := _references(layer)):
+            new.append(x)
         new += _base64_layers(layer)
         for x in new:
             # A region that two places share is decoded for each place, hence the first range in the key.

@@ -1,4 +1,5 @@
 import base64
+import bz2
 import gzip
 import hashlib
 import re
@@ -220,3 +221,55 @@ def test_very_long_texts_take_bounded_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert got[-1] == (len(text) - 14, 0, len(text)) and peak < 60 * len(text)
+
+
+def test_raw_streams_whatever_they_begin_with():
+    """What a raw stream begins with says nothing about what is in it."""
+    secret = "token=abcdefgh"
+    for name, data in {
+        "no ASCII": deflated(("한국어 문장 " * 50 + secret).encode()),
+        "marks": deflated(("é ü " * 300 + secret).encode()),
+        "gzip in it": deflated(gzip.compress(f"some words {secret} more".encode())),
+        "long": deflated(("é" * 40_000 + secret).encode()),
+    }.items():
+        b = base64.b64encode(data).decode()
+        assert S.all_spans(f"see {b} end") == [(4, 0, 4 + len(b))], name
+    noise = base64.b64encode(bytes(i * 7919 % 251 for i in range(3000))).decode()
+    assert S.all_spans(noise) == S.base_spans(noise)
+
+
+def test_streams_that_are_cut_off():
+    import os
+
+    text = ("words " * 200 + "token=abcdefgh " + os.urandom(300).hex(" ")).encode()
+    for pack in (gzip.compress, zlib.compress):
+        whole = pack(text)
+        b = base64.b64encode(whole[:-12]).decode()
+        assert 0 in {k for _, k, _ in S.all_spans(f"see {b} end")}
+
+
+def test_bzip2_and_references():
+    secret = b"password=hunter2222 and words"
+    for data in (bz2.compress(secret), bz2.compress(secret) + bz2.compress(b"more"), gzip.compress(bz2.compress(secret)), bz2.compress(gzip.compress(secret))):
+        b = base64.b64encode(data).decode()
+        assert S.all_spans(f"see {b} end") == [(4, 0, 4 + len(b))]
+    decimal = "".join(f"&#{ord(c)};" for c in "token=abcdefgh")
+    mixed = "tok&#x65;n&#X3D;&quot;abcdefgh&quot;"
+    for t in (decimal, mixed):
+        assert S.all_spans(f"a {t} b")[0][:2] == (2, 0), t
+    assert S.all_spans(f"a {decimal} b") == [(2, 0, 2 + len(decimal))]
+    assert S.all_spans("&#0; &#x110000; &#xD800; &#9999999; &none; &amp") == []
+    deep = "".join(f"&amp;#{ord(c)};" for c in "token=abcdefgh")
+    assert S.all_spans(deep) == [(0, 0, len(deep))]
+    assert S.redacted(f"x {mixed} y") == "x [REDACTED]&quot; y"
+
+
+def test_runs_of_one_pattern_take_linear_time():
+    import time
+
+    took = []
+    for n in (50_000, 200_000):
+        began = time.process_time()
+        assert S.all_spans("abc/" * n) == []
+        took.append(time.process_time() - began)
+    assert took[1] < 8 * took[0] + 0.5

@@ -555,9 +555,11 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> Model | None:
-    """Learns from labels (id, toxic) of docs. The sample is of the labels whose hashed ids come first, and is written once."""
+    """Learns from labels (id, toxic) of docs. The sample is of the labels, among those of ids that docs has, whose hashed ids come first, and is written once."""
     context = docs.sparkSession.sparkContext
     known = labels.filter(F.col(id_col).isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max("toxic") > 0).alias("toxic"))
+    # Labels of ids that docs doesn't have use up none of the sample.
+    known = known.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
     ordered = [known.filter(F.col("toxic") == side).orderBy(F.xxhash64("id"), "id").limit(n) for side, n in ((True, most_toxic), (False, most_clean))]
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ordered[0].unionByName(ordered[1])), "id")
     # Of rows with one id, the text of least hash.

@@ -63,3 +63,13 @@ def test_no_cross_joins_or_local_checkpoints():
         assert "localCheckpoint" not in text
         for line in text.splitlines():
             assert not re.search(r"crossJoin", line) or "one row" in line
+
+
+def test_pipeline_of_no_documents(spark, tmp_path):
+    """Every stage takes an empty table, and labels and a benchmark that are empty too."""
+    import corpus_pipeline as P
+
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = P.run(spark, str(tmp_path))
+    assert out.count() == 0 and out.columns == spark.read.parquet(f"{SF}/documents.parquet").columns

@@ -163,3 +163,13 @@ def test_long_texts_count_whole_and_ids_repeat(spark, fitted):
     assert likely == [False, True, True, False, False, True, True]
     again = X.toxicity(d.unionByName(d), lab).groupBy("doc_id").count().filter("count <> 2")
     assert again.count() == 0
+
+
+def test_labels_of_absent_ids_use_up_no_sample(spark):
+    """The sample is of labels whose documents are there, however many others the table has."""
+    rows, labels = corpus(300, 5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    absent = [(10_000 + i, i % 2) for i in range(4000)]
+    model = X.fit(docs, spark.createDataFrame(labels + absent, "doc_id long, toxic int"), most_toxic=60, most_clean=60, landmarks=40)
+    alone = X.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), most_toxic=60, most_clean=60, landmarks=40)
+    assert model is not None and (model.slope, model.offset) == (alone.slope, alone.offset)

@@ -7,23 +7,25 @@ and are one, a set, from here on; what remains are links between different sets.
 
 Buckets. Shingles have one order for all: those that no part of the corpus
 repeats often by hash, then the frequent ones, rarest first. Sets that link share
-one of the first n - ceil(percent * n / 100) + 1 of their n shingles. So each set
-is in the buckets of these, with its place in the order: of two sets that first
-meet at places p and q, no more than min(n - p, m - q) shingles can be common. The
-order decides what buckets cost, not what they find; the list of frequent
-shingles is bounded.
+at least two of the first n - ceil(percent * n / 100) + 2 of their n shingles. So
+each set is in the buckets of these, with its place in the order: of two sets that
+meet first or second at places p and q, no more than 1 + min(n - p, m - q) shingles
+can be common. The order decides what buckets cost, not what they find; the list
+of frequent shingles is bounded.
 
 Stars. Each set of a bucket is compared with the bucket's least one, which
 connects groups of near copies, however large, by as many comparisons as rows.
+A set is then known to belong with the least one that it is linked to.
 
-Trees. Buckets that hold sets of several components after that are searched
+Trees. Buckets that hold sets that aren't known to belong together are searched
 completely. A node holds the OR of its sets' token bitmaps, their range of sizes,
 the largest number of shingles that their places and bits leave room for, and
 their components. Two trees are traversed together from the roots: a pair of
 nodes is left where the largest possible overlap is under the least that a link of their sizes
 needs, or where both are of one and the same component. A bucket of up to LEAF
-sets is one leaf. Larger buckets are dealt out by size and component in blocks of
-about BLOCK sets, each the root of its tree; pairs of roots are pruned in the
+sets is one leaf, of which only pairs that meet in a second such bucket, or in a
+larger one, can link. Larger buckets, those with their least set in common as one, are
+dealt out by size and component in blocks of about BLOCK sets, each the root of its tree; pairs of roots are pruned in the
 same way by a join of the table of roots, and each pair left is one group of rows.
 
 Proof. Pairs that the trees leave, each once, are held against each other's bitmaps,
@@ -38,6 +40,7 @@ each. An empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 import math
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,10 +50,17 @@ from quillspark.llm.components import components
 from quillspark.llm.minhash import runs_of, words_of
 
 RUN, PERCENT = 3, 90
-#: Bits of a bitmap, children of a node, sets of a leaf, sets of a block.
+GOLDEN = 0x9E3779B97F4A7C15
+#: Shingles among the first ones that sets which link share at least.
+SHARED = 2
+#: Bits of the bitmap of a set of up to a quarter as many shingles (doubled until that holds), children of a node, sets of a leaf, sets of a block.
 BITS, FAN, LEAF, BLOCK = 2048, 16, 64, 4096
 #: Shingles that one count of a task holds, how often one must be met there to be called frequent, and how many frequent ones the order knows.
-COUNTED, OFTEN, MOST_FREQUENT = 4_000_000, 8, 100_000
+COUNTED, OFTEN, MOST_FREQUENT = 2_000_000, 4, 200_000
+#: Bytes of text that are worked on together.
+CHUNK = 2_000_000
+#: Ids of texts that are sent to all tasks, counted first; beyond, texts are joined by id.
+FEW_IDS = 500_000
 #: Pairs of nodes whose children are compared at once.
 TOGETHER = 256
 
@@ -64,32 +74,82 @@ def prefix_length(n: int, percent: int) -> int:
     """How many shingles of a set of n lead to buckets; none where only an equal set could link."""
     if 100 * n // percent == n and -(-percent * n // 100) == n:
         return 0
-    return n - -(-percent * n // 100) + 1
+    return min(n, n - -(-percent * n // 100) + SHARED)
+
+
+def chunked(texts):
+    """(first, texts) of runs of texts of about CHUNK bytes; texts are those of an Arrow column."""
+    first, held, size = 0, [], 0
+    for i, text in enumerate(texts):
+        held.append(text.as_py())
+        size += len(held[-1] or "")
+        if size >= CHUNK:
+            yield first, held
+            first, held, size = i + 1, [], 0
+    if held:
+        yield first, held
+
+
+def in_sequence(words: list[list[bytes]], hashes: WordHashes, run: int):
+    """(sizes, runs): words of each text, and the hashes of all runs of words over the texts put one after another, of which those inside a text are the text's."""
+    import numpy as np
+
+    sizes = np.array([len(w) for w in words], dtype=np.int64)
+    h = np.fromiter(map(hashes.__getitem__, chain.from_iterable(words)), dtype=np.uint64, count=int(sizes.sum()))
+    n = max(0, len(h) - run + 1)
+    out = np.full(n, run, dtype=np.uint64)
+    for i in range(run):
+        out = (out ^ h[i : i + n]) * np.uint64(GOLDEN)
+        out ^= out >> np.uint64(29)
+    return sizes, mix64(out)
+
+
+def shingled(texts: list[str | None], hashes: WordHashes, run: int):
+    """(shingles, n): the distinct shingles of each text, ascending, one text after another, and how many each has."""
+    import numpy as np
+
+    words = [words_of(t) for t in texts]
+    sizes, runs = in_sequence(words, hashes, run)
+    parts, at = [], 0
+    for w, size in zip(words, sizes.tolist(), strict=True):
+        if size >= run:
+            part = runs[at : at + size - run + 1]
+            part.sort()
+        else:
+            part = runs_of(w, hashes, run)[0]
+        parts.append(part)
+        at += size
+    of = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
+    s = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
+    keep = np.ones(len(s), dtype=bool)
+    keep[1:] = (s[1:] != s[:-1]) | (of[1:] != of[:-1])
+    return s[keep], np.bincount(of[keep], minlength=len(texts))
 
 
 def _counted(run: int):
-    """(shingle, met) of the shingles that many documents of a part of a task hold."""
+    """(shingle, met) of the shingles that are often met in a part of a task. Runs of words over the ends of texts are among those counted, and find nothing."""
 
     def counts(held):
         import numpy as np
         import pyarrow as pa
 
-        h, n = np.unique(np.concatenate(held), return_counts=True)
+        s = np.concatenate(held)
+        cell = (s >> np.uint64(42)).astype(np.int64)
+        s = s[np.bincount(cell, minlength=1 << 22)[cell] >= OFTEN]
+        h, n = np.unique(s, return_counts=True)
         often = n >= OFTEN
         return pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], names=["shingle", "met"])
 
     def mapped(batches):
         hashes, held, size = WordHashes(), [], 0
         for batch in batches:
-            for text in batch.column("text"):
-                words = words_of(text.as_py())
-                if words:
-                    held.append(runs_of(words, hashes, run)[0])
-                    size += len(held[-1])
+            for _, texts in chunked(batch.column("text")):
+                held.append(in_sequence([words_of(t) for t in texts], hashes, run)[1])
+                size += len(held[-1])
                 if size >= COUNTED:
                     yield counts(held)
                     held, size = [], 0
-        if held:
+        if size:
             yield counts(held)
 
     return mapped
@@ -107,24 +167,45 @@ def frequent_shingles(texts: DataFrame, run: int = RUN, most: int = MOST_FREQUEN
     return shingle[by], order[by]
 
 
-def bitmap(shingles):
+def width(n):
+    """Bits of the bitmaps of sets of n shingles, which is an array."""
     import numpy as np
 
-    bits = np.zeros(BITS, dtype=np.uint8)
-    bits[((shingles >> np.uint64(20)) % np.uint64(BITS)).astype(np.int64)] = 1
-    return np.packbits(bits).tobytes()
+    return BITS << np.maximum(0, np.ceil(np.log2(np.maximum(n, 1) / (BITS // 4)))).astype(np.int64)
 
 
-def in_order(shingles, frequent):
-    """The shingles in the order of all."""
+def bitmaps(shingles, n) -> list[bytes]:
+    """The bitmaps of sets given one after another."""
+    import numpy as np
+
+    bits = width(n)
+    starts = np.concatenate([[0], np.cumsum(bits)])
+    place = (shingles >> np.uint64(20)) & (np.repeat(bits, n) - 1).astype(np.uint64)
+    out = np.zeros(int(starts[-1]), dtype=np.uint8)
+    out[np.repeat(starts[:-1], n) + place.astype(np.int64)] = 1
+    packed = np.packbits(out, bitorder="little").tobytes()
+    return [packed[a // 8 : b // 8] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+
+
+def first_shingles(shingles, n, frequent, percent: int):
+    """The first shingles, in the order of all, that lead sets to buckets: a list of arrays. Shingles ascend within each set."""
     import numpy as np
 
     known, order = frequent
-    rank = shingles >> np.uint64(1)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
-        rank = np.where(known[at] == shingles, order[at] | np.uint64(1 << 63), rank)
-    return shingles[np.argsort(rank, kind="stable")]
+    at = np.minimum(np.searchsorted(known, shingles), max(0, len(known) - 1))
+    often = known[at] == shingles if len(known) else np.zeros(len(shingles), dtype=bool)
+    out, start = [], 0
+    for size in n.tolist():
+        p = prefix_length(size, percent) if size else 0
+        mine, these = slice(start, start + size), ~often[start : start + size]
+        first = shingles[mine][these][:p]
+        if len(first) < p:
+            rest = np.flatnonzero(~these) + start
+            rest = rest[np.argsort(order[at[rest]], kind="stable")[: p - len(first)]]
+            first = np.concatenate([first, shingles[rest]])
+        out.append(first)
+        start += size
+    return out
 
 
 def _signed(run: int, percent: int, frequent):
@@ -136,34 +217,40 @@ def _signed(run: int, percent: int, frequent):
 
         hashes, known = WordHashes(), frequent.value
         for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                rows, firsts = [], []
-                for text in batch.column("text").slice(a, 1000):
-                    words = words_of(text.as_py())
-                    if not words:
-                        rows.append((0, 0, 0, None))
-                        firsts.append(np.zeros(0, dtype=np.uint64))
-                        continue
-                    s = runs_of(words, hashes, run)[0]
-                    one, two = mix64(s + np.uint64(0x9E3779B97F4A7C15)), mix64(s ^ np.uint64(0xC2B2AE3D27D4EB4F))
-                    n, p = len(s), prefix_length(len(s), percent)
-                    rows.append((n, int(one.sum().view(np.int64)), int(np.bitwise_xor.reduce(two).view(np.int64)), bitmap(s) if p else None))
-                    firsts.append(in_order(s, known)[:p])
-                n, s1, s2, bits = zip(*rows, strict=True)
+            for a, texts in chunked(batch.column("text")):
+                s, n = shingled(texts, hashes, run)
+                # Sums within each set are differences of sums over all, which wrap as they do.
+                ends = np.concatenate([[0], np.cumsum(n)])
+                none = np.zeros(1, dtype=np.uint64)
+                one = np.concatenate([none, np.cumsum(mix64(s + np.uint64(GOLDEN)), dtype=np.uint64)])
+                two = np.concatenate([none, np.bitwise_xor.accumulate(mix64(s ^ np.uint64(0xC2B2AE3D27D4EB4F)))])
+                s1, s2 = one[ends[1:]] - one[ends[:-1]], two[ends[1:]] ^ two[ends[:-1]]
+                firsts = first_shingles(s, n, known, percent)
                 offsets = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
                 first = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(firsts).view(np.int64)))
+                bits = [b if len(f) else None for b, f in zip(bitmaps(s, n), firsts, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("uid").slice(a, 1000), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), first, pa.array(bits, pa.binary())], names=["uid", "n", "s1", "s2", "first", "bits"]
+                    [batch.column("uid").slice(a, len(texts)), pa.array(n.astype(np.int64)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), first, pa.array(bits, pa.binary())],
+                    names=["uid", "n", "s1", "s2", "first", "bits"],
                 )
 
     return mapped
 
 
-def _matrix(column):
-    """Bitmaps as rows of 64-bit words."""
+def fold(bits: bytes, size: int):
+    """A bitmap of fewer bytes: bits of the halves together, which are those that it would have had."""
+    import numpy as np
+
+    return np.bitwise_or.reduce(np.frombuffer(bits, dtype=np.uint64).reshape(-1, size // 8), axis=0)
+
+
+def matrix(bits: list[bytes], size: int):
+    """Bitmaps as rows of 64-bit words, all of size bytes."""
     import numpy as np
 
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, BITS // 64)
+    if all(len(b) == size for b in bits):
+        return np.frombuffer(b"".join(bits), dtype=np.uint64).reshape(-1, size // 8)
+    return np.stack([fold(b, size) for b in bits])
 
 
 class Tree:
@@ -234,7 +321,7 @@ def _pairs_of(a, b):
 
 
 def _leaves(percent: int):
-    """Pairs (a, b) of rows (key, n, rid, room, component) sorted by (key, n, rid), of one bucket, that sizes and places let link."""
+    """Pairs (a, b, need: how often they must meet) of rows (key, n, rid, room, component) sorted by (key, n, rid), of one bucket, that sizes and places let link."""
 
     def mapped(batches):
         import numpy as np
@@ -242,16 +329,21 @@ def _leaves(percent: int):
 
         def pairs(rows):
             key, n, rid, room, component = rows
-            a, b = [], []
+            a, b, needs = [], [], []
             for d in range(1, len(key)):
                 same = key[:-d] == key[d:]
                 if not same.any():
                     break
                 at = np.flatnonzero(same & (100 * n[:-d] >= percent * n[d:]))  # n ascends within a bucket
-                ok = (component[at] != component[at + d]) & (np.minimum(room[at], room[at + d]) >= least_overlap(n[at], n[at + d], percent))
+                need = least_overlap(n[at], n[at + d], percent)
+                ok = (component[at] != component[at + d]) & (np.minimum(room[at], room[at + d]) >= need)
                 a.append(rid[at[ok]])
                 b.append(rid[at[ok] + d])
-            return _pairs_of(np.concatenate(a), np.concatenate(b)) if a else None
+                needs.append(np.minimum(need[ok], SHARED))
+            if not a:
+                return None
+            found = _pairs_of(np.concatenate(a), np.concatenate(b))
+            return pa.RecordBatch.from_arrays([*found.columns, pa.array(np.concatenate(needs))], names=["a", "b", "need"])
 
         left = None
         for batch in batches:
@@ -276,12 +368,14 @@ def _blocks(percent: int):
         import numpy as np
         import pyarrow as pa
 
-        trees = []
+        trees, size = [], min(len(b.as_buffer()) for b in pa.chunked_array(table.column("bits").chunks).combine_chunks())
         for side in (0, 1):
             rows = table.filter(pa.compute.equal(table.column("side"), side)).sort_by([("component", "ascending"), ("n", "ascending"), ("rid", "ascending")])
             if rows.num_rows:
                 n, room, component, rid = (rows.column(c).to_numpy() for c in ("n", "room", "component", "rid"))
-                trees.append((Tree(_matrix(rows.column("bits")), n, room, component), rid))
+                trees.append((Tree(matrix(rows.column("bits").to_pylist(), size), n, room, component), rid))
+        if len(trees) == 1 and table.column("i")[0] != table.column("j")[0]:  # no set of the other block is near enough in size
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         (one, a), (two, b) = trees[0], trees[-1]
         i, j = traverse(one, two, percent)
         return pa.Table.from_batches([_pairs_of(a[i], b[j])], schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
@@ -295,16 +389,14 @@ def _possible(percent: int):
         import pyarrow as pa
 
         for batch in batches:
-            for s in range(0, batch.num_rows, 20_000):
-                part = batch.slice(s, 20_000)
-                sides = []
-                for x in "ab":
-                    n = part.column(f"n_{x}").to_numpy()
-                    bits = _matrix(part.column(f"bits_{x}"))
-                    sides.append((n, bits, n - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)))
-                (n, x, c), (m, y, d) = sides
-                fits = np.minimum(np.minimum(n, m), np.bitwise_count(x & y).sum(axis=1, dtype=np.int64) + np.minimum(c, d)) >= least_overlap(n, m, percent)
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(fits))
+            n, m = (batch.column(f"n_{x}").to_numpy() for x in "ab")
+            need, keep = least_overlap(n, m, percent).tolist(), []
+            for i, (x, y) in enumerate(zip(batch.column("bits_a"), batch.column("bits_b"), strict=True)):
+                x, y = x.as_buffer(), y.as_buffer()
+                x, y = (fold(v, min(len(x), len(y))) for v in (x, y))
+                spare = min(int(k) - int(np.bitwise_count(v).sum(dtype=np.int64)) for k, v in ((n[i], x), (m[i], y)))
+                keep.append(min(int(n[i]), int(m[i]), int(np.bitwise_count(x & y).sum(dtype=np.int64)) + spare) >= need[i])
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return mapped
 
@@ -340,46 +432,64 @@ def _linked(percent: int):
     return mapped
 
 
+def _of(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of a table (rid) with these ids; of few ids, which are then sent, without moving the others."""
+    few = ids.limit(FEW_IDS + 1).count() <= FEW_IDS
+    return table.join(F.broadcast(ids) if few else ids, "rid", "left_semi")
+
+
 def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, run: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) that link, compared by bitmaps, then by all shingles; each pair once."""
-    pairs = pairs.distinct()
+    both = lambda df: df.select(F.col("a").alias("rid")).unionByName(df.select(F.col("b").alias("rid"))).distinct()
+    pairs = written(pairs.distinct(), "pairs")
+    sizes = _of(reps.select("rid", "n", "bits"), written(both(pairs), "ids"))
     for x in "ab":
-        pairs = pairs.join(reps.select(F.col("rid").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")), x)
+        pairs = pairs.join(sizes.select(F.col("rid").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")), x)
     left = written(pairs.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_possible(percent), "a long, b long"), "possible")
-    asked = left.select(F.col("a").alias("uid")).unionByName(left.select(F.col("b").alias("uid"))).distinct()
-    sets = written(texts.join(asked, "uid", "left_semi").select(F.col("uid").alias("rid"), "text").mapInArrow(_sets(run), "rid long, shingles binary"), "shingles")
+    sets = _of(texts.select(F.col("uid").alias("rid"), "text"), written(both(left), "ids"))
+    sets = written(sets.mapInArrow(_sets(run), "rid long, shingles binary"), "shingles")
     for x, name in (("a", "x"), ("b", "y")):
         left = left.join(sets.select(F.col("rid").alias(x), F.col("shingles").alias(name)), x)
     return written(left.select("a", "b", "x", "y").mapInArrow(_linked(percent), "a long, b long"), "linked")
 
 
 def _by_trees(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) across components of buckets of rows (key, rid, n, room, component), each bucket searched completely."""
-    parts = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("home")).filter("parts > 1")
-    mixed = written(rows.join(mixed.select("key", "size", F.col("home.component").alias("home")), "key"), "buckets")
+    """Pairs (a, b) across components of buckets of rows (key, center, rid, n, room, component), each bucket searched completely."""
+    mixed = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("first"), F.max("component").alias("last")).filter("first < last")
+    mixed = written(rows.join(mixed.select("key", "size"), "key"), "buckets")
     few = mixed.filter(F.col("size") <= LEAF).select("key", "n", "rid", "room", "component")
-    pairs = few.repartition("key").sortWithinPartitions("key", "n", "rid").mapInArrow(_leaves(percent), "a long, b long")
+    pairs = few.repartition("key").sortWithinPartitions("key", "n", "rid").mapInArrow(_leaves(percent), "a long, b long, need long")
+    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.min("need").alias("need")).filter("met >= need").select("a", "b")
     many = mixed.filter(F.col("size") > LEAF)
     if many.isEmpty():
         return pairs
-    # Sets that link are of the same band or of neighbours; sets of the bucket's largest component have blocks of their own.
-    band = F.floor(F.log("n") / math.log(100 / (percent * 0.95))).cast("int")
-    many = many.withColumn("band", band).withColumn("away", (F.col("component") != F.col("home")).cast("int"))
+    # Large buckets that have their least set in common hold much the same sets, and are searched as one.
+    many = written(many.groupBy(F.col("center").alias("key"), "rid", "n", "component").agg(F.max("room").alias("room")), "large")
+    homes = many.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("home"))
+    many = many.join(homes.select("key", "size", F.col("home.component").alias("home")), "key")
+    # Sets that link are of the same band or of neighbours; sets of the bucket's largest component have blocks of their own. Of what would fit a block, those whose bitmaps are equally long are one.
+    band, away = F.floor(F.log("n") / math.log(100 / (percent * 0.95))).cast("int"), (F.col("component") != F.col("home")).cast("int")
+    small, long = F.col("size") <= BLOCK, F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / (BITS // 4)))).cast("int")
+    many = many.withColumn("band", F.when(small, long).otherwise(band)).withColumn("away", F.when(small, 0).otherwise(away))
     counts = many.groupBy("key", "band", "away").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     many = many.join(counts, ["key", "band", "away"]).withColumn("block", F.struct("band", "away", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int").alias("salt")))
     many = written(many.select("key", "block", "rid", "n", "room", "component"), "blocks")
     roots = many.groupBy("key", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("room").alias("room"), F.min("component").alias("first"), F.max("component").alias("last"))
-    one, two = roots.alias("x"), roots.alias("y")
+    x, y = roots.alias("x"), roots.alias("y")
     c = F.col
     need = F.ceil(percent * (c("x.low") + c("y.low")) / (100 + percent))
     fits = (c("x.key") == c("y.key")) & (c("x.block") <= c("y.block")) & (F.abs(c("x.block.band") - c("y.block.band")) <= 1) & (F.least("x.room", "y.room") >= need)
     sizes = (100 * c("x.high") >= percent * c("y.low")) & (100 * c("y.high") >= percent * c("x.low"))
     same = (c("x.first") == c("x.last")) & (c("y.first") == c("y.last")) & (c("x.first") == c("y.first"))
-    met = written(one.join(two, fits & sizes & ~same).select(c("x.key").alias("key"), c("x.block").alias("i"), c("y.block").alias("j")), "roots")
-    many = many.join(reps.select("rid", "bits"), "rid")
-    sides = many.join(met.withColumn("block", c("i")), ["key", "block"]).withColumn("side", F.lit(0)).unionByName(many.join(met.filter("i <> j").withColumn("block", c("j")), ["key", "block"]).withColumn("side", F.lit(1)))
-    sides = sides.select("key", "i", "j", "side", "rid", "n", "room", "component", "bits")
+    met = x.join(y, fits & sizes & ~same).select(c("x.key").alias("key"), c("x.block").alias("i"), c("y.block").alias("j"), *(c(f"{t}.{v}").alias(f"{v}_{t}") for t in "xy" for v in ("low", "high")))
+    met = written(met, "roots")
+    bits = _of(reps.select("rid", "bits"), written(many.select("rid").distinct(), "ids"))
+    many = many.join(bits, "rid")
+    sides = None
+    for side, block, other, some in ((0, "i", "y", met), (1, "j", "x", met.filter("i <> j"))):
+        part = many.join(some.withColumn("block", c(block)), ["key", "block"]).filter((100 * c("n") >= percent * c(f"low_{other}")) & (100 * c(f"high_{other}") >= percent * c("n")))
+        part = part.select("key", "i", "j", F.lit(side).alias("side"), "rid", "n", "room", "component", "bits")
+        sides = part if sides is None else sides.unionByName(part)
     return pairs.unionByName(sides.groupBy("key", "i", "j").applyInArrow(_blocks(percent), "a long, b long"))
 
 
@@ -396,19 +506,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = written(rows.filter("n > 0").groupBy(*of).agg(F.min("uid").alias("rid"), F.min("id").alias("least")), "sets")
     reps = signed.filter("size(first) > 0").withColumnRenamed("uid", "rid").join(sets.select("rid"), "rid", "left_semi")
     reps = written(reps.select("rid", "n", "first", "bits"), "first")
-    places = reps.select("rid", "n", F.posexplode("first").alias("pos", "key")).select("key", "rid", "n", (F.col("n") - F.col("pos")).alias("room"))
-    buckets = places.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rid").alias("center")).filter("size > 1")
-    places = written(places.join(buckets.select("key", "center"), "key"), "places")
-    centers = reps.select(F.col("rid").alias("center"), F.col("n").alias("m"))
-    stars = places.filter("rid <> center").select("center", "rid", "n").distinct().join(centers, "center").filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+    places = reps.select("rid", "n", F.posexplode("first").alias("pos", "key")).select("key", "rid", "n", (F.col("n") - F.col("pos") + SHARED - 1).alias("room"))
+    least = [F.min("rid").alias("center"), F.min_by("n", "rid").alias("m"), F.min_by("room", "rid").alias("center_room")]
+    buckets = places.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *least).filter("size > 1")
+    places = written(places.join(buckets.drop("size"), "key"), "places")
+    room = F.least("room", "center_room") >= F.ceil(percent * (F.col("n") + F.col("m")) / (100 + percent))
+    stars = places.filter(F.col("rid") != F.col("center")).filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).filter(room)
     links = _links(stars.select(F.col("center").alias("a"), F.col("rid").alias("b")), reps, texts, run, percent)
+    # A set belongs with the least one that it is linked to, which is enough to leave most pairs of near copies out.
+    near = links.groupBy(F.col("b").alias("rid")).agg(F.min("a").alias("component"))
+    rows_near = places.select("key", "center", "rid", "n", "room").join(near, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
+    links = links.unionByName(_links(_by_trees(rows_near, reps, percent), reps, texts, run, percent))
     found = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
     of_node = found.select(F.col("node").alias("rid"), "component")
-    across = _links(_by_trees(places.select("key", "rid", "n", "room").join(of_node, "rid", "left").withColumn("component", F.coalesce("component", "rid")), reps, percent), reps, texts, run, percent)
-    if not across.isEmpty():
-        stars = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
-        found = written(components(stars.unionByName(across.select(F.col("a").alias("u"), F.col("b").alias("v")))), "components")
-        of_node = found.select(F.col("node").alias("rid"), "component")
     joined = sets.join(of_node, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     named = joined.join(least, "component").select(*of, "component_id")

@@ -63,6 +63,8 @@ def test_every_link_is_found(spark, monkeypatch, sizes):
     """With sizes of production, and with trees of many levels and blocks in every bucket."""
     for name, value in zip(("LEAF", "BLOCK", "FAN"), sizes, strict=True):
         monkeypatch.setattr(sigtree, name, value)
+    monkeypatch.setattr(sigtree, "FEW_IDS", sizes[0])
+    monkeypatch.setattr(sigtree, "CHUNK", 100 * sizes[0])
     monkeypatch.setattr(sigtree, "OFTEN", 3)
     rows = corpus(random.Random(sizes[0])) + [(500, None), (501, ""), (502, " \t\n"), (503, "One two"), (504, "one\x0bTWO"), (505, "É é x y"), (None, "one two"), (None, "alone with no id at all"), (0, "same id other text")]
     df = spark.createDataFrame([(i, t, "clash", 1, 2) for i, t in rows], "doc_id long, text string, component_id string, uid int, n int").repartition(5)
@@ -88,9 +90,24 @@ def test_ids_of_text_and_a_long_text(spark):
 
 
 def tree_of(sets, component):
-    bits = np.stack([np.frombuffer(sigtree.bitmap(s), dtype=np.uint64) for s in sets])
+    bits = sigtree.bitmaps(np.concatenate(sets), np.array([len(s) for s in sets]))
     n = np.array([len(s) for s in sets])
-    return sigtree.Tree(bits, n, n, np.array(component))
+    return sigtree.Tree(sigtree.matrix(bits, min(map(len, bits))), n, n, np.array(component))
+
+
+def test_chunks_and_bitmaps():
+    hashes, r = WordHashes(), random.Random(1)
+    texts = [None, "", "a", "a B", "a b c", "x " * 10, *(" ".join(r.choices("abcdefgh", k=r.randrange(40))) for _ in range(30)), " ".join(f"w{i}" for i in range(3000))]
+    s, n = sigtree.shingled(texts, hashes, 3)
+    at = 0
+    for t, k in zip(texts, n.tolist(), strict=True):
+        assert k == len(shingles(t))
+        assert s[at : at + k].tolist() == sorted(runs_of(sigtree.words_of(t), hashes, 3)[0].tolist())
+        at += k
+    bits = sigtree.bitmaps(s, n)
+    assert len(bits[-1]) * 8 >= 4 * n[-1] and len(bits[0]) * 8 == sigtree.BITS
+    small = sigtree.bitmaps(s[-2998:][:400], np.array([400]))[0]
+    assert (np.frombuffer(small, dtype=np.uint64) & ~sigtree.fold(bits[-1], len(small))).sum() == 0
 
 
 def test_traversal_prunes_and_misses_nothing():
@@ -121,3 +138,21 @@ def test_bounds():
             partners = [m for m in range(1, 200) if m != n and 100 * min(n, m) >= percent * max(n, m)]
             other = any(100 * (n - 1) >= percent * (n + 1) for _ in (0,))
             assert sigtree.prefix_length(n, percent) > 0 or not (partners or other)
+
+
+def test_sets_that_link_meet_twice_early():
+    """Whatever the order: of two sets that link, the first shingles share SHARED ones, at places that leave room."""
+    r = random.Random(7)
+    for _ in range(2000):
+        percent, n = r.choice([70, 80, 90]), r.randrange(10, 80)
+        x = r.sample(range(200), n)
+        y = [v for v in x if r.random() > 0.06] + r.sample(range(200, 220), r.randrange(0, 4))
+        both = len(set(x) & set(y))
+        if 100 * both < percent * len(set(x) | set(y)) or set(x) == set(y):
+            continue
+        order = {v: r.random() for v in range(220)}
+        x, y = sorted(x, key=order.get), sorted(y, key=order.get)
+        met = set(x[: sigtree.prefix_length(len(x), percent)]) & set(y[: sigtree.prefix_length(len(y), percent)])
+        assert len(met) >= min(sigtree.SHARED, both)
+        room = lambda v: min(len(x) - x.index(v), len(y) - y.index(v)) + sigtree.SHARED - 1
+        assert sum(room(v) >= sigtree.least_overlap(len(x), len(y), percent) for v in met) >= sigtree.SHARED

@@ -103,10 +103,9 @@ def unit_locators(spark, sf):
     return p.select("p_partkey", tx.article_locator(number, branch).alias("article"), tx.appendix_locator(number, branch).alias("appendix"))
 
 
-@query(r"SELECT doc_id, md5(regexp_replace(text, '[\s\\]+', '', 'g')) AS digest FROM documents WHERE regexp_matches(text, '^[\x00-\x7F]*$')")
+@query(r"SELECT doc_id, md5(regexp_replace(text, '[\x09-\x0D\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\\]+', '', 'g')) AS digest FROM documents")
 def squashed(spark, sf):
-    d = table(spark, sf, "documents").filter(F.col("text").rlike(r"^[\x00-\x7F]*\z"))
-    return d.select("doc_id", F.md5(tx.squash("text")).alias("digest"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(tx.squash("text")).alias("digest"))
 
 
 @query(
@@ -227,9 +226,11 @@ def cited_anti(spark, sf):
 def model_accounting(spark, sf):
     """What a model reads, writes and is cut off at, a call for each document; it repeats the document's start."""
 
+    reply = answering.Reply
+
     def model(prompt, max_tokens):
         whole = len(prompt) <= max_tokens
-        return answering.Reply(prompt[:20], len(prompt), min(len(prompt), max_tokens), "end_turn" if whole else "max_tokens")
+        return reply(prompt[:20], len(prompt), min(len(prompt), max_tokens), "end_turn" if whole else "max_tokens")
 
     said = answering.replied(table(spark, sf, "documents").filter("text IS NOT NULL").select("doc_id", "text"), model, 400, "text")
     return said.select("doc_id", F.col("tokens_in"), F.col("tokens_out"), F.col("error").isNotNull().alias("truncated"), F.col("raw").alias("said"))

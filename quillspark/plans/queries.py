@@ -266,7 +266,14 @@ def digit_islands(spark, sf):
     return runs.groupBy("conv_id", "run", "role").agg(F.min("turn").alias("first_turn"), F.max("turn").alias("last_turn"), F.count(F.lit(1)).alias("n")).drop("run")
 
 
-@query()
+@query(
+    """WITH RECURSIVE lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+    g AS (
+        SELECT doc_id, i, 0 AS ordinal, length(line) AS n FROM lines WHERE i = 1
+        UNION ALL SELECT l.doc_id, l.i, CASE WHEN g.n + 1 + length(l.line) > 1500 THEN ordinal + 1 ELSE ordinal END, CASE WHEN g.n + 1 + length(l.line) > 1500 THEN length(l.line) ELSE g.n + 1 + length(l.line) END
+        FROM g JOIN lines l ON l.doc_id = g.doc_id AND l.i = g.i + 1)
+    SELECT doc_id, ordinal, string_agg(line, chr(10) ORDER BY i) AS piece FROM g JOIN lines USING (doc_id, i) GROUP BY doc_id, ordinal"""
+)
 def greedy_pack(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.posexplode(tx.pack_lines("text")).alias("ordinal", "piece"))
 

@@ -480,7 +480,13 @@ def index_projection(spark, sf):
     return d.select("chunk_id", "document_kind", "locator", "case_number", "decided_on", F.array_join("referenced_provisions", "|").alias("provisions"), F.array_join("linked_law_names_candidate", "|").alias("candidates"))
 
 
-@query()
+@query(
+    rf"""WITH hit AS ({_fused_sql("1.0::DOUBLE", "3.0::DOUBLE")}),
+    p AS (SELECT item_id, count(*) AS n_hits, string_agg('[' || doc || ']' || chr(10) || text, chr(10) || chr(10) ORDER BY rank) AS passages FROM hit JOIN documents d ON d.doc_id = hit.doc GROUP BY item_id),
+    a AS (SELECT item_id, n_hits, split_part(substr(passages, strpos(passages, chr(10)) + 1), '. ', 1) AS said FROM p),
+    s AS (SELECT b.item_id, coalesce(n_hits, 0) AS n_hits, said, coalesce(regexp_matches(said, '[^\s]'), false) AS stands FROM benchmark b LEFT JOIN a USING (item_id))
+    SELECT item_id, CASE WHEN stands THEN 'answered' ELSE 'insufficient_evidence' END AS status, CASE WHEN stands THEN said END AS answer, CASE WHEN stands THEN 1 ELSE 0 END AS n_citations, n_hits FROM s"""
+)
 def grounded_answers(spark, sf):
     """Each benchmark item as a question, answered from its fused hits by the extractive generator."""
     docs = table(spark, sf, "documents").select(

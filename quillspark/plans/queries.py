@@ -18,7 +18,7 @@ from quillspark.operators import answering, chunking, cleaning, containment, eva
 from quillspark.operators import lexical as lexical_index
 from quillspark.plans.registry import query, table
 from quillspark.sources import readers, schemas
-from quillspark.sources.scratch import shared_folder
+from quillspark.sources.scratch import kept, shared_folder
 
 TERMS = ["the", "token", "secret", "idiot", "der", "que"]
 _TERM_LIST = "[" + ", ".join(f"'{t}'" for t in TERMS) + "]"
@@ -326,7 +326,8 @@ _BM25 = rf"""{_TERMS}, s AS (SELECT count(*) AS n, avg(len(ts)) AS avgdl FROM t
 
 
 def _lexical(spark, sf, k=50):
-    return retrieval.bm25(table(spark, sf, "benchmark"), table(spark, sf, "documents").withColumnRenamed("doc_id", "doc"), "item_id", k=k)
+    """k rows for each item, written once: all that reads them sees how few they are."""
+    return kept(retrieval.bm25(table(spark, sf, "benchmark"), table(spark, sf, "documents").withColumnRenamed("doc_id", "doc"), "item_id", k=k), "lexical")
 
 
 @query(f"WITH {_BM25} SELECT item_id, doc_id AS doc, score, CAST(rank AS INTEGER) AS rank FROM bm")
@@ -371,7 +372,7 @@ def _fused(spark, sf, weights):
     lexical = _lexical(spark, sf)
     sized = lexical.join(table(spark, sf, "documents").select(F.col("doc_id").alias("doc"), "n_chars"), "doc")
     short = sized.withColumn("rank", F.row_number().over(Window.partitionBy("item_id").orderBy("n_chars", "doc"))).filter("rank <= 20")
-    return retrieval.rank_fusion([lexical, short], "item_id", weights=weights, digits=9)
+    return kept(retrieval.rank_fusion([lexical, short], "item_id", weights=weights, digits=9), "fused")
 
 
 @query(_fused_sql("1.0::DOUBLE", "1.0::DOUBLE"))
@@ -394,8 +395,9 @@ _GOLD = "gold AS (SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d O
 
 
 def _gold(spark, sf):
+    """What documents hold an item, written once, as the texts are read through for it."""
     found = containment.containing(table(spark, sf, "documents"), table(spark, sf, "benchmark"), "doc_id", "item_id")
-    return found.groupBy(F.col("item").cast("long").alias("item_id")).agg(F.collect_set("doc").alias("relevant"))
+    return kept(found.groupBy(F.col("item").cast("long").alias("item_id")).agg(F.collect_set("doc").alias("relevant")), "gold")
 
 
 @query(f"WITH {_GOLD} SELECT item_id, doc_id FROM gold")
@@ -436,7 +438,7 @@ def doc_level_recall(spark, sf):
 )
 def bigram_overlap(spark, sf):
     top = _lexical(spark, sf, 1).select("item_id", F.col("doc").alias("source_chunk_id"))
-    q = table(spark, sf, "benchmark").join(top, "item_id")
+    q = kept(table(spark, sf, "benchmark").join(top, "item_id"), "asked")  # a row for each item; its size decides that no text is shuffled
     chunks = table(spark, sf, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
     return evaluation.overlap(q, chunks, "item_id").select("item_id", F.round("ratio", 9).alias("ratio"))
 

@@ -19,7 +19,7 @@ from quillspark.operators import records as recs
 from quillspark.plans import queries as base
 from quillspark.plans.registry import query, table
 from quillspark.sources import artifacts, readers
-from quillspark.sources.scratch import shared_folder
+from quillspark.sources.scratch import kept, shared_folder
 
 _ACQUIRED = "2024-01-01 00:00:00"
 
@@ -275,7 +275,7 @@ def ordered_release(spark, sf):
 )
 def evaluation_document(spark, sf):
     """An evaluation written as one JSON document and read back: its aggregate, and how many questions it lists."""
-    scores = evaluation.scored(base.gold(spark, sf), base.lexical(spark, sf), "item_id")
+    scores = kept(evaluation.scored(base.gold(spark, sf), base.lexical(spark, sf), "item_id"), "scores")
     path = f"{shared_folder(spark)}/quillspark/evaluation-{uuid.uuid4().hex}"
     evaluation.write_document(path, {"aggregate": evaluation.recall_mrr(scores)}, {"per_question": (scores.select("item_id", "hit", "rr"), ["item_id"])})
     whole = evaluation.read_document(spark, path, "aggregate struct<recall:double,mrr:double,n:long>, per_question array<struct<item_id:long,hit:double,rr:double>>")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,16 +43,29 @@ def names_law(name: Column, law: Column) -> Column:
 
 def cited_laws(c: Column | str, laws: list[str] = LAWS) -> Column:
     """Those of `laws`, in that order, that a text cites with an article."""
-    names = F.array_distinct(F.transform(law_names(c), canonical_name))
-    return F.filter(F.array(*map(F.lit, laws)), lambda law: F.exists(names, lambda n: names_law(n, canonical_name(law))))
+    # A text without an article number cites none.
+    text = F.coalesce(tx.col(c), F.lit(""))
+    found = F.when(F.contains(text, F.lit("조")), law_names(text)).otherwise(F.array().cast("array<string>"))
+    names = F.array_distinct(F.transform(found, canonical_name))
+    return _once(names, lambda ns: F.filter(F.array(*map(F.lit, laws)), lambda law: F.exists(ns, lambda n: names_law(n, canonical_name(law)))))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), the value being computed once a row however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def linkage(references: Column | str, body: Column | str, laws: list[str] = LAWS) -> Column:
     """struct<domain_label, matched_laws>: what the references cite is core; else what the body cites is core without references, and a candidate beside them."""
     given = tx.strip(F.coalesce(tx.col(references), F.lit("")))
-    by_reference, by_body = cited_laws(given, laws), cited_laws(body, laws)
-    label = F.when(F.size(by_reference) > 0, "core").when(F.size(by_body) == 0, "excluded").when(given == "", "core").otherwise("candidate")
-    return F.struct(label.alias("domain_label"), F.when(F.size(by_reference) > 0, by_reference).otherwise(by_body).alias("matched_laws"))
+
+    def labelled(by_reference: Column) -> Column:
+        none = F.array().cast("array<string>")
+        by_body = F.when(F.size(by_reference) > 0, none).otherwise(cited_laws(body, laws))  # it is asked only without references to laws
+        label = lambda b: F.when(F.size(by_reference) > 0, "core").when(F.size(b) == 0, "excluded").when(given == "", "core").otherwise("candidate")
+        return _once(by_body, lambda b: F.struct(label(b).alias("domain_label"), F.when(F.size(by_reference) > 0, by_reference).otherwise(b).alias("matched_laws")))
+
+    return _once(cited_laws(given, laws), labelled)
 
 
 def label_precedents(df: DataFrame, references: str = "참조조문", body: str = "content", laws: list[str] = LAWS) -> DataFrame:

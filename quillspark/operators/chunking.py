@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from quillspark.functions import identity as ids
 from quillspark.functions import text as tx
+from quillspark.operators.batches import bounded
 
 NORMALIZATION_VERSION = "norm-v1"
 CHUNKING_VERSION = "chunk-v2"
@@ -177,13 +178,14 @@ def _rows(cut, kinds: str):
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in bounded(batches, "text"):
             keys, out = [], []
             for i, row in enumerate(batch.select(["title", "text"]).to_pylist()):
                 for n, piece in enumerate(cut(row)):
                     keys.append(i)
                     out.append((n, *piece))
-            carried = batch.take(pa.array(keys, pa.int32()))
+            # A piece doesn't carry the whole text it is of.
+            carried = batch.select([c for c in batch.schema.names if c != "text"]).take(pa.array(keys, pa.int32()))
             columns = [pa.array([r[k] for r in out], pa.int32() if k == 0 else pa.string()) for k in range(len(kinds.split(",")))]
             yield pa.RecordBatch.from_arrays([*carried.columns, *columns], names=[*carried.schema.names, *(c.split()[0] for c in kinds.split(", "))])
 
@@ -191,7 +193,7 @@ def _rows(cut, kinds: str):
 
 
 def _pieces(records: DataFrame, cut, kinds: str) -> DataFrame:
-    schema = T.StructType([*records.schema.fields, *T.StructType.fromDDL(kinds).fields])
+    schema = T.StructType([*(f for f in records.schema.fields if f.name != "text"), *T.StructType.fromDDL(kinds).fields])
     return records.mapInArrow(_rows(cut, kinds), schema)
 
 

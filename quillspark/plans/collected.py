@@ -22,6 +22,8 @@ from quillspark.sources import artifacts, readers
 from quillspark.sources.scratch import kept, shared_folder
 
 _ACQUIRED = "2024-01-01 00:00:00"
+#: Tasks of responses for each core.
+PER_CORE = 4
 
 
 def responses(spark, sf) -> DataFrame:
@@ -34,7 +36,9 @@ def responses(spark, sf) -> DataFrame:
     paragraph = tag("항", tag("항내용", F.lit("① "), safe("p_type")), F.lit("\n"), tag("호", tag("호내용", F.lit("1. "), safe("p_brand")), tag("목", tag("목내용", F.lit(" 가. "), key))))
     body = tag("조문", article("1", "전문", F.lit("제1장 총칙")), article("1", "조문", safe("p_name"), paragraph), article("2", "조문", safe("p_brand"), tag("조문가지번호", F.lit("3")), tag("조문제목", F.lit("제목"))), article("4", "조문", F.lit("")))
     appendix = tag("별표", tag("별표단위", tag("별표번호", F.lit("0001")), tag("별표구분", F.when(F.col("p_size") % 2 == 0, "별표").otherwise("서식")), tag("별표내용", safe("p_name")), tag("별표내용", F.lit("<b>"), safe("p_brand"), F.lit("</b> 끝"))))
-    return table(spark, sf, "part").select(key.alias("MST"), tag("법령", header, body, appendix).alias("xml"))
+    # A row of part is a small fraction of its response, and its file few tasks; the responses are dealt out.
+    parts = table(spark, sf, "part").repartition(PER_CORE * spark.sparkContext.defaultParallelism, "p_partkey")
+    return parts.select(key.alias("MST"), tag("법령", header, body, appendix).alias("xml"))
 
 
 _ARTICLES = """a AS (SELECT CAST(p_partkey AS VARCHAR) AS mst, p_name AS law, '1' AS number, '' AS branch, '' AS title, p_name || chr(10) || '① ' || p_type || chr(10) || '1. ' || p_brand || ' 가. ' || p_partkey AS content FROM part

@@ -15,12 +15,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Protocol
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.functions import responses as rs
 from quillspark.functions import text as tx
+from quillspark.operators.batches import bounded
 
 #: What an answer that rests on a statute says of the law's date.
 CURRENT_LAW = "Cited statutes are as of the dataset's freeze; check that they are still in force."
@@ -96,13 +97,16 @@ def replied(prompts: DataFrame, model: Model, max_tokens: int = MAX_TOKENS, prom
     kept = prompts.drop(*names)
 
     def run(batches):
-        for pdf in batches:
-            said = pd.DataFrame([_reply(model, p, max_tokens) for p in pdf[prompt]], columns=names, index=pdf.index)
-            said[["tokens_in", "tokens_out"]] = said[["tokens_in", "tokens_out"]].astype("int64")
-            yield pd.concat([pdf, said], axis=1)
+        import pyarrow as pa
+
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
+        for batch in bounded(batches, prompt):
+            said = [_reply(model, p, max_tokens) for p in batch.column(prompt).to_pylist()]
+            own = [pa.array([r[i] for r in said], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=[*batch.schema.names, *names])
 
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInPandas(run, f"{ddl}, raw string, tokens_in long, tokens_out long, stop string, failure string, error string")
+    said = T.StructType.fromDDL("raw string, tokens_in long, tokens_out long, stop string, failure string, error string")
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *said.fields]))
 
 
 def accounted(replies: DataFrame, name: str, prompt: str = "prompt") -> tuple[DataFrame, Observation]:
@@ -279,14 +283,16 @@ def paced(
         raise ValueError(f"a limit of {limit} can't be shared out to {tasks} tasks")
 
     def run(batches):
+        import pyarrow as pa
         from pyspark import TaskContext
 
+        call = pa.struct([("task", pa.int32()), ("call", pa.int32()), ("at", pa.float64()), ("tokens", pa.int64())])
         context = TaskContext.get()
         if context.attemptNumber():
             sleep(window)
         budget, calls = SlidingBudget(share, clock, window), 0
-        for pdf in batches:
-            texts = [t or "" for t in pdf[text]]
+        for rows in bounded(batches, text):
+            texts = [t or "" for t in rows.column(text).to_pylist()]
             sizes = [tokens(t) for t in texts]
             vectors, sent = [], []
             for part in token_batches(sizes, batch, share):
@@ -300,10 +306,12 @@ def paced(
                 sent += [{"task": context.partitionId(), "call": calls, "at": at, "tokens": n}] * (part.stop - part.start)
                 if on_batch:
                     on_batch(n, calls)
-            yield pdf.assign(**{vector: vectors, "sent": sent})
+            own = [pa.array(vectors, pa.list_(pa.float32())), pa.array(sent, call)]
+            yield pa.RecordBatch.from_arrays([*rows.columns, *own], names=[*rows.schema.names, vector, "sent"])
 
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema.fields)
-    return chunks.repartition(tasks).mapInPandas(run, f"{ddl}, `{vector}` array<float>, sent struct<task:int,call:int,at:double,tokens:long>")
+    asked = chunks.drop(vector, "sent")
+    own = T.StructType.fromDDL(f"`{vector}` array<float>, sent struct<task:int,call:int,at:double,tokens:long>")
+    return asked.repartition(tasks).mapInArrow(run, T.StructType([*asked.schema.fields, *own.fields]))
 
 
 class TokenBudget:

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.functions import text as tx
+from quillspark.operators.batches import bounded
 
 # Fixed value.
 VERSION = "kit-clean-v2"
@@ -24,12 +25,20 @@ _TOKEN = r"(?:[①-⑮]|\d{1,3}\.|[가-힣]\.)"
 TWICE = rf"(?md)^({_TOKEN})[ \t]*\n(?=\1)"
 
 
-@F.pandas_udf(T.StringType())
-def html_unescape(values: pd.Series) -> pd.Series:
-    """Character references as HTML5 reads them, of which there are too many for an expression."""
+@F.arrow_udf(T.StringType())
+def _unescaped(values: pa.Array) -> pa.Array:
     from html import unescape
 
-    return values.map(lambda v: unescape(v) if isinstance(v, str) and "&" in v else v)
+    import pyarrow as pa
+
+    parts = [pa.array([v if v is None else unescape(v) for v in part.column("v").to_pylist()], pa.string()) for part in bounded([pa.record_batch([values.cast(pa.string())], names=["v"])], "v")]
+    return pa.concat_arrays(parts)
+
+
+def html_unescape(c: Column | str) -> Column:
+    """Character references as HTML5 reads them, of which there are too many for an expression; only texts with an & are sent to Python."""
+    c = tx.col(c)
+    return F.coalesce(_unescaped(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
 def _chars_and_space(c: Column) -> Column:

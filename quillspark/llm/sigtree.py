@@ -5,26 +5,27 @@ ASCII white space), fewer words being one shingle. Two documents link when
 100 * intersection >= percent * union. Documents with the same set link anyway
 and are one, a set, from here on; what remains are links between different sets.
 
-Buckets. Shingles have one order for all: those that no part of the corpus
-repeats often by hash, then the frequent ones, rarest first. Sets that link share
-at least two of the first n - ceil(percent * n / 100) + 2 of their n shingles. So
-each set is in the buckets of these, with its place in the order: of two sets that
-meet first or second at places p and q, no more than 1 + min(n - p, m - q) shingles
-can be common. The order decides what buckets cost, not what they find; the list
-of frequent shingles is bounded.
+Buckets. Sizes have classes. Two sets that link, the smaller one's class being given, differ in
+no more than d shingles. The class cuts the range of shingles' hashes in d + c equal
+parts, of which the two sets hold the same shingles in c at least. So each set is
+in the bucket of what it holds in each part, by its own class and by those smaller ones
+that sets which it could link with may have. A part holds several
+shingles, about six to nine, and two texts that share a shingle, a line or a passage seldom hold
+the same in it. Parts of fewer than OFTEN shingles are often met by chance: a set that has fewer than c of them leaves them out, for then
+one of the parts held in common is another one.
 
 Stars. Each set of a bucket is compared with the bucket's least one, which
-connects groups of near copies, however large, by as many comparisons as rows.
+connects groups of near copies, however large, by no more comparisons than rows.
 A set is then known to belong with the least one that it is linked to.
 
-Trees. Buckets that hold sets that aren't known to belong together are searched
+Trees. Buckets that have their least set in common hold much the same sets, and are one from here on.
+Those with sets that aren't known to belong together are searched
 completely. A node holds the OR of its sets' token bitmaps, their range of sizes,
-the largest number of shingles that their places and bits leave room for, and
+the largest number of shingles that their bits leave room for, and
 their components. Two trees are traversed together from the roots: a pair of
 nodes is left where the largest possible overlap is under the least that a link of their sizes
 needs, or where both are of one and the same component. A bucket of up to LEAF
-sets is one leaf, of which only pairs that meet in a second such bucket, or in a
-larger one, can link. Larger buckets, those with their least set in common as one, are
+sets is one tree, traversed with itself. Larger buckets are
 dealt out by size and component in blocks of about BLOCK sets, each the root of its tree; pairs of roots are pruned in the
 same way by a join of the table of roots, and each pair left is one group of rows.
 
@@ -42,7 +43,7 @@ from __future__ import annotations
 import math
 from itertools import chain
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import WordHashes, mix64, written
@@ -51,12 +52,12 @@ from quillspark.llm.minhash import runs_of, words_of
 
 RUN, PERCENT = 3, 90
 GOLDEN = 0x9E3779B97F4A7C15
-#: Shingles among the first ones that sets which link share at least.
-SHARED = 2
+#: Parts that sets which link hold in common at least, and one more of each SPARE in which they may differ.
+SHARED, SPARE = 2, 16
+#: Shingles of a part that is not often met by chance, and how many times the least size of a class is its greatest.
+OFTEN, WIDE = 2, 1.5
 #: Bits of the bitmap of a set of up to a quarter as many shingles (doubled until that holds), children of a node, sets of a leaf, sets of a block.
 BITS, FAN, LEAF, BLOCK = 2048, 16, 64, 4096
-#: Shingles that one count of a task holds, how often one must be met there to be called frequent, and how many frequent ones the order knows.
-COUNTED, OFTEN, MOST_FREQUENT = 2_000_000, 4, 200_000
 #: Bytes of text that are worked on together.
 CHUNK = 2_000_000
 #: Ids of texts that are sent to all tasks, counted first; beyond, texts are joined by id.
@@ -71,12 +72,25 @@ def least_overlap(n, m, percent: int):
 
 
 def prefix_length(n: int, percent: int) -> int:
-    """How many shingles of a set of n lead to buckets; none where only an equal set could link."""
+    """How many shingles of a set of n, in any order, hold SHARED ones of each set that it links with; none where only an equal set could link."""
     if 100 * n // percent == n and -(-percent * n // 100) == n:
         return 0
     return min(n, n - -(-percent * n // 100) + SHARED)
 
 
+def classes(percent: int, most: int):
+    """(high, parts, common) of the classes of sizes up to `most`, ascending: the greatest size, in how many parts hashes are cut, and how many of them sets that link have in common at least."""
+    import numpy as np
+
+    out, high = [], 0
+    while high < most or not out:
+        high = max(high + 1, int(high * WIDE))
+        differ = (high + 100 * high // percent) * (100 - percent) // (100 + percent)
+        common = SHARED + differ // SPARE
+        out.append((high, differ + common, common))
+    return np.array(out, dtype=np.int64).T
+
+
 def chunked(texts):
     """(first, texts) of runs of texts of about CHUNK bytes; texts are those of an Arrow column."""
     first, held, size = 0, [], 0
@@ -126,47 +140,6 @@ def shingled(texts: list[str | None], hashes: WordHashes, run: int):
     return s[keep], np.bincount(of[keep], minlength=len(texts))
 
 
-def _counted(run: int):
-    """(shingle, met) of the shingles that are often met in a part of a task. Runs of words over the ends of texts are among those counted, and find nothing."""
-
-    def counts(held):
-        import numpy as np
-        import pyarrow as pa
-
-        s = np.concatenate(held)
-        cell = (s >> np.uint64(42)).astype(np.int64)
-        s = s[np.bincount(cell, minlength=1 << 22)[cell] >= OFTEN]
-        h, n = np.unique(s, return_counts=True)
-        often = n >= OFTEN
-        return pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], names=["shingle", "met"])
-
-    def mapped(batches):
-        hashes, held, size = WordHashes(), [], 0
-        for batch in batches:
-            for _, texts in chunked(batch.column("text")):
-                held.append(in_sequence([words_of(t) for t in texts], hashes, run)[1])
-                size += len(held[-1])
-                if size >= COUNTED:
-                    yield counts(held)
-                    held, size = [], 0
-        if size:
-            yield counts(held)
-
-    return mapped
-
-
-def frequent_shingles(texts: DataFrame, run: int = RUN, most: int = MOST_FREQUENT):
-    """(shingles ascending, their order by frequency) as arrays of at most `most`."""
-    import numpy as np
-
-    met = texts.select("text").mapInArrow(_counted(run), "shingle long, met long").groupBy("shingle").agg(F.sum("met").alias("met"))
-    rows = met.orderBy(F.desc("met"), "shingle").limit(most).toPandas()
-    shingle = rows["shingle"].to_numpy(np.int64).view(np.uint64)
-    order = np.arange(len(shingle), 0, -1).astype(np.uint64)
-    by = np.argsort(shingle)
-    return shingle[by], order[by]
-
-
 def width(n):
     """Bits of the bitmaps of sets of n shingles, which is an array."""
     import numpy as np
@@ -187,35 +160,47 @@ def bitmaps(shingles, n) -> list[bytes]:
     return [packed[a // 8 : b // 8] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
 
 
-def first_shingles(shingles, n, frequent, percent: int):
-    """The first shingles, in the order of all, that lead sets to buckets: a list of arrays. Shingles ascend within each set."""
+def part_keys(shingles, n, percent: int):
+    """(keys, of): the buckets of sets given one after another, and the set, by its place, of each. Shingles ascend within each set."""
     import numpy as np
 
-    known, order = frequent
-    at = np.minimum(np.searchsorted(known, shingles), max(0, len(known) - 1))
-    often = known[at] == shingles if len(known) else np.zeros(len(shingles), dtype=bool)
-    out, start = [], 0
-    for size in n.tolist():
-        p = prefix_length(size, percent) if size else 0
-        mine, these = slice(start, start + size), ~often[start : start + size]
-        first = shingles[mine][these][:p]
-        if len(first) < p:
-            rest = np.flatnonzero(~these) + start
-            rest = rest[np.argsort(order[at[rest]], kind="stable")[: p - len(first)]]
-            first = np.concatenate([first, shingles[rest]])
-        out.append(first)
-        start += size
-    return out
-
-
-def _signed(run: int, percent: int, frequent):
-    """(uid, n, s1, s2, first, bits): the size of a text's set, 128 bits that tell it, its first shingles and its bitmap."""
+    high, parts, common = classes(percent, int(n.max(initial=0)))
+    own = np.searchsorted(high, n)
+    links = np.array([prefix_length(x, percent) > 0 for x in n.tolist()], dtype=bool)
+    mixed = mix64(shingles + np.uint64(GOLDEN))
+    found_keys, found_of = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+    for below in range(len(high)):
+        c = np.maximum(own - below, 0)
+        takes = links & (own >= below) & ((below == 0) | (100 * high[c] >= percent * n))
+        if not takes.any():
+            break
+        k = np.where(takes, parts[c], 0)
+        of, first = np.repeat(np.arange(len(n)), k), np.cumsum(k) - k
+        these = np.repeat(takes, n)
+        part = (((shingles[these] >> np.uint64(32)) * np.repeat(k, np.where(takes, n, 0)).astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        size = np.bincount(part + np.repeat(first, np.where(takes, n, 0)), minlength=len(of))
+        # Sums within each part are differences of sums over all, which wrap as they do.
+        sums, ends = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mixed[these], dtype=np.uint64)]), np.cumsum(size)
+        place = (c[of] << 40) + np.arange(len(of)) - first[of] + 1
+        keys = mix64(sums[ends] - sums[ends - size] + place.astype(np.uint64) * np.uint64(GOLDEN))
+        few = size < OFTEN
+        leaves = np.bincount(of[few], minlength=len(n)) < common[c]
+        keep = ~(few & leaves[of])
+        found_keys.append(keys[keep])
+        found_of.append(of[keep])
+    keys, of = np.concatenate(found_keys), np.concatenate(found_of)
+    by = np.argsort(of, kind="stable")
+    return keys[by], of[by]
+
+
+def _signed(run: int, percent: int):
+    """(uid, n, s1, s2, keys, bits): the size of a text's set, 128 bits that tell it, its buckets and its bitmap."""
 
     def mapped(batches):
         import numpy as np
         import pyarrow as pa
 
-        hashes, known = WordHashes(), frequent.value
+        hashes = WordHashes()
         for batch in batches:
             for a, texts in chunked(batch.column("text")):
                 s, n = shingled(texts, hashes, run)
@@ -225,13 +210,20 @@ def _signed(run: int, percent: int, frequent):
                 one = np.concatenate([none, np.cumsum(mix64(s + np.uint64(GOLDEN)), dtype=np.uint64)])
                 two = np.concatenate([none, np.bitwise_xor.accumulate(mix64(s ^ np.uint64(0xC2B2AE3D27D4EB4F)))])
                 s1, s2 = one[ends[1:]] - one[ends[:-1]], two[ends[1:]] ^ two[ends[:-1]]
-                firsts = first_shingles(s, n, known, percent)
-                offsets = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
-                first = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(firsts).view(np.int64)))
-                bits = [b if len(f) else None for b, f in zip(bitmaps(s, n), firsts, strict=True)]
+                keys, of = part_keys(s, n, percent)
+                met = np.bincount(of, minlength=len(n))
+                offsets = np.concatenate([[0], np.cumsum(met)]).astype(np.int32)
+                bits = [b if k else None for b, k in zip(bitmaps(s, n), met.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("uid").slice(a, len(texts)), pa.array(n.astype(np.int64)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), first, pa.array(bits, pa.binary())],
-                    names=["uid", "n", "s1", "s2", "first", "bits"],
+                    [
+                        batch.column("uid").slice(a, len(texts)),
+                        pa.array(n.astype(np.int64)),
+                        pa.array(s1.view(np.int64)),
+                        pa.array(s2.view(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64))),
+                        pa.array(bits, pa.binary()),
+                    ],
+                    names=["uid", "n", "s1", "s2", "keys", "bits"],
                 )
 
     return mapped
@@ -320,43 +312,41 @@ def _pairs_of(a, b):
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
+def _tree(rows, size: int):
+    """(tree, ids) of the sets of a table (rid, n, component, bits), which is sorted by component and size, as bitmaps of size bytes."""
+    n, component, rid = (rows.column(c).to_numpy() for c in ("n", "component", "rid"))
+    return Tree(matrix(rows.column("bits").to_pylist(), size), n, n, component), rid
+
+
 def _leaves(percent: int):
-    """Pairs (a, b, need: how often they must meet) of rows (key, n, rid, room, component) sorted by (key, n, rid), of one bucket, that sizes and places let link."""
+    """Pairs (a, b) of rows (key, rid, n, component, bits) sorted by (key, component, n, rid), of one bucket, that may link."""
 
     def mapped(batches):
         import numpy as np
         import pyarrow as pa
 
-        def pairs(rows):
-            key, n, rid, room, component = rows
-            a, b, needs = [], [], []
-            for d in range(1, len(key)):
-                same = key[:-d] == key[d:]
-                if not same.any():
-                    break
-                at = np.flatnonzero(same & (100 * n[:-d] >= percent * n[d:]))  # n ascends within a bucket
-                need = least_overlap(n[at], n[at + d], percent)
-                ok = (component[at] != component[at + d]) & (np.minimum(room[at], room[at + d]) >= need)
-                a.append(rid[at[ok]])
-                b.append(rid[at[ok] + d])
-                needs.append(np.minimum(need[ok], SHARED))
-            if not a:
-                return None
-            found = _pairs_of(np.concatenate(a), np.concatenate(b))
-            return pa.RecordBatch.from_arrays([*found.columns, pa.array(np.concatenate(needs))], names=["a", "b", "need"])
+        def pairs(rows, ends):
+            a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+            for start, end in zip([0, *ends], ends, strict=False):
+                bucket = rows.slice(start, end - start)
+                tree, rid = _tree(bucket, min(len(x.as_buffer()) for x in bucket.column("bits")))
+                i, j = traverse(tree, tree, percent)
+                a.append(rid[i])
+                b.append(rid[j])
+            return _pairs_of(np.concatenate(a), np.concatenate(b))
 
         left = None
         for batch in batches:
-            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "n", "rid", "room", "component")]
-            if not len(rows[0]):
+            if not batch.num_rows:
                 continue
-            rows = [np.concatenate(x) for x in zip(left, rows, strict=True)] if left else rows
-            cut = int(np.flatnonzero(rows[0] != rows[0][-1])[-1]) + 1 if rows[0][0] != rows[0][-1] else 0  # the last bucket may go on
-            left = [x[cut:] for x in rows]
-            if cut and (out := pairs([x[:cut] for x in rows])) is not None:
-                yield out
-        if left and (out := pairs(left)) is not None:
-            yield out
+            rows = pa.concat_batches([left, batch]) if left else batch
+            key = rows.column("key").to_numpy()
+            ends = (np.flatnonzero(key[1:] != key[:-1]) + 1).tolist()
+            if ends:
+                yield pairs(rows, ends)
+            left = rows.slice(ends[-1]) if ends else rows  # the last bucket may go on
+        if left:
+            yield pairs(left, [left.num_rows])
 
     return mapped
 
@@ -365,15 +355,13 @@ def _blocks(percent: int):
     """Pairs (a, b) of a table of the rows of two blocks, side 0 and side 1, or of one block alone."""
 
     def grouped(table):
-        import numpy as np
         import pyarrow as pa
 
         trees, size = [], min(len(b.as_buffer()) for b in pa.chunked_array(table.column("bits").chunks).combine_chunks())
         for side in (0, 1):
             rows = table.filter(pa.compute.equal(table.column("side"), side)).sort_by([("component", "ascending"), ("n", "ascending"), ("rid", "ascending")])
             if rows.num_rows:
-                n, room, component, rid = (rows.column(c).to_numpy() for c in ("n", "room", "component", "rid"))
-                trees.append((Tree(matrix(rows.column("bits").to_pylist(), size), n, room, component), rid))
+                trees.append(_tree(rows, size))
         if len(trees) == 1 and table.column("i")[0] != table.column("j")[0]:  # no set of the other block is near enough in size
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         (one, a), (two, b) = trees[0], trees[-1]
@@ -454,17 +442,15 @@ def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, run: int, percen
 
 
 def _by_trees(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) across components of buckets of rows (key, center, rid, n, room, component), each bucket searched completely."""
+    """Pairs (a, b) across components of buckets of rows (key, rid, n, component), each bucket searched completely."""
     mixed = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("first"), F.max("component").alias("last")).filter("first < last")
     mixed = written(rows.join(mixed.select("key", "size"), "key"), "buckets")
-    few = mixed.filter(F.col("size") <= LEAF).select("key", "n", "rid", "room", "component")
-    pairs = few.repartition("key").sortWithinPartitions("key", "n", "rid").mapInArrow(_leaves(percent), "a long, b long, need long")
-    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.min("need").alias("need")).filter("met >= need").select("a", "b")
-    many = mixed.filter(F.col("size") > LEAF)
+    bits = _of(reps.select("rid", "bits"), written(mixed.select("rid").distinct(), "ids"))
+    few = mixed.filter(F.col("size") <= LEAF).join(bits, "rid").select("key", "rid", "n", "component", "bits")
+    pairs = few.repartition("key").sortWithinPartitions("key", "component", "n", "rid").mapInArrow(_leaves(percent), "a long, b long")
+    many = mixed.filter(F.col("size") > LEAF).drop("size")
     if many.isEmpty():
         return pairs
-    # Large buckets that have their least set in common hold much the same sets, and are searched as one.
-    many = written(many.groupBy(F.col("center").alias("key"), "rid", "n", "component").agg(F.max("room").alias("room")), "large")
     homes = many.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("home"))
     many = many.join(homes.select("key", "size", F.col("home.component").alias("home")), "key")
     # Sets that link are of the same band or of neighbours; sets of the bucket's largest component have blocks of their own. Of what would fit a block, those whose bitmaps are equally long are one.
@@ -473,49 +459,42 @@ def _by_trees(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     many = many.withColumn("band", F.when(small, long).otherwise(band)).withColumn("away", F.when(small, 0).otherwise(away))
     counts = many.groupBy("key", "band", "away").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     many = many.join(counts, ["key", "band", "away"]).withColumn("block", F.struct("band", "away", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int").alias("salt")))
-    many = written(many.select("key", "block", "rid", "n", "room", "component"), "blocks")
-    roots = many.groupBy("key", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("room").alias("room"), F.min("component").alias("first"), F.max("component").alias("last"))
+    many = written(many.select("key", "block", "rid", "n", "component"), "blocks")
+    roots = many.groupBy("key", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("first"), F.max("component").alias("last"))
     x, y = roots.alias("x"), roots.alias("y")
     c = F.col
-    need = F.ceil(percent * (c("x.low") + c("y.low")) / (100 + percent))
-    fits = (c("x.key") == c("y.key")) & (c("x.block") <= c("y.block")) & (F.abs(c("x.block.band") - c("y.block.band")) <= 1) & (F.least("x.room", "y.room") >= need)
+    fits = (c("x.key") == c("y.key")) & (c("x.block") <= c("y.block")) & (F.abs(c("x.block.band") - c("y.block.band")) <= 1)
     sizes = (100 * c("x.high") >= percent * c("y.low")) & (100 * c("y.high") >= percent * c("x.low"))
     same = (c("x.first") == c("x.last")) & (c("y.first") == c("y.last")) & (c("x.first") == c("y.first"))
     met = x.join(y, fits & sizes & ~same).select(c("x.key").alias("key"), c("x.block").alias("i"), c("y.block").alias("j"), *(c(f"{t}.{v}").alias(f"{v}_{t}") for t in "xy" for v in ("low", "high")))
     met = written(met, "roots")
-    bits = _of(reps.select("rid", "bits"), written(many.select("rid").distinct(), "ids"))
     many = many.join(bits, "rid")
     sides = None
     for side, block, other, some in ((0, "i", "y", met), (1, "j", "x", met.filter("i <> j"))):
         part = many.join(some.withColumn("block", c(block)), ["key", "block"]).filter((100 * c("n") >= percent * c(f"low_{other}")) & (100 * c(f"high_{other}") >= percent * c("n")))
-        part = part.select("key", "i", "j", F.lit(side).alias("side"), "rid", "n", "room", "component", "bits")
+        part = part.select("key", "i", "j", F.lit(side).alias("side"), "rid", "n", "component", "bits")
         sides = part if sides is None else sides.unionByName(part)
     return pairs.unionByName(sides.groupBy("key", "i", "j").applyInArrow(_blocks(percent), "a long, b long"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, percent: int = PERCENT) -> DataFrame:
     """id, n_shingles, component_id (the least id that links lead to, its own included), a row for each row of docs."""
-    spark = docs.sparkSession
     texts = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("uid", F.monotonically_increasing_id()), "texts")
-    frequent = spark.sparkContext.broadcast(frequent_shingles(texts, run))  # at most MOST_FREQUENT
-    signed = texts.select("uid", "text").mapInArrow(_signed(run, percent, frequent), "uid long, n long, s1 long, s2 long, first array<long>, bits binary")
-    signed = written(signed, "signed")
-    frequent.destroy()
+    signed = written(texts.select("uid", "text").mapInArrow(_signed(run, percent), "uid long, n long, s1 long, s2 long, keys array<long>, bits binary"), "signed")
     of = ["s1", "s2", "n"]
     rows = written(texts.select("uid", "id").join(signed.select("uid", *of), "uid"), "rows")
     sets = written(rows.filter("n > 0").groupBy(*of).agg(F.min("uid").alias("rid"), F.min("id").alias("least")), "sets")
-    reps = signed.filter("size(first) > 0").withColumnRenamed("uid", "rid").join(sets.select("rid"), "rid", "left_semi")
-    reps = written(reps.select("rid", "n", "first", "bits"), "first")
-    places = reps.select("rid", "n", F.posexplode("first").alias("pos", "key")).select("key", "rid", "n", (F.col("n") - F.col("pos") + SHARED - 1).alias("room"))
-    least = [F.min("rid").alias("center"), F.min_by("n", "rid").alias("m"), F.min_by("room", "rid").alias("center_room")]
-    buckets = places.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *least).filter("size > 1")
-    places = written(places.join(buckets.drop("size"), "key"), "places")
-    room = F.least("room", "center_room") >= F.ceil(percent * (F.col("n") + F.col("m")) / (100 + percent))
-    stars = places.filter(F.col("rid") != F.col("center")).filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).filter(room)
-    links = _links(stars.select(F.col("center").alias("a"), F.col("rid").alias("b")), reps, texts, run, percent)
+    reps = signed.select(F.col("uid").alias("rid"), "n", "keys", "bits")
+    places = _of(reps.filter("size(keys) > 0").select("rid", "keys"), sets.select("rid")).select(F.explode("keys").alias("key"), "rid")
+    bucket = Window.partitionBy("key")
+    places = places.withColumns({"center": F.min("rid").over(bucket), "last": F.max("rid").over(bucket)})
+    places = written(places.filter("center < last").select(F.col("center").alias("key"), "rid").distinct(), "places")
+    stars = places.filter("rid <> key").select(F.col("key").alias("a"), F.col("rid").alias("b"))
+    links = _links(stars, reps, texts, run, percent)
     # A set belongs with the least one that it is linked to, which is enough to leave most pairs of near copies out.
     near = links.groupBy(F.col("b").alias("rid")).agg(F.min("a").alias("component"))
-    rows_near = places.select("key", "center", "rid", "n", "room").join(near, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
+    near = reps.select("rid", "n").join(near, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
+    rows_near = places.join(near, "rid").select("key", "rid", "n", "component")
     links = links.unionByName(_links(_by_trees(rows_near, reps, percent), reps, texts, run, percent))
     found = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
     of_node = found.select(F.col("node").alias("rid"), "component")

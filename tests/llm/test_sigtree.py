@@ -156,3 +156,37 @@ def test_sets_that_link_meet_twice_early():
         assert len(met) >= min(sigtree.SHARED, both)
         room = lambda v: min(len(x) - x.index(v), len(y) - y.index(v)) + sigtree.SHARED - 1
         assert sum(room(v) >= sigtree.least_overlap(len(x), len(y), percent) for v in met) >= sigtree.SHARED
+
+
+@pytest.mark.parametrize("often", [2, 6])
+def test_sets_that_link_hold_the_same_in_a_part(monkeypatch, often):
+    """Whatever the sizes, also where parts of few shingles are left out."""
+    monkeypatch.setattr(sigtree, "OFTEN", often)
+    r, linked = np.random.default_rng(often), 0
+    for _ in range(1500):
+        percent, n = int(r.choice([50, 80, 90, 95])), int(r.integers(2, 400))
+        pool = np.unique(r.integers(0, 2**63, size=2 * n + 20, dtype=np.uint64) * np.uint64(2))
+        pool = r.permutation(pool)
+        x = np.sort(pool[:n])
+        y = np.sort(np.concatenate([pool[: int(r.integers(max(1, n * percent // 100), n + 1))], pool[n : n + int(r.integers(0, n * (100 - percent) // 100 + 1))]]))
+        both = len(np.intersect1d(x, y))
+        if both == len(x) == len(y) or 100 * both < percent * (len(x) + len(y) - both):
+            continue
+        keys, of = sigtree.part_keys(np.concatenate([x, y]), np.array([len(x), len(y)]), percent)
+        assert set(keys[of == 0].tolist()) & set(keys[of == 1].tolist())
+        linked += 1
+    assert linked > 300
+
+
+def test_chance_makes_no_candidates(spark, monkeypatch):
+    """Texts that share shingles or a passage, as any do in a large corpus, are not compared: only near copies are."""
+    compared, links = [], sigtree._links
+    monkeypatch.setattr(sigtree, "_links", lambda pairs, *a: compared.append(pairs.distinct().count()) or links(pairs, *a))
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(9)]
+    passage = r.choices(words, k=40)
+    rows = [(i, " ".join(passage * (i % 2) + r.choices(words, k=80))) for i in range(300)]
+    rows += [(1000 + i, edited(r, rows[i][1].split(), 1)) for i in range(10)]
+    got = sigtree.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
+    assert sum(compared) <= 100
